@@ -20,7 +20,7 @@ def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFra
     if streaming:
         # A pattern, because a file stream takes no path of a single file.
         return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def _rule(seq: str) -> Column:

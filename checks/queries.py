@@ -168,8 +168,12 @@ def append_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    times = with_hour(_stamped(spark, sf_dir), "event_time")
-    return times.groupBy("dt", "hr").agg(F.min("event_time").alias("first"), F.max("event_time").alias("last"))
+    """The hourly partitions of the readings; their text is made once per hour, not per reading."""
+    hour = F.window("event_time", "1 hour")
+    spans = _stamped(spark, sf_dir).groupBy(hour.alias("hour")).agg(
+        F.min("event_time").alias("first"), F.max("event_time").alias("last"),
+    )
+    return with_hour(spans, "first")
 
 
 def _watermark_in_the_middle(hours: DataFrame) -> Column:

@@ -1,0 +1,70 @@
+import pytest
+
+from quarterbell.operators import quarantine, readings, table_quarantine, table_rows
+
+FULL = '{"MEASUREPOINTID":"a","MEASURETAG":"t","VALUE":1.5,"SAMPLETIME":"2024-01-01 00:07:31"}'
+RECORDS = [
+    (FULL, None, None),
+    ('{"MEASUREPOINTID":"a","VALUE":"2.5","SAMPLETIME":"2024-01-01 00:00:00"}', None, None),
+    ('{"VALUE":1,"VALUE":2,"SAMPLETIME":"2024-01-01 00:00:00"}', None, None),
+    ('{"measurepointid":"a","VALUE":3,"SAMPLETIME":"2024-01-01 00:00:00"}', None, None),
+    ('{"VALUE":3}', None, "null_time"),
+    ('{"VALUE":null,"SAMPLETIME":"2024-01-01 00:00:00"}', "null_value", None),
+    ('{"SAMPLETIME":"2024-01-01 00:00:00"}', "null_value", None),
+    ('{"VALUE":"","SAMPLETIME":"2024-01-01 00:00:00"}', "null_value", None),
+    ('{"VALUE":"abc","SAMPLETIME":"2024-01-01 00:00:00"}', "bad_value", "bad_value"),
+    ('{"VALUE":{"x":1}}', "bad_value", "bad_value"),
+    ('{"VALUE":true}', "bad_value", "bad_value"),
+    ("{}", "null_value", "null_time"),
+    ('{"MEAS', "malformed", "malformed"),
+    ('{"MEASUREPOINTID":"a","VALUE":1,', "malformed", "malformed"),
+    ("[1]", "malformed", "malformed"),
+    ('"x"', "malformed", "malformed"),
+    ("", "malformed", "malformed"),
+    (None, "malformed", "malformed"),
+]
+
+
+@pytest.fixture
+def messages(spark):
+    rows = [(raw, 0, at) for at, (raw, _, _) in enumerate(RECORDS)]
+    return spark.createDataFrame(rows, "raw STRING, source_partition INT, seq BIGINT")
+
+
+def test_values_decode_quoted_or_bare(messages):
+    rows = {r.seq: r for r in readings(messages).collect()}
+    assert rows[0].asDict() == {
+        "source_partition": 0, "seq": 0, "measurepointid": "a", "measuretag": "t",
+        "value": 1.5, "sampletime": "2024-01-01 00:07:31",
+    }
+    assert rows[1].value == 2.5
+    assert rows[2].value == 2.0
+    assert rows[3].measurepointid is None, "keys are matched exactly"
+
+
+def test_every_record_is_a_reading_or_quarantined_with_its_reason(messages):
+    reasons = {r.seq: r.reason for r in quarantine(messages).collect()}
+    expected = {at: reason for at, (_, reason, _) in enumerate(RECORDS) if reason}
+    assert reasons == expected
+    good = {r.seq for r in readings(messages).collect()}
+    assert good == set(range(len(RECORDS))) - set(expected)
+
+
+def test_quarantine_keeps_the_whole_text(messages):
+    assert {r.raw for r in quarantine(messages).collect()} == {raw for raw, reason, _ in RECORDS if reason}
+
+
+def test_bad_times_are_set_aside_on_request(messages):
+    reasons = {r.seq: r.reason for r in quarantine(messages, bad_time="quarantine").collect()}
+    assert reasons[4] == "bad_time"
+    good = {r.seq for r in readings(messages, bad_time="quarantine").collect()}
+    assert good | set(reasons) == set(range(len(RECORDS))) and not good & set(reasons)
+
+
+def test_table_decode_keeps_missing_values(messages):
+    rows = {r.seq: r for r in table_rows(messages).collect()}
+    assert rows[5].value is None and rows[6].value is None and rows[7].value is None
+    reasons = {r.seq: r.reason for r in table_quarantine(messages).collect()}
+    assert reasons == {at: reason for at, (_, _, reason) in enumerate(RECORDS) if reason}
+    assert set(rows) == set(range(len(RECORDS))) - set(reasons)
+    assert 4 in {r.seq for r in table_rows(messages, keep_null_time=True).collect()}
