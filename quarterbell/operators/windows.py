@@ -50,7 +50,8 @@ def _newest_first_come(arrival: Column, arrival_bound: int | None) -> Column:
         )
         return seconds * F.lit(arrival_bound) + (F.lit(arrival_bound - 1) - checked)
     spread = F.lit("1" + "0" * 31).cast(T.DecimalType(38, 0))
-    return seconds.cast(T.DecimalType(38, 0)) * spread - arrival.cast(T.DecimalType(30, 0))
+    last = F.lit("9" * 30).cast(T.DecimalType(30, 0))
+    return seconds.cast(T.DecimalType(38, 0)) * spread - F.coalesce(arrival.cast(T.DecimalType(30, 0)), last)
 
 
 def newest_per_window(
@@ -61,7 +62,7 @@ def newest_per_window(
     """The reading with the greatest event time per key and window.
 
     Of readings with the same time the one that arrived first wins; ``arrival``
-    (default: ``seq``) is its numeric order of arrival and must not be null.
+    (default: ``seq``) is its numeric order of arrival, null counting as last.
     """
     rank = _newest_first_come(F.col("seq") if arrival is None else arrival, arrival_bound)
     return windowed.groupBy(*KEYS, "window").agg(

@@ -48,6 +48,7 @@ class JobOptions:
     ``bad_time`` keeps readings without a usable time under the sentinel time
     (``"sentinel"``) or leaves them to the quarantine (``"quarantine"``).
     ``arrival_bound`` is an exclusive upper bound of ``seq`` known to the caller.
+    ``gather`` shuffles each micro-batch of a stateless stream into few files.
     """
 
     topic: str = "readings"
@@ -65,6 +66,7 @@ class JobOptions:
     daytime: str = "run_date"
     bad_time: str = "sentinel"
     arrival_bound: int | None = None
+    gather: bool = True
 
     def __post_init__(self):
         if self.daytime not in ("run_date", "event_date"):

@@ -41,7 +41,7 @@ def spread(rows: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
     planner merges small partitions and splits large ones (a third of all rows
     may belong to one hour), so neither small files nor a giant task result.
     """
-    return rows.hint("rebalance", *partitions) if partitions else rows
+    return rows.hint("rebalance", *partitions)
 
 
 def append_files(
@@ -53,9 +53,10 @@ def append_files(
     """Append a batch to a parquet folder.
 
     Input already ordered by time touches few partitions per task; then
-    ``rebalance=False`` writes it without a shuffle.
+    ``rebalance=False`` writes it without a shuffle, as is always done for a
+    table without partitions.
     """
-    rows = spread(rows, partitions) if rebalance else rows
+    rows = spread(rows, partitions) if rebalance and partitions else rows
     rows.write.mode("append").partitionBy(*partitions).parquet(path)
 
 
@@ -66,7 +67,7 @@ def append_table(
     rebalance: bool = True,
 ) -> None:
     """Append a batch to a table of the catalog; columns are matched by name."""
-    rows = spread(rows, partitions) if rebalance else rows
+    rows = spread(rows, partitions) if rebalance and partitions else rows
     rows.write.mode("append").format("parquet").partitionBy(*partitions).saveAsTable(name)
 
 

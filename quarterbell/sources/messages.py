@@ -73,11 +73,20 @@ def kafka_arrival() -> Column:
     return (F.col("seq").cast(T.DecimalType(19, 0)) * ten_digits + F.col("source_partition")).cast(wide)
 
 
-def _line_position() -> Column:
-    """Grows with the position of a line in its file, also where a file is read in splits."""
+def _line_position(streaming: bool) -> Column:
+    """A position of each line in its file: start of the split, then the line within it.
+
+    Streams cannot number lines; there the text itself decides between lines of
+    one split, which is repeatable but not the order of the file. Where ties
+    must go to the earlier line, give ``read_messages`` a ``position``.
+    """
+    ten_digits = F.lit("10000000000").cast(T.DecimalType(11, 0))
+    if streaming:
+        within = F.pmod(F.xxhash64("value"), ten_digits.cast("bigint"))
+    else:
+        within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     start_of_split = F.col("_metadata.file_block_start").cast(T.DecimalType(19, 0))
-    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return (start_of_split * F.lit("10000000000").cast(T.DecimalType(11, 0)) + row_of_task).cast(T.DecimalType(30, 0))
+    return (start_of_split * ten_digits + within).cast(T.DecimalType(30, 0))
 
 
 def read_messages(
@@ -86,8 +95,13 @@ def read_messages(
     options: JobOptions,
     path: str | None = None,
     streaming: bool = True,
+    position: Column | None = None,
 ) -> DataFrame:
-    """Read ``kafka``, ``parquet`` (archived messages), or ``text`` / ``json`` (one record per line)."""
+    """Read ``kafka``, ``parquet`` (archived messages), or ``text`` / ``json`` (one record per line).
+
+    ``position`` gives the ``seq`` of a line of text, computed from its column
+    ``value``; without it the place of the line in its file is used.
+    """
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
         topic = reader.format("kafka").options(**kafka_options(options, streaming)).load()
@@ -107,6 +121,6 @@ def read_messages(
         return lines.select(
             F.col("value").alias("raw"),
             F.col("_metadata.file_path").alias("source_partition"),
-            _line_position().alias("seq"),
+            (_line_position(streaming) if position is None else position).alias("seq"),
         )
     raise ValueError(f"unknown message format {fmt!r}")

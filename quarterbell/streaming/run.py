@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarterbell.plans import JOBS
 from quarterbell.schema import JobOptions
+from quarterbell.sinks import spread
 
 # Fixed value: the interval between two checkpoints of the table jobs.
 TRIGGER = "90 seconds"
@@ -54,8 +55,11 @@ def start_job(
     checkpoint and never holds back the watermark of the rows.
     """
     rows, rejected, partitions = JOBS[name]
+    produced = rows(messages, options)
+    if options.gather and name != "quarter_hour":
+        produced = spread(produced, partitions)
     main = append_stream(
-        rows(messages, options), f"{folder}/rows", f"{folder}/checkpoints/rows", partitions,
+        produced, f"{folder}/rows", f"{folder}/checkpoints/rows", partitions,
         available_now=available_now,
     )
     side = append_stream(
