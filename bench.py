@@ -27,11 +27,11 @@ HEADLINE = (
     "time_neat_on_time",
     "late_audit",
     "committable_partitions",
+    "stream_time_neat",
+    "stream_append_flat",
     "append_flat",
     "append_daily",
     "append_hourly",
-    "stream_time_neat",
-    "stream_append_flat",
 )
 
 

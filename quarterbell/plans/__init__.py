@@ -1,5 +1,6 @@
 from quarterbell.plans.jobs import (
     JOBS,
+    Job,
     flat_quarantine,
     flat_rows,
     hourly_quarantine,
@@ -7,10 +8,12 @@ from quarterbell.plans.jobs import (
     hourly_rows_sql,
     quarter_hour_quarantine,
     quarter_hour_rows,
+    replay_job,
 )
 
 __all__ = [
     "JOBS",
+    "Job",
     "flat_quarantine",
     "flat_rows",
     "hourly_quarantine",
@@ -18,4 +21,5 @@ __all__ = [
     "hourly_rows_sql",
     "quarter_hour_quarantine",
     "quarter_hour_rows",
+    "replay_job",
 ]

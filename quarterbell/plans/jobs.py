@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 
 from quarterbell.operators import (
@@ -17,7 +20,8 @@ from quarterbell.operators import (
     with_run_date,
     with_watermark,
 )
-from quarterbell.schema import JobOptions
+from quarterbell.schema import DAILY_PARTITIONS, HOURLY_PARTITIONS, JobOptions
+from quarterbell.sinks import DAILY_COMMIT, HOURLY_COMMIT, CommitRule, append_files, create_table
 
 
 def quarter_hour_rows(
@@ -69,9 +73,40 @@ def flat_quarantine(messages: DataFrame, options: JobOptions = JobOptions()) ->
     return quarantine(messages)
 
 
-# Job name: rows, quarantined records, partition columns of the table.
+@dataclass(frozen=True)
+class Job:
+    """Table rows, quarantined records, and how the table is partitioned and committed."""
+
+    rows: Callable[[DataFrame, JobOptions], DataFrame]
+    rejected: Callable[[DataFrame, JobOptions], DataFrame]
+    partitions: tuple[str, ...]
+    stateful: bool = False
+    commit: CommitRule | None = None
+
+
 JOBS = {
-    "quarter_hour": (quarter_hour_rows, quarter_hour_quarantine, ("daytime",)),
-    "hourly": (hourly_rows, hourly_quarantine, ("dt", "hr")),
-    "flat": (flat_rows, flat_quarantine, ()),
+    "quarter_hour": Job(
+        quarter_hour_rows, quarter_hour_quarantine, DAILY_PARTITIONS, stateful=True, commit=DAILY_COMMIT),
+    "hourly": Job(hourly_rows, hourly_quarantine, HOURLY_PARTITIONS, commit=HOURLY_COMMIT),
+    "flat": Job(flat_rows, flat_quarantine, ()),
 }
+
+
+def replay_job(
+    name: str,
+    messages: DataFrame,
+    folder: str,
+    options: JobOptions = JobOptions(),
+    table: str | None = None,
+) -> None:
+    """Run a job once over a bounded source, appending below ``folder``.
+
+    Rows of one run date need no shuffle of their own: the aggregation has
+    already spread them evenly over the tasks.
+    """
+    job = JOBS[name]
+    one_partition = name == "quarter_hour" and options.daytime == "run_date"
+    if table is not None:
+        create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
+    append_files(job.rows(messages, options), f"{folder}/rows", job.partitions, rebalance=not one_partition)
+    append_files(job.rejected(messages, options), f"{folder}/quarantine")

@@ -1,5 +1,8 @@
 from quarterbell.sinks.commit import (
-    append_commits,
+    DAILY_COMMIT,
+    HOURLY_COMMIT,
+    CommitRule,
+    carry_out,
     commit_pending,
     committable_partitions,
     partition_time,
@@ -17,7 +20,10 @@ from quarterbell.sinks.tables import (
 )
 
 __all__ = [
-    "append_commits",
+    "DAILY_COMMIT",
+    "HOURLY_COMMIT",
+    "CommitRule",
+    "carry_out",
     "append_files",
     "append_table",
     "commit_pending",

@@ -10,19 +10,35 @@ and a partition that received newer files is committed again.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# How a partition time is put together from partition columns.
-HOURLY_PATTERN = "$dt $hr:00:00"
-DAILY_PATTERN = "$daytime"
-
 _STATEMENT_SIZE = 500
 
 
+@dataclass(frozen=True)
+class CommitRule:
+    """When a partition is due and what happens to it then.
+
+    ``pattern`` puts the time of a partition together from its columns; it is
+    due once the watermark has passed that time by more than ``delay_seconds``.
+    """
+
+    partitions: tuple[str, ...]
+    pattern: str
+    delay_seconds: int
+    policies: tuple[str, ...]
+
+
+# The rules of the hourly and the daily table.
+HOURLY_COMMIT = CommitRule(("dt", "hr"), "$dt $hr:00:00", 15 * 60, ("metastore", "success-file"))
+DAILY_COMMIT = CommitRule(("daytime",), "$daytime", 0, ("metastore",))
+
+
 def partition_time(pattern: str) -> Column:
     """The instant a partition stands for, from a pattern such as ``$dt $hr:00:00``."""
     pieces = [
@@ -35,14 +51,9 @@ def partition_time(pattern: str) -> Column:
     return F.concat(full, F.lit("Z")).try_cast("timestamp")
 
 
-def committable_partitions(
-    parts: DataFrame,
-    watermark: Column,
-    delay_seconds: int = 15 * 60,
-    pattern: str = HOURLY_PATTERN,
-) -> DataFrame:
+def committable_partitions(parts: DataFrame, watermark: Column, rule: CommitRule = HOURLY_COMMIT) -> DataFrame:
     """The partitions whose time plus delay the watermark (an instant) has passed."""
-    due = F.unix_millis(partition_time(pattern)) + delay_seconds * 1000
+    due = F.unix_millis(partition_time(rule.pattern)) + rule.delay_seconds * 1000
     return parts.where(F.unix_millis(watermark) > due)
 
 
@@ -91,24 +102,17 @@ def pending_partitions(written: DataFrame, ledger: DataFrame, partitions: tuple[
     )
 
 
-def append_commits(
-    spark: SparkSession,
-    table: str,
-    path: str,
-    parts: list,
-    partitions: tuple[str, ...],
-    policies: tuple[str, ...] = ("metastore", "success-file"),
-) -> None:
-    """Carry out the policies for a list of partitions; both may be repeated."""
-    specs = [{name: row[name] for name in partitions} for row in parts]
-    if "metastore" in policies:
+def carry_out(spark: SparkSession, table: str, path: str, parts: list, rule: CommitRule) -> None:
+    """Apply the policies to a list of partitions; doing so again changes nothing."""
+    specs = [{name: row[name] for name in rule.partitions} for row in parts]
+    if "metastore" in rule.policies:
         for at in range(0, len(specs), _STATEMENT_SIZE):
             clauses = " ".join(
                 "PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in spec.items()) + ")"
                 for spec in specs[at:at + _STATEMENT_SIZE]
             )
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {clauses}")
-    if "success-file" in policies:
+    if "success-file" in rule.policies:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for spec in specs:
@@ -123,18 +127,18 @@ def commit_pending(
     path: str,
     ledger: str,
     watermark: Column,
-    partitions: tuple[str, ...] = ("dt", "hr"),
-    delay_seconds: int = 15 * 60,
-    pattern: str = HOURLY_PATTERN,
-    policies: tuple[str, ...] = ("metastore", "success-file"),
+    rule: CommitRule = HOURLY_COMMIT,
 ) -> list:
-    """Commit what is due and return it. Effects come before the ledger entry,
-    so a step that dies half-way is simply done again."""
-    written = written_partitions(spark, path, partitions)
-    pending = pending_partitions(written, _ledger(spark, ledger, partitions), partitions)
-    due = committable_partitions(pending, watermark, delay_seconds, pattern).sort(*partitions).collect()
+    """Commit what is due and return it: one row per partition, never readings.
+
+    The effects come before the ledger entry, so a step that dies half-way is
+    simply done again.
+    """
+    written = written_partitions(spark, path, rule.partitions)
+    pending = pending_partitions(written, _ledger(spark, ledger, rule.partitions), rule.partitions)
+    due = committable_partitions(pending, watermark, rule).sort(*rule.partitions).collect()
     if due:
-        append_commits(spark, table, path, due, partitions, policies)
-        schema = _ledger_schema(partitions)
-        spark.createDataFrame(due, schema).coalesce(1).write.mode("append").parquet(ledger)
+        carry_out(spark, table, path, due, rule)
+        entries = spark.createDataFrame(due, _ledger_schema(rule.partitions))
+        entries.coalesce(1).write.mode("append").parquet(ledger)
     return due

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarterbell.plans import JOBS
 from quarterbell.schema import JobOptions
-from quarterbell.sinks import spread
+from quarterbell.sinks import create_table, spread
 
 # Fixed value: the interval between two checkpoints of the table jobs.
 TRIGGER = "90 seconds"
@@ -48,31 +48,44 @@ def start_job(
     folder: str,
     options: JobOptions = JobOptions(),
     available_now: bool = False,
+    table: str | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Run one of the three jobs below ``folder``: its rows and its quarantine.
 
+    With ``table`` the rows are also a table of the catalog, made if missing.
     The quarantine is a query of its own: it stays stateless, has its own
     checkpoint and never holds back the watermark of the rows.
     """
-    rows, rejected, partitions = JOBS[name]
-    produced = rows(messages, options)
-    if options.gather and name != "quarter_hour":
-        produced = spread(produced, partitions)
+    job = JOBS[name]
+    rows = job.rows(messages, options)
+    if options.gather and not job.stateful:
+        rows = spread(rows, job.partitions)
+    if table is not None:
+        create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
     main = append_stream(
-        produced, f"{folder}/rows", f"{folder}/checkpoints/rows", partitions,
-        available_now=available_now,
+        rows, f"{folder}/rows", f"{folder}/checkpoints/rows", job.partitions, table, available_now,
     )
     side = append_stream(
-        rejected(messages, options), f"{folder}/quarantine", f"{folder}/checkpoints/quarantine",
+        job.rejected(messages, options), f"{folder}/quarantine", f"{folder}/checkpoints/quarantine",
         available_now=available_now,
     )
     return main, side
 
 
-def watermark_of(query: StreamingQuery) -> Column | None:
-    """The newest watermark a query has reported, as an instant; None before the first."""
-    reported = [p.eventTime["watermark"] for p in query.recentProgress if "watermark" in p.eventTime]
-    return F.lit(max(reported)).cast("timestamp") if reported else None
+def watermark_of(query: StreamingQuery, delay: str) -> Column | None:
+    """The watermark after the newest finished micro-batch, as an instant; None before the first.
+
+    A progress report names the watermark its batch began with. The one it
+    leaves behind is the newest event time it saw minus ``delay``.
+    """
+    times = [p.eventTime for p in query.recentProgress if "watermark" in p.eventTime]
+    if not times:
+        return None
+    began = F.lit(max(t["watermark"] for t in times)).cast("timestamp")
+    seen = [t["max"] for t in times if "max" in t]
+    if not seen:
+        return began
+    return F.greatest(began, F.lit(max(seen)).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
 
 
 def dropped_late(query: StreamingQuery) -> int:
@@ -84,13 +97,14 @@ def dropped_late(query: StreamingQuery) -> int:
 def commit_while_running(
     query: StreamingQuery,
     commit: Callable[[Column], list],
+    delay: str,
     interval_seconds: int = 90,
 ) -> None:
     """Call ``commit`` with the watermark at every interval until the query ends, and once after."""
     running = True
     while running:
         running = not query.awaitTermination(interval_seconds)
-        watermark = watermark_of(query)
+        watermark = watermark_of(query, delay)
         if watermark is not None:
             commit(watermark)
 

@@ -50,3 +50,13 @@ def make_readings(spark):
         return spark.createDataFrame(numbered, READING)
 
     return make
+
+
+def hours_due(rows):
+    """The hourly partitions due by the newest of the rows, worked out in plain Python."""
+    from datetime import datetime, timedelta
+
+    found = rows.select("dt", "hr", "sampletime").collect()
+    watermark = datetime.fromisoformat(max(r.sampletime for r in found)) - timedelta(minutes=3)
+    due = lambda r: datetime.fromisoformat(f"{r.dt} {r.hr}:00:00") + timedelta(minutes=15) < watermark
+    return {f"dt={r.dt}/hr={r.hr}" for r in found if due(r)}

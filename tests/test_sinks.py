@@ -9,6 +9,8 @@ from quarterbell.functions import event_time
 from quarterbell.schema import table_schema
 from quarterbell.session import new_folder, shared_folder
 from quarterbell.sinks import (
+    DAILY_COMMIT,
+    CommitRule,
     append_files,
     append_table,
     commit_pending,
@@ -96,7 +98,8 @@ def test_partition_time(spark, any_zone, pattern, row, expected):
 
 def test_due_only_after_time_plus_delay(spark, any_zone):
     parts = spark.createDataFrame([("2024-01-01", f"{h:02}") for h in range(4)], "dt STRING, hr STRING")
-    hours = lambda wm, delay: sorted(r.hr for r in committable_partitions(parts, at(wm), delay).collect())
+    hours = lambda wm, delay: sorted(r.hr for r in committable_partitions(
+        parts, at(wm), CommitRule(("dt", "hr"), "$dt $hr:00:00", delay, ())).collect())
     assert hours("2024-01-01 02:15:00", 900) == ["00", "01"]
     assert hours("2024-01-01 02:15:01", 900) == ["00", "01", "02"]
     assert hours("2024-01-01 00:00:01", 0) == ["00"]
@@ -129,8 +132,7 @@ def test_metastore_policy_alone_leaves_no_file(spark, make_readings):
     append_files(rows, path, ("daytime",))
     create_table(spark, "daily_readings", ("daytime",), path)
     done = commit_pending(
-        spark, "daily_readings", path, path + "-ledger", at("2024-01-02 00:00:00"),
-        partitions=("daytime",), delay_seconds=0, pattern="$daytime", policies=("metastore",))
+        spark, "daily_readings", path, path + "-ledger", at("2024-01-02 00:00:00"), DAILY_COMMIT)
     assert [r.daytime for r in done] == ["2024-01-01"]
     names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").collect()
     assert not [r for r in names if "daytime" in r.path and r.path.endswith("_SUCCESS")]

@@ -18,6 +18,7 @@ from quarterbell.streaming import (
     start_job,
     watermark_of,
 )
+from tests.conftest import hours_due
 
 SF = "/root/testdata/sf0.001"
 ONE_FILE = JobOptions(max_files_per_trigger=1, daytime="event_date")
@@ -161,12 +162,14 @@ def test_partitions_are_committed_from_the_watermark_of_the_query(spark):
         hourly_rows(messages), f"{folder}/rows", f"{folder}/checkpoint", ("dt", "hr"), table="streamed_hours", available_now=True)
     done = []
     commit_while_running(query, lambda watermark: done.extend(commit_pending(
-        spark, "streamed_hours", f"{folder}/rows", f"{folder}/ledger", watermark)))
-    assert watermark_of(query) is not None
-    listed = spark.sql("SHOW PARTITIONS streamed_hours").count()
-    assert listed == len(done) == len({(r.dt, r.hr) for r in done})
-    everything = read_files(spark, f"{folder}/rows", ("dt", "hr")).select("dt", "hr").distinct().count()
-    assert 0 < listed < everything
+        spark, "streamed_hours", f"{folder}/rows", f"{folder}/ledger", watermark)), "3 minutes")
+    newest = read_files(spark, f"{folder}/rows", ("dt", "hr")).agg(F.max("sampletime")).head()[0]
+    behind = spark.range(1).select(
+        F.unix_seconds(F.lit(newest + "Z").cast("timestamp")) - F.unix_seconds(watermark_of(query, "3 minutes"))).head()[0]
+    assert behind == 180
+    listed = {r.partition for r in spark.sql("SHOW PARTITIONS streamed_hours").collect()}
+    assert listed == {f"dt={r.dt}/hr={r.hr}" for r in done}
+    assert listed == hours_due(read_files(spark, f"{folder}/rows", ("dt", "hr")))
 
 
 def test_state_is_kept_in_rocksdb(spark):
