@@ -8,6 +8,7 @@ from quarterbell.plans.jobs import (
     hourly_rows_sql,
     quarter_hour_quarantine,
     quarter_hour_rows,
+    register_source,
     replay_job,
 )
 
@@ -21,5 +22,6 @@ __all__ = [
     "hourly_rows_sql",
     "quarter_hour_quarantine",
     "quarter_hour_rows",
+    "register_source",
     "replay_job",
 ]

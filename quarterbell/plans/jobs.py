@@ -49,13 +49,22 @@ def hourly_rows(messages: DataFrame, options: JobOptions = JobOptions()) -> Data
     return table_columns(with_hour(stamped), "dt", "hr")
 
 
-def hourly_rows_sql(messages: DataFrame, view: str = "message_source") -> DataFrame:
-    """The same rows by way of a temporary view and SQL, for those who write SQL."""
-    with_hour(table_rows(messages)).createOrReplaceTempView(view)
+def register_source(messages: DataFrame, name: str = "message_source") -> None:
+    """Make messages a view for SQL: the four message columns, ``ts``, ``dt`` and ``hr``.
+
+    ``dt`` and ``hr`` are there because ``date_format(ts, ...)`` would go
+    through the session zone.
+    """
+    with_hour(table_rows(messages)).createOrReplaceTempView(name)
+
+
+def hourly_rows_sql(messages: DataFrame, name: str = "message_source") -> DataFrame:
+    """The rows of ``hourly_rows`` for those who write SQL."""
+    register_source(messages, name)
     return messages.sparkSession.sql(f"""
-        SELECT measurepointid, measuretag, TRY_CAST(value AS DECIMAL(30, 8)) AS value1, sampletime, dt, hr
-        FROM {view}
-    """)
+        SELECT MEASUREPOINTID, MEASURETAG, TRY_CAST(VALUE AS DECIMAL(30, 8)) AS VALUE1, SAMPLETIME, dt, hr
+        FROM {name}
+    """).toDF("measurepointid", "measuretag", "value1", "sampletime", "dt", "hr")
 
 
 def hourly_quarantine(messages: DataFrame, options: JobOptions = JobOptions()) -> DataFrame:

@@ -1,5 +1,6 @@
 """What the physical plans must look like to hold at a thousand times the data."""
 
+import contextlib
 import re
 
 import pytest
@@ -8,12 +9,35 @@ from pyspark.sql import functions as F
 from checks import queries as registered
 from checks.bindings import as_messages, events
 from quarterbell import JobOptions
-from quarterbell.operators import in_windows, late_readings, newest_per_window, readings, with_event_time
+from quarterbell.operators import (
+    in_windows,
+    late_readings,
+    newest_per_window,
+    on_time_readings,
+    readings,
+    table_columns,
+    with_event_time,
+    with_hour,
+)
 from quarterbell.plans import flat_rows, hourly_rows, quarter_hour_rows
+from quarterbell.session import new_folder
+from quarterbell.sinks import append_files, read_files
 
 SF = "/root/testdata/sf0.01"
 
 
+@contextlib.contextmanager
+def settings(spark, values):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -66,13 +90,8 @@ def test_times_are_worked_out_once_per_scan(messages):
 
 def test_the_audit_never_sorts_readings(spark, messages):
     stamped = with_event_time(readings(messages))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.join.preferSortMergeJoin", "false")
-    try:
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         text = plan(late_readings(stamped))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.join.preferSortMergeJoin")
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     window = text.index("Window [")
     assert "HashAggregate" in text[window:], "the window runs over the summary"
@@ -91,8 +110,7 @@ def _shuffled_records(frame):
 
 
 def test_a_hot_key_is_reduced_before_the_shuffle(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
         hot = spark.range(0, 300000, 1, 6).select(
             F.col("id").alias("seq"),
             F.lit("hot").alias("measurepointid"),
@@ -103,5 +121,49 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
         newest = newest_per_window(in_windows(with_event_time(hot)))
         assert _shuffled_records(newest) == 6, "one row per task"
         assert newest.head().value == 0.0
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _skewed(spark, rows=400000):
+    """Two thirds of the readings in one source partition and hour, the sentinel's among them."""
+    second = F.when(F.col("id") % 3 == 0, F.col("id") % 86400).otherwise(F.lit(7200) + F.col("id") % 600)
+    text = F.date_format(F.timestamp_seconds(second + 1704067200), "yyyy-MM-dd HH:mm:ss")
+    return spark.range(0, rows, 1, 8).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(1).cast("int").alias("source_partition"),
+        F.xxhash64("id").cast("string").alias("measurepointid"),
+        F.lit("t").alias("measuretag"),
+        F.col("id").cast("double").alias("value"),
+        text.alias("sampletime"),
+    )
+
+
+def test_a_hot_hour_is_written_by_several_tasks(spark):
+    rows = table_columns(with_hour(with_event_time(_skewed(spark)), "event_time"), "dt", "hr")
+    path = new_folder(spark, "hot-hour")
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"}):
+        append_files(rows, path, ("dt", "hr"))
+    back = read_files(spark, path, ("dt", "hr"))
+    files = {r.hr: r.n for r in back.groupBy("hr").agg(F.countDistinct("_metadata.file_path").alias("n")).collect()}
+    assert files["02"] > 4
+    assert len(files) == 24 and sum(files.values()) < 8 * 24 / 2, "far fewer than one per task and hour"
+    assert back.count() == 400000
+
+
+def test_a_hot_window_is_split_in_the_late_join(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    stamped = with_event_time(_skewed(spark)).cache()
+    with settings(spark, small):
+        kept = on_time_readings(stamped).cache()
+        late = late_readings(stamped)
+        number = len(late.collect())
+        assert "SortMergeJoin(skew=true)" in plan(late)
+        assert number and number + kept.count() == 400000
+    stamped.unpersist()
+    kept.unpersist()
