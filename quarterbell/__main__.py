@@ -14,6 +14,9 @@ from quarterbell.sinks import commit_pending
 from quarterbell.sources import read_messages
 from quarterbell.streaming import commit_while_running, start_job
 
+# Kafka offsets stay far below this; one beyond it would stop the job, not spoil it.
+OFFSET_BOUND = 1 << 53
+
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="quarterbell")
@@ -50,6 +53,7 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         run_millis=int(time.time() * 1000),
         daytime=given.daytime,
         bad_time=given.bad_time,
+        arrival_bound=OFFSET_BOUND if given.format == "kafka" else None,
     )
     messages = read_messages(spark, given.format, options, given.path, streaming=not given.replay)
     if given.replay:

@@ -11,10 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted text (matched in full), the stand-in time of
-# readings without a usable one, and the printed form of a time.
+# readings without a usable one, and the text the table's time column accepts
+# (yyyy-MM-dd HH:mm:ss with up to three decimals).
 SAMPLE_TIME_PATTERN = r"((([0-9]{3}[1-9]|[0-9]{2}[1-9][0-9]{1}|[0-9]{1}[1-9][0-9]{2}|[1-9][0-9]{3})-(((0[13578]|1[02])-(0[1-9]|[12][0-9]|3[01]))|((0[469]|11)-(0[1-9]|[12][0-9]|30))|(02-(0[1-9]|[1][0-9]|2[0-8]))))|((([0-9]{2})(0[48]|[2468][048]|[13579][26])|((0[48]|[2468][048]|[3579][26])00))-02-29))\s+([0-1]?[0-9]|2[0-3]):([0-5][0-9]):([0-5][0-9])"
 SENTINEL_MILLIS = 57600000
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TABLE_TIME_PATTERN = r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,3})?"
 
 
 def is_present(text: Column) -> Column:
@@ -45,8 +46,11 @@ def event_time(text: Column) -> Column:
 
 
 def table_time(text: Column) -> Column:
-    """``to_timestamp`` of the SQL job: null where the text is no time."""
-    return _instant(text)
+    r"""``to_timestamp`` of the table: null where the text is no time of its format.
+
+    A bare cast would accept more, even a time of day, to which it adds today's date.
+    """
+    return F.when(text.rlike("^" + TABLE_TIME_PATTERN + r"\z"), _instant(text))
 
 
 def time_text(instant: Column) -> Column:

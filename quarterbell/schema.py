@@ -49,6 +49,8 @@ class JobOptions:
     (``"sentinel"``) or leaves them to the quarantine (``"quarantine"``).
     ``arrival_bound`` is an exclusive upper bound of ``seq`` known to the caller.
     ``gather`` shuffles each micro-batch of a stateless stream into few files.
+    ``max_records_per_task`` cuts a large topic partition into several tasks, so
+    that one partition with a third of all messages does not become one task.
     """
 
     topic: str = "readings"
@@ -57,6 +59,7 @@ class JobOptions:
     group_id: str | None = None
     consumer: Mapping[str, str] = field(default_factory=dict)
     max_offsets_per_trigger: int | None = None
+    max_records_per_task: int = 5_000_000
     min_partitions: int | None = None
     max_files_per_trigger: int | None = None
     window: str = "15 minutes"

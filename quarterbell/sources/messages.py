@@ -59,6 +59,7 @@ def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]
         start = "earliest" if start == "latest" else start
         result["endingOffsets"] = "latest"
     result["startingOffsets"] = start
+    result["maxRecordsPerPartition"] = str(options.max_records_per_task)
     if options.min_partitions is not None:
         result["minPartitions"] = str(options.min_partitions)
     if streaming and options.max_offsets_per_trigger is not None:

@@ -81,9 +81,13 @@ def test_partition_texts(spark, any_zone, text):
 
 
 def test_table_time_is_null_where_unreadable(spark, any_zone):
-    rows = texts(spark, ["2024-03-10 02:30:00", "2023-02-29 00:00:00", "", None]).select(
-        time_text(table_time(F.col("t"))).alias("p")).collect()
-    assert [r.p for r in rows] == ["2024-03-10 02:30:00", None, None, None]
+    good = ["2024-03-10 02:30:00", "1600-02-29 00:00:00", "2024-01-01 00:00:00.5"]
+    bad = [
+        "2023-02-29 00:00:00", "2024-01-01 24:00:00", "12:30:00", "T12:30:00", "2024", "2024-01-01", "2024-1-1 00:00:00",
+        "2024-01-01 00:00:00\n", "2024-01-01T00:00:00", "2024-01-01 00:00:00+08:00", "", None,
+    ]
+    rows = texts(spark, good + bad).select(time_text(table_time(F.col("t"))).alias("p")).collect()
+    assert [r.p for r in rows] == [text[:19] for text in good] + [None] * len(bad)
 
 
 def test_run_date_takes_milliseconds(spark, any_zone):

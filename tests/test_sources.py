@@ -41,7 +41,9 @@ def test_start_position(start, streaming, expected):
 
 def test_limits_and_topic():
     options = kafka_options(JobOptions(
-        topic="t", bootstrap_servers="h:1", group_id="g", max_offsets_per_trigger=5, min_partitions=7))
+        topic="t", bootstrap_servers="h:1", group_id="g", max_offsets_per_trigger=5, min_partitions=7,
+        max_records_per_task=9))
+    assert options["maxRecordsPerPartition"] == "9"
     assert options["subscribe"] == "t" and options["kafka.group.id"] == "g"
     assert options["maxOffsetsPerTrigger"] == "5" and options["minPartitions"] == "7"
     assert "maxOffsetsPerTrigger" not in kafka_options(
