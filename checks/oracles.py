@@ -172,6 +172,8 @@ def oracle_sql() -> dict[str, str]:
         "time_neat_messages": f"SELECT *, substring(sampletime, 1, 10) AS daytime FROM ({_neat(decoded)})",
         "time_neat_bounded": f"SELECT *, '2024-01-01' AS daytime FROM ({_neat(timed)})",
         "time_neat_on_time": _neat(dirty, "on_time", _LATE),
+        "time_neat_replay": f"""
+            SELECT *, substring(sampletime, 1, 10) AS daytime FROM ({_neat(decoded, "on_time", _LATE)})""",
         "late_audit": f"""
             WITH {dirty}{_LATE}
             SELECT seq, source_partition, {_text('ms')} AS event_time FROM audited WHERE late""",

@@ -26,11 +26,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--path", help="input of the file formats")
     parser.add_argument("--servers", default="")
     parser.add_argument("--topic", default="readings")
-    parser.add_argument("--start", default="earliest", help="earliest, latest or group-offsets")
+    parser.add_argument("--start", default="earliest", help="earliest, latest, group-offsets, or offsets as JSON")
     parser.add_argument("--group")
     parser.add_argument("--table", help="catalog table over the rows; its partitions are committed")
     parser.add_argument("--daytime", default="run_date", choices=("run_date", "event_date"))
     parser.add_argument("--bad-time", default="sentinel", choices=("sentinel", "quarantine"))
+    parser.add_argument("--drop-late", action="store_true", help="a replay leaves out late readings as a stream does")
     parser.add_argument("--max-files", type=int)
     parser.add_argument("--max-offsets", type=int)
     parser.add_argument("--shuffle-partitions", type=int)
@@ -53,6 +54,7 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         run_millis=int(time.time() * 1000),
         daytime=given.daytime,
         bad_time=given.bad_time,
+        drop_late=given.drop_late,
         arrival_bound=OFFSET_BOUND if given.format == "kafka" else None,
     )
     messages = read_messages(spark, given.format, options, given.path, streaming=not given.replay)

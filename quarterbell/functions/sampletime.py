@@ -54,9 +54,12 @@ def table_time(text: Column) -> Column:
 
 
 def time_text(instant: Column) -> Column:
-    """An instant as ``yyyy-MM-dd HH:mm:ss`` in UTC, whatever the session zone."""
+    """An instant as ``yyyy-MM-dd HH:mm:ss`` in UTC, whatever the session zone.
+
+    Spark marks years beyond 9999, which the last window of that year may reach, with a plus.
+    """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("SECOND", F.unix_seconds(instant), epoch).cast("string")
+    return F.ltrim(F.timestamp_add("SECOND", F.unix_seconds(instant), epoch).cast("string"), F.lit("+"))
 
 
 def day_of(instant: Column) -> Column:

@@ -20,16 +20,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-WINDOW_SECONDS = 15 * 60
-DELAY_SECONDS = 2 * 60
+from quarterbell.schema import seconds_of
 
+WINDOW = "15 minutes"
+DELAY = "2 minutes"
 
-def _window_index(seconds: Column, length: int) -> Column:
+
+def _window_index(seconds: Column, length: str) -> Column:
     # Never null, and said so: a null check on the join key would work out every time twice.
-    return F.coalesce(F.floor(seconds / F.lit(length)), F.lit(0).cast("bigint"))
+    return F.coalesce(F.floor(seconds / F.lit(seconds_of(length))), F.lit(0).cast("bigint"))
 
 
-def closing_positions(stamped: DataFrame, length: int, delay: int) -> DataFrame:
+def closing_positions(stamped: DataFrame, length: str = WINDOW, delay: str = DELAY) -> DataFrame:
     """Per (source partition, window) holding a late reading: the ``seq`` that closed it.
 
     ``seq`` must be unique and follow arrival within a source partition.
@@ -38,7 +40,7 @@ def closing_positions(stamped: DataFrame, length: int, delay: int) -> DataFrame:
     summary = stamped.groupBy(
         "source_partition",
         _window_index(seconds, length).alias("own"),
-        _window_index(seconds - delay, length).alias("reached"),
+        _window_index(seconds - seconds_of(delay), length).alias("reached"),
     ).agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
     unknown = F.lit(None).cast(stamped.schema["seq"].dataType)
     # A watermark inside window r has passed the end of every window before r.
@@ -70,19 +72,19 @@ def closing_positions(stamped: DataFrame, length: int, delay: int) -> DataFrame:
     )
 
 
-def _join_closing(stamped: DataFrame, length: int, delay: int, how: str) -> DataFrame:
+def _join_closing(stamped: DataFrame, length: str, delay: str, how: str) -> DataFrame:
     closing = closing_positions(stamped, length, delay)
     rows = stamped.withColumn("window_index", _window_index(F.unix_seconds("event_time"), length))
     return rows.join(closing, ["source_partition", "window_index"], how)
 
 
-def late_readings(stamped: DataFrame, length: int = WINDOW_SECONDS, delay: int = DELAY_SECONDS) -> DataFrame:
+def late_readings(stamped: DataFrame, length: str = WINDOW, delay: str = DELAY) -> DataFrame:
     """The readings a stream without allowed lateness would drop."""
     late = _join_closing(stamped, length, delay, "inner").where("seq > closed_by")
     return late.select(*stamped.columns)
 
 
-def on_time_readings(stamped: DataFrame, length: int = WINDOW_SECONDS, delay: int = DELAY_SECONDS) -> DataFrame:
+def on_time_readings(stamped: DataFrame, length: str = WINDOW, delay: str = DELAY) -> DataFrame:
     """The readings a stream would keep: a batch replay with the stream's late-data rule."""
     kept = _join_closing(stamped, length, delay, "left").where("closed_by IS NULL OR seq <= closed_by")
     return kept.select(*stamped.columns)

@@ -30,7 +30,7 @@ def with_run_date(rows: DataFrame, run_millis: int) -> DataFrame:
 
 def with_day(rows: DataFrame) -> DataFrame:
     """``daytime`` from the printed sample time of each row."""
-    return rows.withColumn("daytime", F.substring("sampletime", 1, 10))
+    return rows.withColumn("daytime", F.substring_index("sampletime", " ", 1))
 
 
 def with_hour(rows: DataFrame, column: str = "ts") -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from quarterbell.operators import (
+    on_time_readings,
     quarantine,
     readings,
     table_columns,
@@ -29,8 +30,14 @@ def quarter_hour_rows(
     options: JobOptions = JobOptions(),
     arrival: Column | None = None,
 ) -> DataFrame:
-    """Normalised quarter-hour readings with their ``daytime`` partition."""
+    """Normalised quarter-hour readings with their ``daytime`` partition.
+
+    A stream drops late readings in its state; a batch keeps them unless
+    ``drop_late`` asks for the same rule.
+    """
     stamped = with_watermark(with_event_time(readings(messages, options.bad_time)), options.delay)
+    if options.drop_late and not messages.isStreaming:
+        stamped = on_time_readings(stamped, options.window, options.delay)
     neat = time_neat(stamped, options.window, arrival, options.arrival_bound)
     rows = table_columns(neat)
     if options.daytime == "event_date":

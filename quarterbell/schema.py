@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
 from typing import Mapping
 
 from pyspark.sql import types as T
@@ -39,6 +40,12 @@ def table_schema(partitions: tuple[str, ...] = ()) -> T.StructType:
     return T.StructType(TABLE_SCHEMA.fields + parts)
 
 
+def seconds_of(duration: str) -> int:
+    """Whole seconds of a duration such as ``15 minutes``, written as Spark takes it."""
+    number, unit = duration.split()
+    return int(timedelta(**{unit.rstrip("s") + "s": int(number)}).total_seconds())
+
+
 @dataclass(frozen=True)
 class JobOptions:
     """What one job needs to know; nothing is read from files or the environment.
@@ -47,6 +54,7 @@ class JobOptions:
     ``daytime`` is ``"run_date"``; ``"event_date"`` takes the day of the reading.
     ``bad_time`` keeps readings without a usable time under the sentinel time
     (``"sentinel"``) or leaves them to the quarantine (``"quarantine"``).
+    ``drop_late`` makes a batch leave out late readings as a stream does.
     ``arrival_bound`` is an exclusive upper bound of ``seq`` known to the caller.
     ``gather`` shuffles each micro-batch of a stateless stream into few files.
     ``max_records_per_task`` cuts a large topic partition into several tasks, so
@@ -68,6 +76,7 @@ class JobOptions:
     run_millis: int = 0
     daytime: str = "run_date"
     bad_time: str = "sentinel"
+    drop_late: bool = False
     arrival_bound: int | None = None
     gather: bool = True
 

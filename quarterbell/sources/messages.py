@@ -44,7 +44,8 @@ def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]
 
     ``start="group-offsets"`` resumes from the checkpoint of the query, where
     Spark keeps its positions; only the very first start reads ``earliest``.
-    A batch replay always reads to the latest offset.
+    To take over the positions of a consumer group, give them as Spark's JSON
+    of offsets. A batch replay always reads to the latest offset.
     """
     result = spark_consumer_options(options.consumer)
     if options.bootstrap_servers:

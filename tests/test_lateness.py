@@ -3,6 +3,7 @@ import random
 import pytest
 
 from quarterbell.operators import late_readings, on_time_readings, with_event_time
+from quarterbell.schema import seconds_of
 from tests.conftest import READING
 
 
@@ -31,8 +32,9 @@ def test_against_brute_force(spark, length, delay):
     ]
     stamped = with_event_time(spark.createDataFrame(data, READING).repartition(6))
     expected = brute_force(rows, length, delay)
-    late = {(r.source_partition, r.seq) for r in late_readings(stamped, length, delay).collect()}
-    kept = {(r.source_partition, r.seq) for r in on_time_readings(stamped, length, delay).collect()}
+    durations = f"{length} seconds", f"{delay} seconds"
+    late = {(r.source_partition, r.seq) for r in late_readings(stamped, *durations).collect()}
+    kept = {(r.source_partition, r.seq) for r in on_time_readings(stamped, *durations).collect()}
     assert expected and late == expected
     assert kept == {(part, seq) for seq, part, _ in rows} - expected
 
@@ -47,3 +49,8 @@ def test_the_reading_that_reaches_the_end_is_itself_on_time(spark):
 def test_columns_are_kept(spark):
     stamped = with_event_time(spark.createDataFrame([], READING))
     assert late_readings(stamped).columns == stamped.columns == on_time_readings(stamped).columns
+
+
+@pytest.mark.parametrize("text, seconds", [("15 minutes", 900), ("1 minute", 60), ("2 hours", 7200), ("1 day", 86400)])
+def test_durations(text, seconds):
+    assert seconds_of(text) == seconds

@@ -26,6 +26,16 @@ def test_snap(make_readings, any_zone, time, snapped):
     assert neat(make_readings([("a", 1, DAY + time)])) == [("a", 1.0, expected)]
 
 
+@pytest.mark.parametrize("time, snapped", [
+    ("0001-01-01 00:07:31", "0001-01-01 00:15:00"),
+    ("1969-12-31 23:52:30", "1969-12-31 23:45:00"),
+    ("1969-12-31 23:52:31", "1970-01-01 00:00:00"),
+    ("9999-12-31 23:59:59", "10000-01-01 00:00:00"),
+])
+def test_snap_far_from_the_epoch(make_readings, any_zone, time, snapped):
+    assert neat(make_readings([("a", 1, time)])) == [("a", 1.0, snapped)]
+
+
 @pytest.mark.parametrize("bad", ["", None, "2024-02-30 00:00:00", "abc"])
 def test_unusable_times_meet_in_the_sentinel_window_first_come(make_readings, bad):
     rows = make_readings([("a", 1, bad), ("a", 2, ""), ("a", 3, DAY + "00:01:00")])
