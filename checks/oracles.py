@@ -119,15 +119,17 @@ def oracle_sql() -> dict[str, str]:
     dirty = _stamped("dirty_time")
     decoded = _stamped("dirty_time", "rule NOT IN (103, 107)")
     timed = _stamped("dirty_time", "rule NOT IN (97, 101, 103, 107)")
+    decode = f"""
+        WITH {_READINGS}
+        SELECT source_partition, seq, measurepointid, measuretag, value, dirty_time AS sampletime
+        FROM named WHERE rule NOT IN (103, 107)"""
+    rejects = f"""
+        WITH {_READINGS}
+        SELECT source_partition, seq, {_REASON.format(other='')}
+        FROM named WHERE rule IN (103, 107)"""
     return {
-        "decode_messages": f"""
-            WITH {_READINGS}
-            SELECT source_partition, seq, measurepointid, measuretag, value, dirty_time AS sampletime
-            FROM named WHERE rule NOT IN (103, 107)""",
-        "decode_quarantine": f"""
-            WITH {_READINGS}
-            SELECT source_partition, seq, {_REASON.format(other='')}
-            FROM named WHERE rule IN (103, 107)""",
+        "decode_messages": decode,
+        "decode_quarantine": rejects,
         "quarantine_bad_time": f"""
             WITH {_READINGS}
             SELECT source_partition, seq, {_REASON.format(other='bad_time')}
@@ -191,6 +193,8 @@ def oracle_sql() -> dict[str, str]:
             WITH {_READINGS}
             SELECT measurepointid, measuretag, value, dirty_time AS sampletime
             FROM named WHERE rule NOT IN (103, 107)""",
+        "source_archive": decode,
+        "stream_quarantine": rejects,
         "stream_time_neat": f"""
             SELECT *, '2024-01-01' AS daytime FROM (
                 {_neat(clean)} WHERE w_end <= (SELECT max(ms) FROM stamped) - 120000)""",

@@ -222,6 +222,13 @@ def source_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(lines).drop("source_partition", "seq")
 
 
+def source_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages kept as a parquet archive with their positions, read back and decoded."""
+    path = new_folder(spark, "archive")
+    _messages(spark, sf_dir, dirty=True).write.parquet(path)
+    return readings(read_messages(spark, "parquet", JobOptions(), path, streaming=False))
+
+
 def stream_time_neat(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-quarter-hour")
     rows = quarter_hour_rows(_messages(spark, sf_dir, streaming=True), JobOptions(run_millis=RUN_MILLIS))
@@ -236,12 +243,20 @@ def stream_append_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, f"{folder}/rows", ("dt", "hr"))
 
 
-def stream_append_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stream_flat(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "stream-flat")
     messages = _messages(spark, sf_dir, dirty=True, streaming=True)
     for query in start_job("flat", messages, folder, available_now=True):
         query.awaitTermination()
-    return read_files(spark, f"{folder}/rows")
+    return folder
+
+
+def stream_append_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_files(spark, f"{_stream_flat(spark, sf_dir)}/rows")
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_stream_flat(spark, sf_dir)}/quarantine").drop("raw")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -272,7 +287,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "committed_partitions": committed,
         "preview": preview,
         "source_text": source_text,
+        "source_archive": source_archive,
         "stream_time_neat": stream_time_neat,
         "stream_append_hourly": stream_append_hourly,
         "stream_append_flat": stream_append_flat,
+        "stream_quarantine": stream_quarantine,
     }

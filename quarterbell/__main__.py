@@ -32,6 +32,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--daytime", default="run_date", choices=("run_date", "event_date"))
     parser.add_argument("--bad-time", default="sentinel", choices=("sentinel", "quarantine"))
     parser.add_argument("--drop-late", action="store_true", help="a replay leaves out late readings as a stream does")
+    parser.add_argument("--no-gather", action="store_true", help="write input in time order without a shuffle")
     parser.add_argument("--max-files", type=int)
     parser.add_argument("--max-offsets", type=int)
     parser.add_argument("--shuffle-partitions", type=int)
@@ -55,6 +56,7 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         daytime=given.daytime,
         bad_time=given.bad_time,
         drop_late=given.drop_late,
+        gather=not given.no_gather,
         arrival_bound=OFFSET_BOUND if given.format == "kafka" else None,
     )
     messages = read_messages(spark, given.format, options, given.path, streaming=not given.replay)

@@ -124,5 +124,6 @@ def replay_job(
     one_partition = name == "quarter_hour" and options.daytime == "run_date"
     if table is not None:
         create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
-    append_files(job.rows(messages, options), f"{folder}/rows", job.partitions, rebalance=not one_partition)
+    rebalance = options.gather and not one_partition
+    append_files(job.rows(messages, options), f"{folder}/rows", job.partitions, rebalance)
     append_files(job.rejected(messages, options), f"{folder}/quarantine")

@@ -56,7 +56,8 @@ class JobOptions:
     (``"sentinel"``) or leaves them to the quarantine (``"quarantine"``).
     ``drop_late`` makes a batch leave out late readings as a stream does.
     ``arrival_bound`` is an exclusive upper bound of ``seq`` known to the caller.
-    ``gather`` shuffles each micro-batch of a stateless stream into few files.
+    ``gather`` shuffles a batch, or each micro-batch of a stateless stream, into
+    few files per table partition; without it input in time order is written as read.
     ``max_records_per_task`` cuts a large topic partition into several tasks, so
     that one partition with a third of all messages does not become one task.
     """

@@ -1,4 +1,8 @@
+import json
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from quarterbell.operators import quarantine, readings, table_quarantine, table_rows
 
@@ -68,3 +72,22 @@ def test_table_decode_keeps_missing_values(messages):
     assert reasons == {at: reason for at, (_, _, reason) in enumerate(RECORDS) if reason}
     assert set(rows) == set(range(len(RECORDS))) - set(reasons)
     assert 4 in {r.seq for r in table_rows(messages, keep_null_time=True).collect()}
+
+
+TEXT = st.none() | st.text(st.characters(exclude_categories=["Cs"]), max_size=12)
+NUMBER = st.floats(allow_nan=False, allow_infinity=False) | st.integers(-10**25, 10**25)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(TEXT, TEXT, NUMBER, st.booleans(), TEXT, st.booleans()), min_size=1, max_size=200))
+def test_any_text_and_number_survives_decoding(spark, records):
+    rows = []
+    for at, (point, tag, number, quoted, time, escaped) in enumerate(records):
+        value = json.dumps(number) if quoted else number
+        raw = json.dumps(
+            {"OTHER": [1, {"VALUE": 0}], "MEASUREPOINTID": point, "MEASURETAG": tag, "VALUE": value, "SAMPLETIME": time},
+            ensure_ascii=escaped)
+        rows.append((raw, 0, at))
+    messages = spark.createDataFrame(rows, "raw STRING, source_partition INT, seq BIGINT")
+    found = {r.seq: (r.measurepointid, r.measuretag, r.value, r.sampletime) for r in readings(messages).collect()}
+    assert found == {at: (p, t, float(n), time) for at, (p, t, n, _, time, _) in enumerate(records)}

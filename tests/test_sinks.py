@@ -150,3 +150,16 @@ def test_listing_written_partitions_opens_no_file(spark, make_readings):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
