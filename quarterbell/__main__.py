@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 
 from quarterbell.plans import JOBS, replay_job
 from quarterbell.schema import JobOptions
@@ -64,13 +64,16 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         replay_job(given.job, messages, given.folder, options, given.table)
         return
     main, side = start_job(given.job, messages, given.folder, options, given.available_now, given.table)
-    rule = JOBS[given.job].commit
-    if given.table is not None and rule is not None:
-        delay = options.delay if JOBS[given.job].stateful else options.table_delay
-        commit_while_running(main, lambda watermark: commit_pending(
-            spark, given.table, f"{given.folder}/rows", f"{given.folder}/ledger", watermark, rule,
-        ), delay, given.commit_seconds)
-    main.awaitTermination()
+    job = JOBS[given.job]
+
+    def commit(watermark: Column) -> list:
+        if given.table is None or job.commit is None:
+            return []
+        rows, ledger = f"{given.folder}/rows", f"{given.folder}/ledger"
+        return commit_pending(spark, given.table, rows, ledger, watermark, job.commit)
+
+    delay = options.delay if job.stateful else options.table_delay
+    commit_while_running(main, commit, delay, given.commit_seconds, side)
     side.awaitTermination()
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 _STATEMENT_SIZE = 500
 
 
@@ -58,7 +57,7 @@ def committable_partitions(parts: DataFrame, watermark: Column, rule: CommitRule
 
 
 def written_partitions(spark: SparkSession, path: str, partitions: tuple[str, ...]) -> DataFrame:
-    """Partitions of a folder with the time of their newest file.
+    """Partitions of a folder with the time of their newest file in milliseconds.
 
     Lists files and opens none, so the step costs one row per file however
     many readings they hold. Files of a batch that a stream has not finished
@@ -74,13 +73,13 @@ def written_partitions(spark: SparkSession, path: str, partitions: tuple[str, ..
     return (
         files.select(*names, "modificationTime")
         .groupBy(*partitions)
-        .agg(F.max("modificationTime").alias("written_at"))
+        .agg(F.unix_millis(F.max("modificationTime")).alias("written_at"))
     )
 
 
 def _ledger_schema(partitions: tuple[str, ...]) -> T.StructType:
     fields = [T.StructField(name, T.StringType()) for name in partitions]
-    return T.StructType(fields + [T.StructField("written_at", T.TimestampType())])
+    return T.StructType(fields + [T.StructField("written_at", T.LongType())])
 
 
 def _ledger(spark: SparkSession, path: str, partitions: tuple[str, ...]) -> DataFrame:

@@ -99,11 +99,18 @@ def commit_while_running(
     commit: Callable[[Column], list],
     delay: str,
     interval_seconds: int = 90,
+    beside: StreamingQuery | None = None,
 ) -> None:
-    """Call ``commit`` with the watermark at every interval until the query ends, and once after."""
+    """Call ``commit`` with the watermark at every interval until the query ends, and once after.
+
+    A failure of the query, or of the one that runs beside it, ends both.
+    """
     running = True
     while running:
         running = not query.awaitTermination(interval_seconds)
+        if beside is not None and beside.exception() is not None:
+            query.stop()
+            raise beside.exception()
         watermark = watermark_of(query, delay)
         if watermark is not None:
             commit(watermark)

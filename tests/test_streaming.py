@@ -177,3 +177,14 @@ def test_state_is_kept_in_rocksdb(spark):
     query = run(spark, path, folder)
     metrics = [op.customMetrics for p in query.recentProgress for op in p.stateOperators]
     assert any("rocksdbPutCount" in m for m in metrics)
+
+
+def test_a_failure_of_the_quarantine_ends_the_job(spark):
+    path, folder = archive(spark, dirty=False, files=1), new_folder(spark, "failure")
+    messages = read_messages(spark, "parquet", ONE_FILE, path)
+    main = append_stream(flat_rows(messages), f"{folder}/rows", f"{folder}/c1", interval="1 second")
+    broken = messages.select(F.raise_error(F.lit("broken")).cast("string").alias("raw"))
+    side = append_stream(broken, f"{folder}/quarantine", f"{folder}/c2", interval="1 second")
+    with pytest.raises(Exception, match="broken"):
+        commit_while_running(main, lambda watermark: [], "2 minutes", 2, side)
+    assert not main.isActive
