@@ -7,11 +7,11 @@ cheaper: all that matters about a window is the first ``seq`` whose watermark
 reached its end, and a reading is late exactly if its ``seq`` is greater.
 
 So one hash aggregation per (source partition, window) gives the first and
-last ``seq``, a running minimum over that summary, whose size grows with the
-time span and not with the readings, gives the closing ``seq`` of each window,
-and windows that hold a late reading at all are joined back. Readings are
-never sorted; a hot (source partition, window) is pre-aggregated before its
-shuffle and, in the join, left to the adaptive skew handling.
+last ``seq``, a running minimum over that summary, first by blocks of windows
+and then inside each block, gives the closing ``seq`` of each window, and
+windows that hold a late reading at all are joined back. Readings are never
+sorted; a hot (source partition, window) is pre-aggregated before its shuffle
+and, in the join, left to the adaptive skew handling.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from quarterbell.schema import seconds_of
 
 WINDOW = "15 minutes"
 DELAY = "2 minutes"
+BLOCK = 4096
 
 
 def _window_index(seconds: Column, length: str) -> Column:
@@ -58,17 +59,46 @@ def closing_positions(stamped: DataFrame, length: str = WINDOW, delay: str = DEL
                 "last_seq",
             ),
         )),
+    ).withColumn("block", F.floor(F.col("window_index") / F.lit(BLOCK)))
+    return (
+        facts.join(_blocks_with_late(facts), ["source_partition", "block"])
+        .withColumn("closed_by", F.least(
+            F.min("closed_by").over(
+                W.partitionBy("source_partition", "block")
+                .orderBy(F.desc("window_index"))
+                .rangeBetween(W.unboundedPreceding, W.currentRow)
+            ),
+            "closed_later",
+        ))
+        .where("last_seq > closed_by")
+        # By block as well: that needs no shuffle here and leaves the one for the join
+        # directly below it, where skewed partitions can be split.
+        .groupBy("source_partition", "block", "window_index")
+        .agg(F.min("closed_by").alias("closed_by"))
+        .drop("block")
     )
-    at_or_after = (
+
+
+def _blocks_with_late(facts: DataFrame) -> DataFrame:
+    """Blocks of windows that may hold a late reading, and the first ``seq`` past the whole block.
+
+    Going by blocks bounds the rows one task has to order: readings with wild
+    times may name any window between the years 1 and 9999, which are 350
+    million, but no more than 86,000 blocks of at most 4096 windows.
+    """
+    blocks = facts.groupBy("source_partition", "block").agg(
+        F.min("closed_by").alias("closed_inside"),
+        F.max("last_seq").alias("last_inside"),
+    )
+    later = (
         W.partitionBy("source_partition")
-        .orderBy(F.desc("window_index"))
-        .rangeBetween(W.unboundedPreceding, W.currentRow)
+        .orderBy(F.desc("block"))
+        .rowsBetween(W.unboundedPreceding, -1)
     )
-    closed = facts.withColumn("closed_by", F.min("closed_by").over(at_or_after))
     return (
-        closed.where("last_seq > closed_by")
-        .groupBy("source_partition", "window_index")
-        .agg(F.min("closed_by").alias("closed_by"))
+        blocks.withColumn("closed_later", F.min("closed_inside").over(later))
+        .where("last_inside > least(closed_inside, closed_later)")
+        .select("source_partition", "block", "closed_later")
     )
 
 

@@ -1,4 +1,5 @@
 import random
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -39,6 +40,22 @@ def test_against_brute_force(spark, length, delay):
     assert kept == {(part, seq) for seq, part, _ in rows} - expected
 
 
+def test_wild_times_against_brute_force(spark):
+    """Times spread over centuries fall into many blocks of windows."""
+    rng = random.Random(11)
+    base = datetime(2024, 1, 1)
+    rows, clock = [], 0
+    for seq in range(3000):
+        clock += rng.randrange(0, 40000)
+        jump = rng.choice([0, 0, 0, -900, -86400, -40 * 86400, -400 * 86400, -(10 ** 10)])
+        rows.append((seq, seq % 3, clock + jump if rng.random() < 0.97 else clock - rng.randrange(6 * 10 ** 10)))
+    data = [(seq, part, "a", "t", 1.0, str(base + timedelta(seconds=s))) for seq, part, s in rows]
+    stamped = with_event_time(spark.createDataFrame(data, READING).repartition(6))
+    expected = brute_force(rows, 900, 120)
+    late = {(r.source_partition, r.seq) for r in late_readings(stamped).collect()}
+    assert late == expected and len(rows) > len(expected) > 100
+
+
 def test_the_reading_that_reaches_the_end_is_itself_on_time(spark):
     times = ["00:14:59", "00:16:59", "00:14:59", "00:17:00", "00:14:59", "00:15:00"]
     data = [(at, 0, "a", "t", 1.0, "2024-01-01 " + time) for at, time in enumerate(times)]
