@@ -109,6 +109,22 @@ def test_a_restart_neither_loses_nor_repeats(spark):
     assert again.count() > first
 
 
+def test_a_crash_in_mid_batch_neither_loses_nor_repeats(spark):
+    """Some tasks of the second batch write their file, one fails for good; the next run redoes the batch."""
+    path, folder = archive(spark, dirty=False, files=2), new_folder(spark, "crash")
+
+    def failing(messages, options):
+        lost = F.when(F.col("seq") == 700, F.raise_error(F.lit("task lost")).cast("string"))
+        return flat_rows(messages.repartition(4, "seq").withColumn("raw", lost.otherwise(F.col("raw"))))
+
+    with pytest.raises(Exception, match="task lost"):
+        run(spark, path, folder, failing, partitions=())
+    assert read_files(spark, f"{folder}/rows").count() == 500
+    run(spark, path, folder, flat_rows, partitions=())
+    batch, streamed = flat_rows(spark.read.schema(RAW).parquet(path)), read_files(spark, f"{folder}/rows")
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
 @pytest.mark.parametrize("name, rows, partitions", [("hourly", hourly_rows, ("dt", "hr")), ("flat", flat_rows, ())])
 def test_stateless_jobs_lose_nothing(spark, name, rows, partitions):
     path, folder = archive(spark, dirty=True, files=2), new_folder(spark, name)
