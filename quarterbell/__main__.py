@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import time
 
 from pyspark.sql import Column, SparkSession
 
@@ -52,7 +51,6 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         group_id=given.group,
         max_offsets_per_trigger=given.max_offsets,
         max_files_per_trigger=given.max_files,
-        run_millis=int(time.time() * 1000),
         daytime=given.daytime,
         bad_time=given.bad_time,
         drop_late=given.drop_late,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,10 @@ def table_columns(readings: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def with_run_date(rows: DataFrame, run_millis: int) -> DataFrame:
-    """One ``daytime`` for the whole run: the day it started."""
+def with_run_date(rows: DataFrame, run_millis: int | None = None) -> DataFrame:
+    """One ``daytime`` for the whole run: the day it started, by default now."""
+    if run_millis is None:
+        run_millis = int(time.time() * 1000)
     return rows.withColumn("daytime", run_date(run_millis))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterbell.functions import event_time, time_text
+from quarterbell.schema import seconds_of
 
 KEYS = ("measurepointid", "measuretag")
 WINDOW = "15 minutes"
@@ -58,12 +59,16 @@ def newest_per_window(
     windowed: DataFrame,
     arrival: Column | None = None,
     arrival_bound: int | None = None,
+    length: str = WINDOW,
 ) -> DataFrame:
     """The reading with the greatest event time per key and window.
 
     Of readings with the same time the one that arrived first wins; ``arrival``
     (default: ``seq``) is its numeric order of arrival, null counting as last.
+    ``length`` is that of the windows.
     """
+    if seconds_of(length) > 10**7 or seconds_of(length) * (arrival_bound or 0) >= 1 << 63:
+        raise ValueError(f"windows of {length} are too long to rank arrivals in")
     rank = _newest_first_come(F.col("seq") if arrival is None else arrival, arrival_bound)
     return windowed.groupBy(*KEYS, "window").agg(
         F.max_by("value", rank).alias("value"),
@@ -90,5 +95,5 @@ def time_neat(
     Neighbouring windows may snap to the same edge, so key and time together
     are not unique; that is the wanted result.
     """
-    newest = newest_per_window(in_windows(stamped, length), arrival, arrival_bound)
+    newest = newest_per_window(in_windows(stamped, length), arrival, arrival_bound, length)
     return snap_to_window(newest).select(*KEYS, "value", "sampletime")

@@ -41,17 +41,19 @@ def table_schema(partitions: tuple[str, ...] = ()) -> T.StructType:
 
 
 def seconds_of(duration: str) -> int:
-    """Whole seconds of a duration such as ``15 minutes``, written as Spark takes it."""
-    number, unit = duration.split()
-    return int(timedelta(**{unit.rstrip("s") + "s": int(number)}).total_seconds())
+    """Whole seconds of a duration such as ``15 minutes`` or ``1 hour 30 minutes``."""
+    words = duration.split()
+    parts = {unit.rstrip("s") + "s": int(number) for number, unit in zip(words[::2], words[1::2])}
+    return int(timedelta(**parts).total_seconds())
 
 
 @dataclass(frozen=True)
 class JobOptions:
     """What one job needs to know; nothing is read from files or the environment.
 
-    ``run_millis`` is the start of the run and names the daily partition when
-    ``daytime`` is ``"run_date"``; ``"event_date"`` takes the day of the reading.
+    ``run_millis`` is the start of the run (default: when its plan is made) and
+    names the daily partition when ``daytime`` is ``"run_date"``;
+    ``"event_date"`` takes the day of the reading.
     ``bad_time`` keeps readings without a usable time under the sentinel time
     (``"sentinel"``) or leaves them to the quarantine (``"quarantine"``).
     ``drop_late`` makes a batch leave out late readings as a stream does.
@@ -74,7 +76,7 @@ class JobOptions:
     window: str = "15 minutes"
     delay: str = "2 minutes"
     table_delay: str = "3 minutes"
-    run_millis: int = 0
+    run_millis: int | None = None
     daytime: str = "run_date"
     bad_time: str = "sentinel"
     drop_late: bool = False

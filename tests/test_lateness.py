@@ -68,6 +68,6 @@ def test_columns_are_kept(spark):
     assert late_readings(stamped).columns == stamped.columns == on_time_readings(stamped).columns
 
 
-@pytest.mark.parametrize("text, seconds", [("15 minutes", 900), ("1 minute", 60), ("2 hours", 7200), ("1 day", 86400)])
+@pytest.mark.parametrize("text, seconds", [("15 minutes", 900), ("1 minute", 60), ("2 hours", 7200), ("1 day", 86400), ("1 hour 30 minutes", 5400)])
 def test_durations(text, seconds):
     assert seconds_of(text) == seconds

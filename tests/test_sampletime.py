@@ -1,3 +1,5 @@
+from datetime import datetime, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from quarterbell.functions import (
     table_time,
     time_text,
 )
+from quarterbell.operators import with_run_date
 
 VALID = {
     "2024-02-29 00:00:00": "2024-02-29 00:00:00",
@@ -92,3 +95,9 @@ def test_table_time_is_null_where_unreadable(spark, any_zone):
 
 def test_run_date_takes_milliseconds(spark, any_zone):
     assert spark.range(1).select(run_date(1610000000000)).head()[0] == "2021-01-07"
+
+
+def test_a_run_without_a_start_is_dated_today(spark):
+    before = datetime.now(timezone.utc).date()
+    row = with_run_date(spark.range(1)).head()
+    assert row.daytime in {str(before), str(datetime.now(timezone.utc).date())}

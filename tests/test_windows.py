@@ -65,6 +65,12 @@ def test_other_window_lengths(make_readings):
     assert neat(rows, length="1 hour") == [("a", 2.0, DAY + "01:00:00")]
 
 
+@pytest.mark.parametrize("length, bound", [("120 days", None), ("15 minutes", 1 << 54), ("1 hour", 1 << 53)])
+def test_windows_too_long_for_the_rank_are_refused(make_readings, length, bound):
+    with pytest.raises(ValueError, match="too long"):
+        neat(make_readings([("a", 1, DAY + "00:01:00")]), length=length, arrival_bound=bound)
+
+
 def test_any_bigint_is_a_position(spark, make_readings):
     least, most = -(1 << 63), (1 << 63) - 1
     rows = make_readings([("a", 1, DAY + "00:14:59"), ("a", 2, DAY + "00:14:59"), ("a", 3, DAY + "00:14:58")])
