@@ -22,7 +22,7 @@ from quarterbell.operators import (
     with_watermark,
 )
 from quarterbell.schema import DAILY_PARTITIONS, HOURLY_PARTITIONS, JobOptions
-from quarterbell.sinks import DAILY_COMMIT, HOURLY_COMMIT, CommitRule, append_files, create_table
+from quarterbell.sinks import DAILY_COMMIT, HOURLY_COMMIT, CommitRule, append_files, append_table, create_table
 
 
 def quarter_hour_rows(
@@ -117,13 +117,17 @@ def replay_job(
 ) -> None:
     """Run a job once over a bounded source, appending below ``folder``.
 
-    Rows of one run date need no shuffle of their own: the aggregation has
-    already spread them evenly over the tasks.
+    With ``table`` the rows go through the catalog, which learns their partitions
+    at once. Rows of one run date need no shuffle of their own: the aggregation
+    has already spread them evenly over the tasks.
     """
     job = JOBS[name]
+    rows = job.rows(messages, options)
     one_partition = name == "quarter_hour" and options.daytime == "run_date"
-    if table is not None:
-        create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
     rebalance = options.gather and not one_partition
-    append_files(job.rows(messages, options), f"{folder}/rows", job.partitions, rebalance)
+    if table is None:
+        append_files(rows, f"{folder}/rows", job.partitions, rebalance)
+    else:
+        create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
+        append_table(rows, table, job.partitions, rebalance)
     append_files(job.rejected(messages, options), f"{folder}/quarantine")

@@ -5,6 +5,7 @@ import pytest
 from checks.bindings import as_messages, events
 from quarterbell.__main__ import arguments, run
 from quarterbell.plans import JOBS
+from quarterbell.schema import table_schema
 from quarterbell.session import new_folder
 from quarterbell.sinks import read_files
 from tests.conftest import hours_due
@@ -53,9 +54,13 @@ def test_a_table_is_made_and_its_partitions_committed(spark, archive, job, dayti
         assert f"daytime={last}" in listed, "a day is due as soon as it has begun"
 
 
-def test_a_replay_may_name_a_table(spark, archive):
-    folder = start(spark, "flat", archive, "--replay", "--table", "job_flat")
-    assert spark.table("job_flat").count() == read_files(spark, f"{folder}/rows").count() > 900
+@pytest.mark.parametrize("job", ["flat", "quarter_hour"])
+def test_a_replay_may_fill_a_table(spark, archive, job):
+    more = ["--replay", "--daytime", "event_date", "--table", f"replayed_{job}"]
+    folder = start(spark, job, archive, *more)
+    table = spark.table(f"replayed_{job}")
+    assert table.count() == read_files(spark, f"{folder}/rows", JOBS[job].partitions).count() > 900
+    assert table.schema == table_schema(JOBS[job].partitions)
 
 
 def test_modes_exclude_each_other():
