@@ -75,11 +75,9 @@ def table_rows(messages: DataFrame, keep_null_time: bool = False) -> DataFrame:
     Records without a time can be placed in no hourly partition; they are left
     to ``table_quarantine`` unless ``keep_null_time`` asks for them.
     """
-    rows = (
-        _fields(messages)
-        .where(_has_value() | _empty_value())
-        .select(*_READING, table_time(F.col("sampletime")).alias("ts"))
-    )
+    # As the output of a generator ``ts`` is not worked out a second time for the null check.
+    ts = F.explode(F.array(table_time(F.col("sampletime")))).alias("ts")
+    rows = _fields(messages).where(_has_value() | _empty_value()).select(*_READING, ts)
     return rows if keep_null_time else rows.where("ts IS NOT NULL")
 
 

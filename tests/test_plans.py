@@ -89,6 +89,10 @@ def test_each_text_is_parsed_once(messages):
         assert text.count("Generate json_tuple") == 1 and "from_json" not in text
 
 
+def test_the_table_time_is_worked_out_once(messages):
+    assert plan(hourly_rows(messages)).count("RLIKE(") == 1
+
+
 def test_times_are_worked_out_once_per_scan(late_messages):
     """A null check derived for a join key would repeat the pattern match, a second summary the scan."""
     late = late_readings(with_event_time(readings(late_messages)))
