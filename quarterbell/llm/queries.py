@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterbell.llm import mixing, sharding, substrings
+from quarterbell.llm import licenses, mixing, sharding, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": licenses.op1_license_scan,
         "op2_remove_repeats": substrings.op2_remove_repeats,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op9_shard_documents": sharding.op9_shard_documents,
