@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterbell.llm import licenses, mixing, sharding, substrings, toxicity
+from quarterbell.llm import decontamination, licenses, mixing, sharding, substrings, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": licenses.op1_license_scan,
         "op2_remove_repeats": substrings.op2_remove_repeats,
+        "op6_decontamination": decontamination.op6_decontamination,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op9_shard_documents": sharding.op9_shard_documents,
         "op10_toxicity": toxicity.op10_toxicity,
