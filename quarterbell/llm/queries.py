@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterbell.llm import decontamination, licenses, mixing, sharding, substrings, toxicity
+from quarterbell.llm import decontamination, licenses, mixing, scoring, sharding, substrings, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_remove_repeats": substrings.op2_remove_repeats,
         "op6_decontamination": decontamination.op6_decontamination,
         "op7_mix_sources": mixing.op7_mix_sources,
+        "op8_language_model_scores": scoring.op8_language_model_scores,
         "op9_shard_documents": sharding.op9_shard_documents,
         "op10_toxicity": toxicity.op10_toxicity,
     }
