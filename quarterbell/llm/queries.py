@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterbell.llm import decontamination, licenses, mixing, nearduplicates, scoring, sharding, substrings, toxicity
+from quarterbell.llm import decontamination, embeddings, licenses, mixing, nearduplicates, scoring, sharding, substrings, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_license_scan": licenses.op1_license_scan,
         "op2_remove_repeats": substrings.op2_remove_repeats,
         "op4_near_duplicates": nearduplicates.op4_near_duplicates,
+        "op5_near_vectors": embeddings.op5_near_vectors,
         "op6_decontamination": decontamination.op6_decontamination,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op8_language_model_scores": scoring.op8_language_model_scores,
