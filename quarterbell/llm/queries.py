@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterbell.llm import decontamination, embeddings, licenses, mixing, nearduplicates, scoring, sharding, substrings, toxicity
+from quarterbell.llm import decontamination, embeddings, licenses, mixing, nearduplicates, private, scoring, sharding, substrings, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": licenses.op1_license_scan,
         "op2_remove_repeats": substrings.op2_remove_repeats,
+        "op3_private_data": private.op3_private_data,
         "op4_near_duplicates": nearduplicates.op4_near_duplicates,
         "op5_near_vectors": embeddings.op5_near_vectors,
         "op6_decontamination": decontamination.op6_decontamination,
