@@ -82,3 +82,16 @@ def as_messages(table: DataFrame, dirty: bool = False) -> DataFrame:
         .otherwise(whole)
     )
     return ruled.select(raw.alias("raw"), "source_partition", "seq")
+
+
+def as_tied_messages(table: DataFrame) -> DataFrame:
+    """Clean messages whose times are cut to the hour and whose ``seq`` starts anew in each source partition."""
+    readings = as_readings(table)
+    raw = F.to_json(F.struct(
+        F.col("measurepointid").alias("MEASUREPOINTID"),
+        F.col("measuretag").alias("MEASURETAG"),
+        F.col("value").alias("VALUE"),
+        F.concat(F.substring("sampletime", 1, 14), F.lit("00:00")).alias("SAMPLETIME"),
+    ))
+    return readings.select(
+        raw.alias("raw"), (F.col("seq") % 4).cast("int").alias("source_partition"), F.floor(F.col("seq") / 4).cast("bigint").alias("seq"))

@@ -172,6 +172,14 @@ def oracle_sql() -> dict[str, str]:
         "time_neat": _neat(clean),
         "time_neat_dirty": _neat(dirty),
         "time_neat_messages": f"SELECT *, substring(sampletime, 1, 10) AS daytime FROM ({_neat(decoded)})",
+        "time_neat_ties": f"""
+            WITH {_READINGS}, tied AS (
+                SELECT measurepointid, measuretag, value, seq // 4 AS seq, seq % 4 AS source_partition,
+                       epoch_ms(CAST(substring(clean_time, 1, 14) || '00:00' AS TIMESTAMP)) AS ms
+                FROM named
+            ), windowed AS (SELECT *, ms AS w, ms + 900000 AS w_end FROM tied),
+            {_NEWEST.format(source='windowed').replace("ms DESC, seq)", "ms DESC, seq, source_partition)")}
+            SELECT *, '2024-01-01' AS daytime FROM ({_NEAT})""",
         "time_neat_bounded": f"SELECT *, '2024-01-01' AS daytime FROM ({_neat(timed)})",
         "time_neat_on_time": _neat(dirty, "on_time", _LATE),
         "time_neat_replay": f"""
@@ -179,12 +187,25 @@ def oracle_sql() -> dict[str, str]:
         "late_audit": f"""
             WITH {dirty}{_LATE}
             SELECT seq, source_partition, {_text('ms')} AS event_time FROM audited WHERE late""",
+        "late_audit_files": f"""
+            WITH {decoded}{_LATE}
+            SELECT source_partition, measurepointid, measuretag, value, {_text('ms')} AS event_time
+            FROM audited WHERE late""",
         "hourly_sql": _HOURLY_DIRTY,
         "append_hourly": _HOURLY_CLEAN,
         "append_daily": f"SELECT *, '2024-01-01' AS daytime FROM ({_neat(clean)})",
         "append_flat": f"WITH {_READINGS} {_FLAT.format(time='clean_time', where='TRUE')}",
         "committable_partitions": _COMMITTABLE,
         "committed_partitions": _COMMITTABLE,
+        "committed_daily": f"""
+            WITH span AS (
+                SELECT epoch_ms(min(CAST(ts AS TIMESTAMP))) // 1000 * 1000 AS lo, epoch_ms(max(CAST(ts AS TIMESTAMP))) // 1000 * 1000 AS hi FROM events
+            )
+            SELECT DISTINCT daytime FROM (SELECT substring(sampletime, 1, 10) AS daytime FROM ({_neat(clean)}))
+            WHERE (SELECT lo + (hi - lo) // 2 - 180000 FROM span) > epoch_ms(strptime(daytime, '%Y-%m-%d'))""",
+        "replay_committed": f"SELECT dt, hr, count(*) AS n FROM ({_HOURLY_CLEAN}) GROUP BY dt, hr",
+        "list_tables": "SELECT DISTINCT 'readings_' || event_type AS table_name FROM events",
+        "preview_stream": "SELECT least(2, count(*)) AS n FROM events",
         "preview": f"""
             WITH {_READINGS}
             SELECT source_partition, seq, measurepointid, measuretag, value, clean_time AS sampletime
@@ -198,7 +219,20 @@ def oracle_sql() -> dict[str, str]:
         "stream_time_neat": f"""
             SELECT *, '2024-01-01' AS daytime FROM (
                 {_neat(clean)} WHERE w_end <= (SELECT max(ms) FROM stamped) - 120000)""",
+        # a row is dropped if the batches before the previous one had closed its window
+        "stream_time_neat_batches": f"""
+            SELECT *, '2024-01-01' AS daytime FROM (
+                WITH {decoded}, placed AS (
+                    SELECT *, seq * 4 // (SELECT count(*) FROM events) AS batch FROM windowed
+                ), batches AS (
+                    SELECT batch, max(max(ms)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 120000 AS closed
+                    FROM placed GROUP BY batch
+                ), accepted AS (
+                    SELECT placed.* FROM placed JOIN batches USING (batch) WHERE closed IS NULL OR w_end > closed
+                ), {_NEWEST.format(source='accepted')} {_NEAT}
+                WHERE w_end <= (SELECT max(ms) FROM stamped) - 120000)""",
         "stream_append_hourly": _HOURLY_DIRTY,
+        "stream_hourly_sql": _HOURLY_DIRTY,
         "stream_append_flat": f"""
             WITH {_READINGS} {_FLAT.format(time='dirty_time', where='rule NOT IN (103, 107)')}""",
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.bindings import as_messages, as_readings, events
+from checks.bindings import as_messages, as_readings, as_tied_messages, events
 from quarterbell import JobOptions
 from quarterbell.functions import event_time, is_present, is_valid_sample_time, time_text
 from quarterbell.operators import (
@@ -24,17 +24,20 @@ from quarterbell.operators import (
     with_event_time,
     with_hour,
 )
-from quarterbell.plans import flat_rows, hourly_rows, hourly_rows_sql, quarter_hour_rows
+from quarterbell.plans import commit_replay, flat_rows, hourly_rows, hourly_rows_sql, quarter_hour_rows, replay_job
 from quarterbell.session import new_folder
 from quarterbell.sinks import (
+    DAILY_COMMIT,
     append_files,
     commit_pending,
     committable_partitions,
     create_table,
+    list_tables,
     read_files,
+    use_database,
 )
 from quarterbell.sources import read_messages
-from quarterbell.streaming import append_stream, start_job
+from quarterbell.streaming import append_stream, preview_stream, start_job
 
 # The day the daily table is filled, as the start of a run.
 RUN_MILLIS = 1704067200000
@@ -126,6 +129,11 @@ def time_neat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarter_hour_rows(_messages(spark, sf_dir, dirty=True), JobOptions(daytime="event_date"))
 
 
+def time_neat_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job where positions repeat over source partitions and most times are equal."""
+    return quarter_hour_rows(as_tied_messages(events(spark, sf_dir)), JobOptions(run_millis=RUN_MILLIS))
+
+
 def time_neat_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job with the cheaper ranking for positions below 2^53."""
     return quarter_hour_rows(
@@ -150,6 +158,19 @@ def late_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("seq", "source_partition", time_text(F.col("event_time")).alias("event_time"))
 
 
+def late_audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit over text files, several of which make up each stream."""
+    path = new_folder(spark, "files")
+    messages = _messages(spark, sf_dir, dirty=True).withColumn("file", F.floor(F.col("seq") * 4 / events(spark, sf_dir).count()))
+    ordered = messages.repartition("source_partition", "file").sortWithinPartitions("source_partition", "file", "seq")
+    ordered.select("raw", F.col("source_partition").alias("stream"), "file").write.partitionBy("stream", "file").text(path)
+    stream = F.regexp_extract("path", "/stream=([0-9]+)/", 1).cast("int")
+    lines = read_messages(spark, "text", JobOptions(), path, streaming=False, stream=stream)
+    late = late_readings(with_event_time(readings(lines)))
+    return late.select(
+        "source_partition", "measurepointid", "measuretag", "value", time_text(F.col("event_time")).alias("event_time"))
+
+
 def hourly_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_rows_sql(_messages(spark, sf_dir, dirty=True))
 
@@ -210,6 +231,58 @@ def committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _partitions_of(spark: SparkSession, table: str, *names: str) -> DataFrame:
+    listed = spark.sql(f"SHOW PARTITIONS {table}")
+    return listed.select(*[F.regexp_extract("partition", f"{name}=([^/]*)", 1).alias(name) for name in names])
+
+
+def committed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the daily table, commit the days that are due, and read the catalog's partitions."""
+    path = new_folder(spark, "committed-daily")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    append_files(quarter_hour_rows(_messages(spark, sf_dir), JobOptions(daytime="event_date")), path, ("daytime",))
+    create_table(spark, table, ("daytime",), path)
+    commit_pending(spark, table, path, f"{path}-ledger", _watermark_in_the_middle(_hours(spark, sf_dir)), DAILY_COMMIT)
+    listed = _partitions_of(spark, table, "daytime")
+    spark.sql(f"DROP TABLE {table}")
+    return listed
+
+
+def replay_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay the hourly job twice, commit, and count the rows of the committed partitions."""
+    folder = new_folder(spark, "replayed")
+    table = folder.rsplit("/", 1)[1].replace("-", "_")
+    messages = _messages(spark, sf_dir)
+    for _ in range(2):
+        replay_job("hourly", messages, folder, table=table)
+    commit_replay(spark, "hourly", folder, table)
+    committed = spark.read.parquet(f"{folder}/ledger").select("dt", "hr")
+    rows = read_files(spark, f"{folder}/rows", ("dt", "hr")).groupBy("dt", "hr").agg(F.count("*").alias("n"))
+    spark.sql(f"DROP TABLE {table}")
+    return rows.join(committed, ["dt", "hr"], "left_semi")
+
+
+def listed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database with a table for each tag of the readings, listed."""
+    before, name = spark.catalog.currentDatabase(), new_folder(spark, "listed").rsplit("/", 1)[1].replace("-", "_")
+    use_database(spark, name)
+    try:
+        for row in _readings(spark, sf_dir).select("measuretag").distinct().collect():
+            create_table(spark, f"readings_{row.measuretag}")
+        found = [(table,) for table in list_tables(spark) if table.startswith("readings_")]
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    return spark.createDataFrame(found, "table_name STRING")
+
+
+def previewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the previewed rows of the stream are rows of the table."""
+    name = new_folder(spark, "previewed").rsplit("/", 1)[1].replace("-", "_")
+    first = preview_stream(table_rows(_messages(spark, sf_dir, streaming=True)).drop("ts"), name)
+    return first.join(table_rows(_messages(spark, sf_dir)).drop("ts"), "seq", "left_semi").agg(F.count("*").alias("n"))
+
+
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_rows(_messages(spark, sf_dir)).drop("ts").orderBy("seq").limit(2)
 
@@ -243,6 +316,29 @@ def stream_append_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, f"{folder}/rows", ("dt", "hr"))
 
 
+def stream_hourly_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly job written in SQL over a stream."""
+    folder = new_folder(spark, "stream-sql")
+    name = folder.rsplit("/", 1)[1].replace("-", "_")
+    rows = hourly_rows_sql(_messages(spark, sf_dir, dirty=True, streaming=True), name)
+    append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("dt", "hr"), available_now=True).awaitTermination()
+    return read_files(spark, f"{folder}/rows", ("dt", "hr"))
+
+
+def stream_time_neat_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarter-hour job over an archive of four files, one for each micro-batch, with late data."""
+    folder = new_folder(spark, "stream-batches")
+    messages = _messages(spark, sf_dir, dirty=True)
+    part = F.floor(F.col("seq") * 4 / events(spark, sf_dir).count())
+    for number in range(4):
+        messages.where(part == number).coalesce(1).write.mode("append").parquet(f"{folder}/archive")
+    options = JobOptions(run_millis=RUN_MILLIS, max_files_per_trigger=1)
+    archive = read_messages(spark, "parquet", options, f"{folder}/archive")
+    rows = quarter_hour_rows(archive, options)
+    append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("daytime",), available_now=True).awaitTermination()
+    return read_files(spark, f"{folder}/rows", ("daytime",))
+
+
 def _stream_flat(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "stream-flat")
     messages = _messages(spark, sf_dir, dirty=True, streaming=True)
@@ -275,21 +371,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_neat": time_neat_clean,
         "time_neat_dirty": time_neat_dirty,
         "time_neat_messages": time_neat_messages,
+        "time_neat_ties": time_neat_ties,
         "time_neat_bounded": time_neat_bounded,
         "time_neat_on_time": time_neat_on_time,
         "time_neat_replay": time_neat_replay,
         "late_audit": late_audit,
+        "late_audit_files": late_audit_files,
         "hourly_sql": hourly_sql,
         "append_hourly": append_hourly,
         "append_daily": append_daily,
         "append_flat": append_flat,
         "committable_partitions": committable,
         "committed_partitions": committed,
+        "committed_daily": committed_daily,
+        "replay_committed": replay_committed,
+        "list_tables": listed_tables,
         "preview": preview,
+        "preview_stream": previewed,
         "source_text": source_text,
         "source_archive": source_archive,
         "stream_time_neat": stream_time_neat,
+        "stream_time_neat_batches": stream_time_neat_batches,
         "stream_append_hourly": stream_append_hourly,
+        "stream_hourly_sql": stream_hourly_sql,
         "stream_append_flat": stream_append_flat,
         "stream_quarantine": stream_quarantine,
     }

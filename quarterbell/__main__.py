@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import Column, SparkSession
 
-from quarterbell.plans import JOBS, replay_job
+from quarterbell.plans import JOBS, commit_replay, replay_job
 from quarterbell.schema import JobOptions
 from quarterbell.session import configure
-from quarterbell.sinks import commit_pending
+from quarterbell.sinks import commit_pages
 from quarterbell.sources import read_messages
 from quarterbell.streaming import commit_while_running, start_job
 
-# Kafka offsets stay far below this; one beyond it would stop the job, not spoil it.
-OFFSET_BOUND = 1 << 53
-
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="quarterbell")
@@ -55,20 +53,24 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         bad_time=given.bad_time,
         drop_late=given.drop_late,
         gather=not given.no_gather,
-        arrival_bound=OFFSET_BOUND if given.format == "kafka" else None,
+        # one end for all reads of a replay
+        until_millis=int(time.time() * 1000) if given.replay else None,
     )
     messages = read_messages(spark, given.format, options, given.path, streaming=not given.replay)
     if given.replay:
         replay_job(given.job, messages, given.folder, options, given.table)
+        if given.table is not None:
+            commit_replay(spark, given.job, given.folder, given.table)
         return
     main, side = start_job(given.job, messages, given.folder, options, given.available_now, given.table)
     job = JOBS[given.job]
 
-    def commit(watermark: Column) -> list:
+    def commit(watermark: Column) -> None:
         if given.table is None or job.commit is None:
-            return []
+            return
         rows, ledger = f"{given.folder}/rows", f"{given.folder}/ledger"
-        return commit_pending(spark, given.table, rows, ledger, watermark, job.commit)
+        for _ in commit_pages(spark, given.table, rows, ledger, watermark, job.commit):
+            pass
 
     delay = options.delay if job.stateful else options.table_delay
     commit_while_running(main, commit, delay, given.commit_seconds, side)

@@ -24,7 +24,31 @@ _QUARANTINE = ("source_partition", "seq", "raw", "reason")
 
 def _fields(messages: DataFrame) -> DataFrame:
     decoded = messages.select("*", F.json_tuple("raw", *MESSAGE_KEYS).alias(*_FIELDS))
-    return decoded.withColumn("value", F.col("value_text").try_cast("double"))
+    return decoded.withColumn("value", F.when(~_has_tail(), F.col("value_text").try_cast("double")))
+
+
+def _one_object(levels: int = 4) -> str:
+    """A pattern of one whole object, with others inside it up to a depth."""
+    quoted = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    inner = rf"\{{(?:[^\"{{}}]++|{quoted})*+\}}"
+    for _ in range(levels - 1):
+        inner = rf"\{{(?:[^\"{{}}]++|{quoted}|{inner})*+\}}"
+    return rf"(?s)^\s*+{inner}\s*+$"
+
+
+def _has_tail() -> Column:
+    """Text after a complete object, which the parser ignores (or objects nested deeper than four levels).
+
+    A text whose only closing brace is its last character has none; only others
+    are searched with a pattern.
+    """
+    plain = F.expr("locate('}', raw) = length(raw)")
+    return F.coalesce(~plain & (F.regexp_instr("raw", F.lit(_one_object())) == 0) & _is_object(), F.lit(False))
+
+
+def _columns(messages: DataFrame, names: tuple[str, ...]) -> list[str]:
+    """The names, and the record's timestamp where the source has one."""
+    return [*names, *(["arrived"] if "arrived" in messages.columns else [])]
 
 
 def _is_object() -> Column:
@@ -38,7 +62,7 @@ def _has_value() -> Column:
 def _reason() -> Column:
     """Why a record without a numeric value is none."""
     return (
-        F.when(~_is_object(), "malformed")
+        F.when(~_is_object() | _has_tail(), "malformed")
         .when(~is_present(F.col("value_text")), "null_value")
         .otherwise("bad_value")
     )
@@ -53,7 +77,7 @@ def readings(messages: DataFrame, bad_time: str = "sentinel") -> DataFrame:
     good = _fields(messages).where(_has_value())
     if bad_time == "quarantine":
         good = good.where(is_valid_sample_time(F.col("sampletime")))
-    return good.select(*_READING)
+    return good.select(*_columns(messages, _READING))
 
 
 def quarantine(messages: DataFrame, bad_time: str = "sentinel") -> DataFrame:
@@ -66,7 +90,7 @@ def quarantine(messages: DataFrame, bad_time: str = "sentinel") -> DataFrame:
 
 
 def _empty_value() -> Column:
-    return _is_object() & ~is_present(F.col("value_text"))
+    return _is_object() & ~is_present(F.col("value_text")) & ~_has_tail()
 
 
 def table_rows(messages: DataFrame, keep_null_time: bool = False) -> DataFrame:
@@ -77,7 +101,7 @@ def table_rows(messages: DataFrame, keep_null_time: bool = False) -> DataFrame:
     """
     # As the output of a generator ``ts`` is not worked out a second time for the null check.
     ts = F.explode(F.array(table_time(F.col("sampletime")))).alias("ts")
-    rows = _fields(messages).where(_has_value() | _empty_value()).select(*_READING, ts)
+    rows = _fields(messages).where(_has_value() | _empty_value()).select(*_columns(messages, _READING), ts)
     return rows if keep_null_time else rows.where("ts IS NOT NULL")
 
 

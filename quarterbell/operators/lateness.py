@@ -9,9 +9,10 @@ reached its end, and a reading is late exactly if its ``seq`` is greater.
 So one hash aggregation per (source partition, window) gives the first and
 last ``seq``, a running minimum over that summary, first by blocks of windows
 and then inside each block, gives the closing ``seq`` of each window, and
-windows that hold a late reading at all are joined back. Readings are never
-sorted; a hot (source partition, window) is pre-aggregated before its shuffle
-and, in the join, left to the adaptive skew handling.
+windows that hold a late reading at all are joined back by a hash join that
+builds on these windows. Readings are never sorted; a hot (source partition,
+window) is pre-aggregated before its shuffle and, in the join, left to the
+adaptive skew handling.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def _blocks_with_late(facts: DataFrame) -> DataFrame:
 def _join_closing(stamped: DataFrame, length: str, delay: str, how: str) -> DataFrame:
     closing = closing_positions(stamped, length, delay)
     rows = stamped.withColumn("window_index", _window_index(F.unix_seconds("event_time"), length))
-    return rows.join(closing, ["source_partition", "window_index"], how)
+    return rows.join(closing.hint("shuffle_hash"), ["source_partition", "window_index"], how)
 
 
 def late_readings(stamped: DataFrame, length: str = WINDOW, delay: str = DELAY) -> DataFrame:

@@ -34,25 +34,77 @@ def in_windows(stamped: DataFrame, length: str = WINDOW) -> DataFrame:
     return stamped.withColumn("window", F.window("event_time", length))
 
 
-def _newest_first_come(arrival: Column, arrival_bound: int | None) -> Column:
-    """One number that grows with event time and, for equal times, falls with arrival.
-
-    Sample times are whole seconds, so the seconds since the window start and
-    the arrival fit side by side in DECIMAL(38,0): seven digits of seconds (a
-    window of up to 115 days) and any arrival of up to DECIMAL(30,0). With a
-    known bound on the arrival the same pair fits a BIGINT, which is cheaper;
-    a row outside the bound stops the job instead of being ranked wrongly.
+# Digits of what orders arrivals, and what is added so that none is negative: any BIGINT is a
+# position and any INT a partition; beside the timestamp of the record there is less room.
+_STAMPED = {"arrived": (13, 0), "seq": (13, 0), "source_partition": (5, 0)}
+_PLAIN = {"seq": (20, 1 << 63), "source_partition": (10, 1 << 31)}
+_ALL_DIGITS = 38
+_LONGEST_SECONDS = 10**7
+
+
+def _millis_in_window() -> Column:
+    return F.unix_millis("event_time") - F.unix_millis("window.start")
+
+
+def _fits(length: str, digits: int) -> bool:
+    return digits + len(str(seconds_of(length) * 1000 - 1)) <= _ALL_DIGITS
+
+
+def _decimal(number: int) -> Column:
+    return F.lit(str(number)).cast(T.DecimalType(38, 0))
+
+
+def _packed_rank(parts: list[tuple[Column, int, int]]) -> Column:
+    """One number that grows with event time and, for equal times, falls with the parts in their order.
+
+    Milliseconds since the window start and all parts stand side by side in
+    DECIMAL(38,0), a fixed-width buffer that hash aggregation can keep. A part
+    that is null counts as last; one that does not fit stops the job.
     """
+    left = digits = sum(size for _, size, _ in parts)
+    arrival = _decimal(0)
+    for column, size, shift in parts:
+        left -= size
+        number = F.coalesce(column.cast(T.DecimalType(38, 0)) + _decimal(shift), _decimal(10**size - 1))
+        outside = (number < 0) | (number >= _decimal(10**size))
+        stop = F.raise_error(F.lit("arrival outside the room of its rank")).cast(T.DecimalType(38, 0))
+        arrival = arrival + F.when(outside, stop).otherwise(number) * _decimal(10**left)
+    return _millis_in_window().cast(T.DecimalType(38, 0)) * _decimal(10**digits) + (_decimal(10**digits - 1) - arrival)
+
+
+def _bounded_rank(arrival: Column, bound: int) -> Column:
+    """The same in a BIGINT, which is cheaper, for whole seconds and arrivals below the bound."""
     seconds = F.unix_seconds("event_time") - F.unix_seconds("window.start")
-    if arrival_bound is not None:
-        inside = (arrival >= 0) & (arrival < arrival_bound)
-        checked = F.when(inside, arrival).otherwise(
-            F.raise_error(F.lit("arrival outside the given bound")).cast("bigint")
-        )
-        return seconds * F.lit(arrival_bound) + (F.lit(arrival_bound - 1) - checked)
-    spread = F.lit("1" + "0" * 31).cast(T.DecimalType(38, 0))
-    last = F.lit("9" * 30).cast(T.DecimalType(30, 0))
-    return seconds.cast(T.DecimalType(38, 0)) * spread - F.coalesce(arrival.cast(T.DecimalType(30, 0)), last)
+    inside = (arrival >= 0) & (arrival < bound)
+    whole = F.unix_micros("event_time") % 1_000_000 == 0
+    checked = (
+        F.when(~inside, F.raise_error(F.lit("arrival outside the given bound")).cast("bigint"))
+        .when(~whole, F.raise_error(F.lit("a bounded rank takes whole seconds only")).cast("bigint"))
+        .otherwise(arrival)
+    )
+    return seconds * F.lit(bound) + (F.lit(bound - 1) - checked)
+
+
+def _rank(windowed: DataFrame, arrival: Column | None, length: str) -> tuple[Column, bool]:
+    """The order of readings by time and arrival, and whether the smallest rank is the winner's.
+
+    Positions start anew in every source partition, so the partition always
+    takes part; the timestamp of the record comes first where the source has it.
+    A partition named by a text has no number, and very long windows leave no
+    room beside their milliseconds: there a struct is compared, which needs a sort.
+    """
+    types = dict(windowed.dtypes)
+    if arrival is not None:
+        names, parts = [], [(arrival, 29, 0)]
+    else:
+        sizes = _STAMPED if "arrived" in types else _PLAIN
+        names = [n for n in sizes if n in types]
+        parts = [(F.col(n), *sizes[n]) for n in names]
+    if types.get("source_partition") != "string" or arrival is not None:
+        if _fits(length, sum(size for _, size, _ in parts)):
+            return _packed_rank(parts), False
+    columns = [column for column, _, _ in parts]
+    return F.struct(-F.unix_millis("event_time"), *[c for column in columns for c in (column.isNull(), column)]), True
 
 
 def newest_per_window(
@@ -61,18 +113,24 @@ def newest_per_window(
     arrival_bound: int | None = None,
     length: str = WINDOW,
 ) -> DataFrame:
-    """The reading with the greatest event time per key and window.
-
-    Of readings with the same time the one that arrived first wins; ``arrival``
-    (default: ``seq``) is its numeric order of arrival, null counting as last.
-    ``length`` is that of the windows.
+    """The reading with the greatest event time (in milliseconds) per key and window.
+
+    Of readings with the same time the one that arrived first wins. The order
+    of arrival is that of ``arrived`` (the record's timestamp) if there is such
+    a column, then ``seq``, then ``source_partition``, which is total: no result
+    depends on the order of rows. ``arrival`` gives another numeric order, null
+    counting as last; with ``arrival_bound`` the order is ``arrival`` or ``seq``
+    alone, which must then be unique over all partitions. ``length`` is that of the windows.
     """
-    if seconds_of(length) > 10**7 or seconds_of(length) * (arrival_bound or 0) >= 1 << 63:
+    if seconds_of(length) > _LONGEST_SECONDS or seconds_of(length) * (arrival_bound or 0) >= 1 << 63:
         raise ValueError(f"windows of {length} are too long to rank arrivals in")
-    rank = _newest_first_come(F.col("seq") if arrival is None else arrival, arrival_bound)
+    if arrival_bound is not None:
+        rank, smallest = _bounded_rank(F.col("seq") if arrival is None else arrival, arrival_bound), False
+    else:
+        rank, smallest = _rank(windowed, arrival, length)
+    winner = F.min_by if smallest else F.max_by
     return windowed.groupBy(*KEYS, "window").agg(
-        F.max_by("value", rank).alias("value"),
-        F.max("event_time").alias("event_time"),
+        winner("value", rank).alias("value"), winner("event_time", rank).alias("event_time"),
     )
 
 

@@ -1,6 +1,7 @@
 from quarterbell.plans.jobs import (
     JOBS,
     Job,
+    commit_replay,
     flat_quarantine,
     flat_rows,
     hourly_quarantine,
@@ -15,6 +16,7 @@ from quarterbell.plans.jobs import (
 __all__ = [
     "JOBS",
     "Job",
+    "commit_replay",
     "flat_quarantine",
     "flat_rows",
     "hourly_quarantine",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarterbell.operators import (
     on_time_readings,
@@ -22,7 +23,12 @@ from quarterbell.operators import (
     with_watermark,
 )
 from quarterbell.schema import DAILY_PARTITIONS, HOURLY_PARTITIONS, JobOptions
-from quarterbell.sinks import DAILY_COMMIT, HOURLY_COMMIT, CommitRule, append_files, append_table, create_table
+from quarterbell.sinks import DAILY_COMMIT, HOURLY_COMMIT, CommitRule, append_files, commit_pending, create_table, has_stream_log
+from quarterbell.sources.messages import NO_ORDER, NO_STREAM
+
+
+def _marked(messages: DataFrame, column: str, mark: str) -> bool:
+    return column in messages.columns and bool(messages.schema[column].metadata.get(mark))
 
 
 def quarter_hour_rows(
@@ -35,6 +41,10 @@ def quarter_hour_rows(
     A stream drops late readings in its state; a batch keeps them unless
     ``drop_late`` asks for the same rule.
     """
+    if messages.isStreaming and arrival is None and _marked(messages, "seq", NO_ORDER):
+        raise ValueError("a stream of text has no order of arrival; give read_messages a position")
+    if options.drop_late and not messages.isStreaming and _marked(messages, "source_partition", NO_STREAM):
+        raise ValueError("late readings of files need the stream that each file is part of; give read_messages a stream")
     stamped = with_watermark(with_event_time(readings(messages, options.bad_time)), options.delay)
     if options.drop_late and not messages.isStreaming:
         stamped = on_time_readings(stamped, options.window, options.delay)
@@ -56,18 +66,23 @@ def hourly_rows(messages: DataFrame, options: JobOptions = JobOptions()) -> Data
     return table_columns(with_hour(stamped), "dt", "hr")
 
 
-def register_source(messages: DataFrame, name: str = "message_source") -> None:
-    """Make messages a view for SQL: the four message columns, ``ts``, ``dt`` and ``hr``.
+def register_source(
+    messages: DataFrame, name: str = "message_source", options: JobOptions = JobOptions(),
+) -> None:
+    """Make messages a view for SQL: the four message columns, ``ts`` with its watermark, ``dt`` and ``hr``.
 
     ``dt`` and ``hr`` are there because ``date_format(ts, ...)`` would go
     through the session zone.
     """
-    with_hour(table_rows(messages)).createOrReplaceTempView(name)
+    stamped = with_watermark(table_rows(messages), options.table_delay, "ts")
+    with_hour(stamped).createOrReplaceTempView(name)
 
 
-def hourly_rows_sql(messages: DataFrame, name: str = "message_source") -> DataFrame:
+def hourly_rows_sql(
+    messages: DataFrame, name: str = "message_source", options: JobOptions = JobOptions(),
+) -> DataFrame:
     """The rows of ``hourly_rows`` for those who write SQL."""
-    register_source(messages, name)
+    register_source(messages, name, options)
     return messages.sparkSession.sql(f"""
         SELECT MEASUREPOINTID, MEASURETAG, TRY_CAST(VALUE AS DECIMAL(30, 8)) AS VALUE1, SAMPLETIME, dt, hr
         FROM {name}
@@ -115,19 +130,38 @@ def replay_job(
     options: JobOptions = JobOptions(),
     table: str | None = None,
 ) -> None:
-    """Run a job once over a bounded source, appending below ``folder``.
-
-    With ``table`` the rows go through the catalog, which learns their partitions
-    at once. Rows of one run date need no shuffle of their own: the aggregation
-    has already spread them evenly over the tasks.
+    """Run a job once over a bounded source, into the partitions of ``folder`` that its rows belong to.
+
+    These partitions (a table without any: all of it) and the quarantine are
+    replaced, so a replay that is repeated, or that died between the two, ends
+    the same way; with ``daytime="run_date"`` give ``run_millis``. A topic should
+    be read with ``until_millis``: all reads of it then end at the same records.
+    The folder of a stream is refused, as its log would no longer be true.
+    With ``table`` the rows are also a table of the catalog, which learns their
+    partitions. Rows of one run date need no shuffle of their own: the
+    aggregation has already spread them evenly over the tasks.
     """
     job = JOBS[name]
+    spark = messages.sparkSession
+    if has_stream_log(spark, f"{folder}/rows"):
+        raise ValueError(f"{folder} belongs to a stream; replay into another folder")
     rows = job.rows(messages, options)
     one_partition = name == "quarter_hour" and options.daytime == "run_date"
     rebalance = options.gather and not one_partition
-    if table is None:
-        append_files(rows, f"{folder}/rows", job.partitions, rebalance)
-    else:
-        create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
-        append_table(rows, table, job.partitions, rebalance)
-    append_files(job.rejected(messages, options), f"{folder}/quarantine")
+    append_files(rows, f"{folder}/rows", job.partitions, rebalance, mode="overwrite")
+    if table is not None:
+        create_table(spark, table, job.partitions, f"{folder}/rows")
+        if job.partitions:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(table)
+    append_files(job.rejected(messages, options), f"{folder}/quarantine", mode="overwrite")
+
+
+def commit_replay(spark: SparkSession, name: str, folder: str, table: str) -> list:
+    """Commit all partitions that a replay wrote: its input has ended, so all are due."""
+    job = JOBS[name]
+    if job.commit is None:
+        return []
+    # past every partition time
+    ended = F.timestamp_millis(F.lit(253402300800000 + 86400000))
+    return commit_pending(spark, table, f"{folder}/rows", f"{folder}/ledger", ended, job.commit)

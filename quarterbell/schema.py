@@ -57,7 +57,11 @@ class JobOptions:
     ``bad_time`` keeps readings without a usable time under the sentinel time
     (``"sentinel"``) or leaves them to the quarantine (``"quarantine"``).
     ``drop_late`` makes a batch leave out late readings as a stream does.
-    ``arrival_bound`` is an exclusive upper bound of ``seq`` known to the caller.
+    ``arrival_bound`` is an exclusive upper bound of ``seq`` known to the caller, who also
+    knows that ``seq`` is unique over all source partitions.
+    ``until_millis`` ends a batch over a topic at that record timestamp, for all its reads alike.
+    ``files_per_batch`` is the number of files that a micro-batch of a stateful stream writes
+    at most into each table partition.
     ``gather`` shuffles a batch, or each micro-batch of a stateless stream, into
     few files per table partition; without it input in time order is written as read.
     ``max_records_per_task`` cuts a large topic partition into several tasks, so
@@ -82,6 +86,8 @@ class JobOptions:
     drop_late: bool = False
     arrival_bound: int | None = None
     gather: bool = True
+    until_millis: int | None = None
+    files_per_batch: int = 8
 
     def __post_init__(self):
         if self.daytime not in ("run_date", "event_date"):

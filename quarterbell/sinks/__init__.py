@@ -3,6 +3,7 @@ from quarterbell.sinks.commit import (
     HOURLY_COMMIT,
     CommitRule,
     carry_out,
+    commit_pages,
     commit_pending,
     committable_partitions,
     partition_time,
@@ -13,6 +14,7 @@ from quarterbell.sinks.tables import (
     append_files,
     append_table,
     create_table,
+    has_stream_log,
     list_tables,
     read_files,
     spread,
@@ -26,9 +28,11 @@ __all__ = [
     "carry_out",
     "append_files",
     "append_table",
+    "commit_pages",
     "commit_pending",
     "committable_partitions",
     "create_table",
+    "has_stream_log",
     "list_tables",
     "partition_time",
     "pending_partitions",

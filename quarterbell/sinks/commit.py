@@ -9,7 +9,10 @@ and a partition that received newer files is committed again.
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _STATEMENT_SIZE = 500
+_MARKERS_AT_ONCE = 16
+_PAGE = 10_000
 
 
 @dataclass(frozen=True)
@@ -114,30 +119,47 @@ def carry_out(spark: SparkSession, table: str, path: str, parts: list, rule: Com
     if "success-file" in rule.policies:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for spec in specs:
+
+        def mark(spec: dict[str, str]) -> None:
             folder = "/".join([path] + [f"{k}={v}" for k, v in spec.items()])
             marker = hadoop(f"{folder}/_SUCCESS")
             marker.getFileSystem(conf).create(marker, True).close()
 
+        with ThreadPoolExecutor(_MARKERS_AT_ONCE) as pool:
+            list(pool.map(mark, specs))
 
-def commit_pending(
+
+def commit_pages(
     spark: SparkSession,
     table: str,
     path: str,
     ledger: str,
     watermark: Column,
     rule: CommitRule = HOURLY_COMMIT,
-) -> list:
-    """Commit what is due and return it: one row per partition, never readings.
+) -> Iterator[list]:
+    """Commit what is due in pages, each given out when it is done: one row per partition, never readings.
 
-    The effects come before the ledger entry, so a step that dies half-way is
-    simply done again.
+    Only one page is on the driver at a time, however many partitions wild
+    times make. The effects of a page come before its ledger entry, so a step
+    that dies half-way is simply done again.
     """
     written = written_partitions(spark, path, rule.partitions)
     pending = pending_partitions(written, _ledger(spark, ledger, rule.partitions), rule.partitions)
-    due = committable_partitions(pending, watermark, rule).sort(*rule.partitions).collect()
-    if due:
-        carry_out(spark, table, path, due, rule)
-        entries = spark.createDataFrame(due, _ledger_schema(rule.partitions))
+    due = committable_partitions(pending, watermark, rule).sort(*rule.partitions).toLocalIterator()
+    while page := list(itertools.islice(due, _PAGE)):
+        carry_out(spark, table, path, page, rule)
+        entries = spark.createDataFrame(page, _ledger_schema(rule.partitions))
         entries.coalesce(1).write.mode("append").parquet(ledger)
-    return due
+        yield page
+
+
+def commit_pending(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    ledger: str,
+    watermark: Column,
+    rule: CommitRule = HOURLY_COMMIT,
+) -> list:
+    """Commit what is due and return it all; see ``commit_pages`` for many partitions."""
+    return [row for page in commit_pages(spark, table, path, ledger, watermark, rule) for row in page]

@@ -49,15 +49,16 @@ def append_files(
     path: str,
     partitions: tuple[str, ...] = (),
     rebalance: bool = True,
+    mode: str = "append",
 ) -> None:
-    """Append a batch to a parquet folder.
+    """Append a batch to a parquet folder, or with ``mode="overwrite"`` put it in place of the partitions it touches.
 
     Input already ordered by time touches few partitions per task; then
     ``rebalance=False`` writes it without a shuffle, as is always done for a
     table without partitions.
     """
     rows = spread(rows, partitions) if rebalance and partitions else rows
-    rows.write.mode("append").partitionBy(*partitions).parquet(path)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def append_table(
@@ -74,3 +75,9 @@ def append_table(
 def read_files(spark: SparkSession, path: str, partitions: tuple[str, ...] = ()) -> DataFrame:
     """Read a folder back. The schema is given: inference would turn ``hr`` 00 into 0."""
     return spark.read.schema(table_schema(partitions)).parquet(path)
+
+
+def has_stream_log(spark: SparkSession, path: str) -> bool:
+    """Whether a stream writes to the folder."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)

@@ -1,19 +1,23 @@
 """Message sources: a Kafka topic or files, batch or stream, behind one function.
 
 Whatever the format, a source delivers ``raw`` (the text of one record),
-``source_partition`` (where it came from) and ``seq`` (its position there).
+``source_partition`` (where it came from) and ``seq`` (its position there);
+Kafka also gives ``arrived``, the timestamp of the record in milliseconds.
 """
 
 from __future__ import annotations
 
 from typing import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterbell.schema import JobOptions
 
+# Marks in the metadata of columns: ``seq`` is no order, ``source_partition`` is a mere file.
+NO_ORDER, NO_STREAM = "no_order", "no_stream"
+
 _ARCHIVE_SCHEMA = "raw STRING, source_partition INT, seq BIGINT"
 
 # Consumer settings that the Spark source decides itself and refuses to be given.
@@ -45,7 +49,8 @@ def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]
     ``start="group-offsets"`` resumes from the checkpoint of the query, where
     Spark keeps its positions; only the very first start reads ``earliest``.
     To take over the positions of a consumer group, give them as Spark's JSON
-    of offsets. A batch replay always reads to the latest offset.
+    of offsets. A batch reads to the offsets that are the latest when its plan
+    is made, or, with ``until_millis``, to the first record stamped later; it can't start at the latest.
     """
     result = spark_consumer_options(options.consumer)
     if options.bootstrap_servers:
@@ -57,8 +62,12 @@ def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]
     result["subscribe"] = options.topic
     start = "earliest" if options.start == "group-offsets" else options.start
     if not streaming:
-        start = "earliest" if start == "latest" else start
-        result["endingOffsets"] = "latest"
+        if start == "latest":
+            raise ValueError("a batch that starts at the latest offset reads nothing; give earliest or offsets")
+        if options.until_millis is None:
+            result["endingOffsets"] = "latest"
+        else:
+            result["endingTimestamp"] = str(options.until_millis)
     result["startingOffsets"] = start
     result["maxRecordsPerPartition"] = str(options.max_records_per_task)
     if options.min_partitions is not None:
@@ -78,19 +87,32 @@ def kafka_arrival() -> Column:
 def _line_position(streaming: bool) -> Column:
     """A position of each line in its file: start of the split, then the line within it.
 
-    Streams cannot number lines; there the text itself decides between lines of
-    one split, which is repeatable but not the order of the file. Where ties
-    must go to the earlier line, give ``read_messages`` a ``position``.
+    Streams cannot number lines: there it is null and marked as no order.
     """
-    ten_digits = F.lit("10000000000").cast(T.DecimalType(11, 0))
     if streaming:
-        within = F.pmod(F.xxhash64("value"), ten_digits.cast("bigint"))
-    else:
-        within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        return F.lit(None).cast(T.DecimalType(30, 0))
+    ten_digits = F.lit("10000000000").cast(T.DecimalType(11, 0))
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     start_of_split = F.col("_metadata.file_block_start").cast(T.DecimalType(19, 0))
     return (start_of_split * ten_digits + within).cast(T.DecimalType(30, 0))
 
 
+def _in_file_order(lines: DataFrame, stream: Column) -> DataFrame:
+    """Lines numbered through the files of their stream: the number of the file, then the place in it.
+
+    Only the list of files is ordered, one row for each file.
+    """
+    files = lines.select("path").distinct().withColumn("source_partition", stream)
+    number = F.row_number().over(Window.partitionBy("source_partition").orderBy("path"))
+    files = files.withColumn("file", number)
+    # 8 digits of files before 20 of the split's start and the line in it
+    spread = F.lit("1" + "0" * 29).cast(T.DecimalType(30, 0))
+    return lines.join(files, "path").select(
+        F.col("value").alias("raw"), "source_partition",
+        (F.col("file").cast(T.DecimalType(8, 0)) * spread + F.col("at")).cast(T.DecimalType(38, 0)).alias("seq"),
+    )
+
+
 def read_messages(
     spark: SparkSession,
     fmt: str,
@@ -98,11 +120,15 @@ def read_messages(
     path: str | None = None,
     streaming: bool = True,
     position: Column | None = None,
+    stream: Column | None = None,
 ) -> DataFrame:
     """Read ``kafka``, ``parquet`` (archived messages), or ``text`` / ``json`` (one record per line).
 
     ``position`` gives the ``seq`` of a line of text, computed from its column
-    ``value``; without it the place of the line in its file is used.
+    ``value``; without it the place of the line in its file is used. A stream
+    of text without it has no order, and jobs that need one refuse it.
+    ``stream`` names the stream that a file of text is part of, computed from
+    ``path``; files of one stream are in the order of their paths, and ``seq`` follows it.
     """
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
@@ -111,6 +137,7 @@ def read_messages(
             F.col("value").cast("string").alias("raw"),
             F.col("partition").alias("source_partition"),
             F.col("offset").alias("seq"),
+            F.unix_millis("timestamp").alias("arrived"),
         )
     if path is None:
         raise ValueError(f"format {fmt} needs a path")
@@ -120,9 +147,13 @@ def read_messages(
         return reader.schema(_ARCHIVE_SCHEMA).parquet(path)
     if fmt in ("text", "json"):
         lines = reader.text(path)
-        return lines.select(
-            F.col("value").alias("raw"),
-            F.col("_metadata.file_path").alias("source_partition"),
-            (_line_position(streaming) if position is None else position).alias("seq"),
-        )
+        if stream is None:
+            unordered = streaming and position is None
+            seq = (_line_position(streaming) if position is None else position).alias("seq", metadata={NO_ORDER: unordered})
+            part = F.col("_metadata.file_path").alias("source_partition", metadata={NO_STREAM: True})
+            return lines.select(F.col("value").alias("raw"), part, seq)
+        if streaming:
+            raise ValueError("files of a stream are ordered by Spark; name their stream in a batch only")
+        return _in_file_order(lines.select(
+            "value", F.col("_metadata.file_path").alias("path"), (_line_position(False) if position is None else position).alias("at")), stream)
     raise ValueError(f"unknown message format {fmt!r}")

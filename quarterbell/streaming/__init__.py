@@ -1,4 +1,5 @@
 from quarterbell.streaming.run import (
+    LateRows,
     append_stream,
     commit_while_running,
     dropped_late,
@@ -8,6 +9,7 @@ from quarterbell.streaming.run import (
 )
 
 __all__ = [
+    "LateRows",
     "append_stream",
     "commit_while_running",
     "dropped_late",

@@ -58,8 +58,8 @@ def start_job(
     """
     job = JOBS[name]
     rows = job.rows(messages, options)
-    if options.gather and not job.stateful:
-        rows = spread(rows, job.partitions)
+    if options.gather:
+        rows = few_files(rows, options.files_per_batch) if job.stateful else spread(rows, job.partitions)
     if table is not None:
         create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
     main = append_stream(
@@ -72,6 +72,16 @@ def start_job(
     return main, side
 
 
+def few_files(rows: DataFrame, files: int) -> DataFrame:
+    """Finished rows of a stateful stream, in so many tasks at most that write files.
+
+    Behind the state each micro-batch would otherwise write one file for each
+    shuffle partition. The rows are few, one per key and closed window, and are
+    dealt evenly, whatever partition they belong to.
+    """
+    return rows.repartition(files)
+
+
 def watermark_of(query: StreamingQuery, delay: str) -> Column | None:
     """The watermark after the newest finished micro-batch, as an instant; None before the first.
 
@@ -88,32 +98,87 @@ def watermark_of(query: StreamingQuery, delay: str) -> Column | None:
     return F.greatest(began, F.lit(max(seen)).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
 
 
+class LateRows:
+    """A running count of the late rows that the state of a query dropped.
+
+    A query keeps only its newest reports; ``poll`` adds those not yet seen, so
+    the count is complete if it is called at least once within as many
+    micro-batches as the query keeps reports of. If reports were lost in
+    between, ``complete`` is False. Rows reach the state after the map-side
+    reduction, so several late readings of one key may count as one.
+    """
+
+    def __init__(self, query: StreamingQuery):
+        self.query, self.total, self.complete = query, 0, True
+        self._seen: tuple[int, int] | None = None  # the newest batch counted, and what was counted of it
+
+    def poll(self) -> int:
+        dropped: dict[int, int] = {}
+        for report in self.query.recentProgress:
+            rows = sum(op.numRowsDroppedByWatermark for op in report.stateOperators)
+            dropped[report.batchId] = max(dropped.get(report.batchId, 0), rows)
+        for batch in sorted(dropped):
+            if self._seen is None or batch > self._seen[0]:
+                if self._seen is not None and batch > self._seen[0] + 1:
+                    self.complete = False
+                self.total += dropped[batch]
+                self._seen = batch, dropped[batch]
+            elif batch == self._seen[0]:
+                self.total += max(0, dropped[batch] - self._seen[1])
+                self._seen = batch, max(dropped[batch], self._seen[1])
+        return self.total
+
+
 def dropped_late(query: StreamingQuery) -> int:
-    """Late rows dropped by the state of a query. Rows reach the state after the
-    map-side reduction, so several late readings of one key may count as one."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    """Late rows dropped by the state of a query that has reported seldom enough to keep all its reports.
+
+    Beyond that the count would be cut short, so it is refused; ``LateRows`` keeps one.
+    """
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(query.recentProgress) >= kept:
+        raise RuntimeError(f"only the newest {kept} reports are kept; count with LateRows while the query runs")
+    return LateRows(query).poll()
 
 
 def commit_while_running(
     query: StreamingQuery,
-    commit: Callable[[Column], list],
+    commit: Callable[[Column], object],
     delay: str,
     interval_seconds: int = 90,
     beside: StreamingQuery | None = None,
+    late: LateRows | None = None,
+    attempts: int = 5,
 ) -> None:
     """Call ``commit`` with the watermark at every interval until the query ends, and once after.
 
-    A failure of the query, or of the one that runs beside it, ends both.
+    A commit that fails is tried again at the next interval, as it may be
+    repeated; after ``attempts`` failures in a row, or a failure of the query or
+    of the one that runs beside it, both are stopped and the failure is raised.
+    ``late`` is polled on the way.
     """
-    running = True
-    while running:
-        running = not query.awaitTermination(interval_seconds)
-        if beside is not None and beside.exception() is not None:
-            query.stop()
-            raise beside.exception()
-        watermark = watermark_of(query, delay)
-        if watermark is not None:
-            commit(watermark)
+    running, failures = True, 0
+    try:
+        while running:
+            running = not query.awaitTermination(interval_seconds)
+            if beside is not None and beside.exception() is not None:
+                raise beside.exception()
+            if late is not None:
+                late.poll()
+            watermark = watermark_of(query, delay)
+            if watermark is None:
+                continue
+            try:
+                commit(watermark)
+                failures = 0
+            except Exception:
+                failures += 1
+                if failures >= attempts or not running:
+                    raise
+    except BaseException:
+        for other in (query, beside):
+            if other is not None:
+                other.stop()
+        raise
 
 
 def preview_stream(messages: DataFrame, name: str, rows: int = 2) -> DataFrame:

@@ -26,6 +26,12 @@ RECORDS = [
     ('"x"', "malformed", "malformed"),
     ("", "malformed", "malformed"),
     (None, "malformed", "malformed"),
+    (FULL + "} junk {", "malformed", "malformed"),
+    (FULL + " junk", "malformed", "malformed"),
+    (FULL + FULL, "malformed", "malformed"),
+    (FULL + " \n", None, None),
+    ('{"MEASUREPOINTID":"}a\\"}","VALUE":4,"SAMPLETIME":"2024-01-01 00:00:00"}', None, None),
+    ('{"X":{"Y":["}"]},"VALUE":4,"SAMPLETIME":"2024-01-01 00:00:00"}', None, None),
 ]
 
 

@@ -1,13 +1,16 @@
 """The jobs as they are started from the command line."""
 
+import glob
+
 import pytest
+from pyspark.sql import functions as F
 
 from checks.bindings import as_messages, events
 from quarterbell.__main__ import arguments, run
-from quarterbell.plans import JOBS
+from quarterbell.plans import JOBS, commit_replay, replay_job
 from quarterbell.schema import table_schema
 from quarterbell.session import new_folder
-from quarterbell.sinks import read_files
+from quarterbell.sinks import append_files, read_files
 from tests.conftest import hours_due
 
 SF = "/root/testdata/sf0.001"
@@ -63,6 +66,35 @@ def test_a_replay_may_fill_a_table(spark, archive, job):
     assert table.schema == table_schema(JOBS[job].partitions)
 
 
+def test_a_replay_may_be_repeated_and_commits(spark, archive):
+    def counts(folder):
+        rows = read_files(spark, f"{folder}/rows", JOBS["hourly"].partitions)
+        return rows.count(), spark.read.parquet(f"{folder}/quarantine").count()
+
+    messages, folder = spark.read.parquet(archive), new_folder(spark, "repeated")
+    replay_job("hourly", messages, folder, table="repeated_hours")
+    once = counts(folder)
+    broken = messages.withColumn("raw", F.when(F.col("raw").rlike("VALUE"), F.col("raw")).otherwise(F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        append_files(broken.select("raw"), f"{folder}/quarantine", mode="overwrite")
+    replay_job("hourly", messages, folder, table="repeated_hours")
+    assert counts(folder) == once
+    commit_replay(spark, "hourly", folder, "repeated_hours")
+    listed = spark.sql("SHOW PARTITIONS repeated_hours").count()
+    markers = glob.glob(f"{folder.removeprefix('file:')}/rows/dt=*/hr=*/_SUCCESS")
+    assert listed == len(markers) > 0
+
+
+def test_the_folder_of_a_stream_is_not_replayed_into(spark, archive):
+    folder = start(spark, "flat", archive, "--available-now")
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        start_replay(spark, archive, folder)
+
+
+def start_replay(spark, path, folder):
+    run(spark, arguments(["flat", "--format", "parquet", "--path", path, "--folder", folder, "--replay"]))
+
+
 def test_modes_exclude_each_other():
     with pytest.raises(SystemExit):
         arguments(["flat", "--folder", "x", "--replay", "--available-now"])

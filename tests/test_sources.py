@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarterbell import JobOptions
 from quarterbell.operators import readings
+from quarterbell.plans import quarter_hour_rows
 from quarterbell.sources import kafka_options, read_messages, spark_consumer_options
 
 
@@ -31,7 +32,7 @@ def test_consumer_properties_become_source_options():
     ("earliest", True, "earliest"),
     ("latest", True, "latest"),
     ("group-offsets", True, "earliest"),
-    ("latest", False, "earliest"),
+    ("earliest", False, "earliest"),
 ])
 def test_start_position(start, streaming, expected):
     options = kafka_options(JobOptions(bootstrap_servers="h:1", start=start), streaming)
@@ -39,6 +40,14 @@ def test_start_position(start, streaming, expected):
     assert ("endingOffsets" in options) is not streaming
 
 
+def test_a_batch_has_one_end_and_does_not_start_at_it():
+    options = JobOptions(bootstrap_servers="h:1", start="latest")
+    with pytest.raises(ValueError, match="reads nothing"):
+        kafka_options(options, streaming=False)
+    ended = kafka_options(JobOptions(bootstrap_servers="h:1", until_millis=17), streaming=False)
+    assert ended["endingTimestamp"] == "17" and "endingOffsets" not in ended
+
+
 def test_limits_and_topic():
     options = kafka_options(JobOptions(
         topic="t", bootstrap_servers="h:1", group_id="g", max_offsets_per_trigger=5, min_partitions=7,
@@ -99,3 +108,17 @@ def test_a_position_may_come_from_the_text(spark, lines):
     position = F.get_json_object("value", "$.SEQ").cast("bigint")
     rows = readings(read_messages(spark, "json", JobOptions(), lines, streaming=False, position=position)).collect()
     assert len(rows) == 6000 and all(r.seq == r.value for r in rows)
+
+
+def test_files_of_one_stream_are_numbered_through(spark, lines):
+    rows = read_messages(spark, "text", JobOptions(), lines, streaming=False, stream=F.lit(7))
+    ordered = rows.orderBy("seq").collect()
+    assert {r.source_partition for r in ordered} == {7} and len({r.seq for r in ordered}) == 6000
+    assert [json.loads(r.raw)["MEASUREPOINTID"] for r in ordered] == ["a"] * 3000 + ["b"] * 3000
+
+
+def test_late_readings_of_files_need_their_stream(spark, lines):
+    late = JobOptions(drop_late=True)
+    with pytest.raises(ValueError, match="stream"):
+        quarter_hour_rows(read_messages(spark, "text", JobOptions(), lines, streaming=False), late)
+    assert quarter_hour_rows(read_messages(spark, "text", JobOptions(), lines, streaming=False, stream=F.lit(7)), late).count() == 2

@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 
 from checks.bindings import as_messages, events
 from quarterbell import JobOptions
-from quarterbell.operators import late_readings, readings, with_event_time
-from quarterbell.plans import flat_rows, hourly_rows, quarter_hour_rows
+from quarterbell.operators import late_readings, readings, table_rows, with_event_time, with_watermark
+from quarterbell.plans import flat_rows, hourly_rows, hourly_rows_sql, quarter_hour_rows
 from quarterbell.session import new_folder
 from quarterbell.sinks import commit_pending, create_table, read_files
 from quarterbell.sources import read_messages
 from quarterbell.streaming import (
+    LateRows,
     append_stream,
     commit_while_running,
     dropped_late,
@@ -151,7 +152,9 @@ def test_the_quarter_hour_job_runs_with_its_quarantine(spark):
 def test_a_stream_of_text_lines(spark):
     path, folder = new_folder(spark, "text"), new_folder(spark, "text-out")
     as_messages(events(spark, SF)).select("raw").repartition(3).write.text(path)
-    messages = read_messages(spark, "text", JobOptions(), path)
+    with pytest.raises(ValueError, match="no order of arrival"):
+        start_job("quarter_hour", read_messages(spark, "text", JobOptions(), path), folder)
+    messages = read_messages(spark, "text", JobOptions(), path, position=F.xxhash64("value"))
     query = append_stream(quarter_hour_rows(messages), f"{folder}/rows", f"{folder}/checkpoint", available_now=True)
     query.awaitTermination()
     assert spark.read.parquet(f"{folder}/rows").count() > 900
@@ -204,3 +207,86 @@ def test_a_failure_of_the_quarantine_ends_the_job(spark):
     with pytest.raises(Exception, match="broken"):
         commit_while_running(main, lambda watermark: [], "2 minutes", 2, side)
     assert not main.isActive
+
+
+def test_the_count_of_late_rows_outlives_the_reports_of_the_query(spark):
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    path, folder = archive(spark, dirty=True, files=6), new_folder(spark, "reports")
+    whole = dropped_late(run(spark, path, new_folder(spark, "all-reports")))
+    assert whole > 0
+
+    class Reports:
+        """A query seen at moments when it keeps two reports each."""
+
+        def __init__(self, query):
+            self.reports, self.at = query.recentProgress, 0
+
+        @property
+        def recentProgress(self):
+            return self.reports[max(0, self.at - 2):self.at]
+
+    seen = LateRows(Reports(run(spark, path, folder)))
+    for at in range(1, len(seen.query.reports) + 1):
+        seen.query.at = at
+        seen.poll()
+        seen.poll()
+    assert (seen.total, seen.complete) == (whole, True)
+    gap = LateRows(seen.query)
+    gap.query.at = 1
+    gap.poll()
+    gap.query.at = len(seen.query.reports)
+    gap.poll()
+    assert not gap.complete
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        with pytest.raises(RuntimeError, match="only the newest"):
+            dropped_late(run(spark, path, new_folder(spark, "few-reports")))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_a_micro_batch_of_the_stateful_job_writes_few_files(spark):
+    path, folder = archive(spark, dirty=False, files=1), new_folder(spark, "few-files")
+    options = JobOptions(max_files_per_trigger=1, files_per_batch=2)
+    for query in start_job("quarter_hour", read_messages(spark, "parquet", options, path), folder, options, available_now=True):
+        query.awaitTermination()
+    rows = read_files(spark, f"{folder}/rows", ("daytime",))
+    assert rows.select("_metadata.file_path").distinct().count() <= 2 and rows.count() > 900
+
+
+def test_a_stream_in_sql_commits_from_its_watermark(spark):
+    path, folder = archive(spark, dirty=False, files=2), new_folder(spark, "sql-stream")
+    create_table(spark, "sql_hours", ("dt", "hr"), f"{folder}/rows")
+    rows = hourly_rows_sql(read_messages(spark, "parquet", ONE_FILE, path), "sql_source")
+    query = append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("dt", "hr"), table="sql_hours", available_now=True)
+    commit_while_running(query, lambda watermark: commit_pending(
+        spark, "sql_hours", f"{folder}/rows", f"{folder}/ledger", watermark), "3 minutes")
+    listed = {r.partition for r in spark.sql("SHOW PARTITIONS sql_hours").collect()}
+    assert listed and listed == hours_due(read_files(spark, f"{folder}/rows", ("dt", "hr")))
+
+
+def test_a_commit_that_fails_is_tried_again_and_at_last_given_up(spark):
+    def started(name):
+        path, folder = archive(spark, dirty=False, files=1), new_folder(spark, name)
+        messages = with_watermark(table_rows(read_messages(spark, "parquet", ONE_FILE, path)), "3 minutes", "ts")
+        return append_stream(messages.drop("ts"), f"{folder}/rows", f"{folder}/c", interval="1 second")
+
+    calls = []
+
+    def twice(watermark):
+        calls.append(watermark)
+        if len(calls) < 3:
+            raise OSError("hiccup")
+        query.stop()
+
+    query = started("retry")
+    commit_while_running(query, twice, "3 minutes", 2)
+    assert len(calls) >= 3
+
+    def never(watermark):
+        raise OSError("gone")
+
+    query = started("give-up")
+    with pytest.raises(OSError, match="gone"):
+        commit_while_running(query, never, "3 minutes", 1, attempts=2)
+    assert not query.isActive

@@ -116,3 +116,34 @@ def test_against_brute_force(spark, make_readings, bound):
         ).collect()
     }
     assert got == {(key, index * 900): found for (key, index), found in best.items()}
+
+
+@pytest.mark.parametrize("length", ["15 minutes", "3 days"])
+def test_ties_over_partitions_do_not_depend_on_the_order_of_rows(spark, make_readings, length):
+    rows = make_readings([("a", v, DAY + "00:14:00") for v in (1, 2, 3)]).drop("source_partition").crossJoin(
+        spark.createDataFrame([(3,), (1,), (-2,)], "source_partition INT")).withColumn("seq", F.lit(7).cast("bigint"))
+    rows = rows.withColumn("value", F.col("source_partition").cast("double")).distinct()
+    for ordered in (rows.coalesce(1).orderBy("value"), rows.coalesce(1).orderBy(F.desc("value"))):
+        found = time_neat(with_event_time(ordered.coalesce(1)), length).collect()
+        assert [r.value for r in found] == [-2.0]
+        named = ordered.withColumn("source_partition", F.concat(F.lit("file"), F.col("source_partition")))
+        assert [r.value for r in time_neat(with_event_time(named.coalesce(1)), length).collect()] == [-2.0]
+
+
+def test_the_timestamp_of_the_record_comes_before_its_position(spark, make_readings):
+    rows = make_readings([("a", v, DAY + "00:14:00") for v in (1, 2, 3)])
+    stamped = rows.withColumn("arrived", F.lit(1704067200000) - F.col("seq"))
+    assert neat(stamped) == [("a", 3.0, DAY + "00:15:00")]
+    with pytest.raises(Exception, match="outside the room"):
+        neat(stamped.withColumn("seq", F.lit(10**14)))
+
+
+def test_parts_of_a_second_pair_value_and_time(spark):
+    rows = spark.createDataFrame(
+        [("a", "t", 1.0, 0, 0, 0.1), ("a", "t", 2.0, 1, 0, 0.9)],
+        "measurepointid STRING, measuretag STRING, value DOUBLE, seq BIGINT, source_partition INT, at DOUBLE")
+    stamped = rows.withColumn("event_time", F.timestamp_millis((F.col("at") * 1000).cast("bigint")))
+    (found,) = newest_per_window(in_windows(stamped)).select("value", F.unix_millis("event_time").alias("ms")).collect()
+    assert (found.value, found.ms) == (2.0, 900)
+    with pytest.raises(Exception, match="whole seconds"):
+        newest_per_window(in_windows(stamped), arrival_bound=10).collect()
