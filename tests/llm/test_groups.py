@@ -1,0 +1,311 @@
+"""Near-duplicates, mixing, shards and models against brute force, and on odd rows."""
+
+import math
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarterbell.llm import embeddings, mixing, nearduplicates, scoring, sharding, toxicity
+from quarterbell.llm.components import components
+from quarterbell.llm.queries import oracle_sql, queries
+from tests.llm.odd import LONG, ROWS, SCHEMA, documents, folder, table
+
+
+def joined(nodes, links):
+    """The least node that each node is linked with."""
+    label = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar(a, b):
+    return bool(a) and bool(b) and 5 * len(a & b) >= 4 * len(a | b)
+
+
+def classes_of(rows):
+    sets = {d: shingle_set(t) for d, t in rows}
+    ids = sorted(sets)
+    return joined(ids, [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if similar(sets[a], sets[b])])
+
+
+def test_components_of_random_links_and_a_long_chain(spark):
+    rng = np.random.default_rng(2)
+    links = [tuple(map(int, p)) for p in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1100)]
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    wanted = joined({n for p in links for n in p}, links)
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    assert {r.node: r.component for r in found.collect()} == {n: wanted[n] for n in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_duplicates_against_brute_force(spark):
+    rows = [(d, t) for d, t, *_ in table("documents")]
+    rng = np.random.default_rng(4)
+    base = [f"b{i}" for i in range(150)]
+    for d in range(1000, 1120):  # copies with from none to many changed words
+        words = list(base)
+        for i in rng.integers(0, 150, rng.integers(0, 9)):
+            words[i] = f"c{rng.integers(0, 10**6)}"
+        rows.append((d, " ".join(words)))
+    found = {r.doc_id: r for r in nearduplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wanted = classes_of(rows)
+    assert {d: r.class_id for d, r in found.items()} == wanted
+    assert all(r.kept == (r.class_id == d) for d, r in found.items()) and len(set(wanted.values())) > 200
+
+
+def test_sketches_estimate_the_probability_jaccard_similarity():
+    rng = np.random.default_rng(0)
+    a, b = np.arange(1, 301, dtype=np.uint64), np.arange(101, 401, dtype=np.uint64)
+    weight = {int(e): float(w) for e, w in zip(range(1, 401), rng.integers(1, 5, 400))}
+    w = [np.array([weight[int(e)] for e in s]) for s in (a, b)]
+    owner = np.repeat([0, 1], 300)
+    kept = nearduplicates.sketches(owner, np.concatenate([a, b]), np.concatenate(w), 2, 4096)
+    # weights of shared elements are equal, so each shared one adds w over the sum of the larger weights
+    total = [x.sum() for x in w]
+    exact = 0
+    for d in set(a.tolist()) & set(b.tolist()):
+        exact += 1 / sum(max(weight[e] / weight[d] if e <= 300 else 0, weight[e] / weight[d] if e > 100 else 0) for e in weight)
+    assert abs((kept[0] == kept[1]).mean() - exact) < 4 * math.sqrt(0.25 / 4096) and total[0] > 0
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    odd = documents(spark)
+    found = nearduplicates.near_duplicates(odd).collect()
+    by = {r.doc_id: r.class_id for r in found if r.doc_id is not None}
+    assert len(found) == len(ROWS) and by == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 7, 9: 4, 10: 10}
+    left = nearduplicates.without_near_duplicates(odd)
+    assert left.columns == odd.columns
+    assert Counter(r.doc_id for r in left.collect()) == Counter([1, 2, 3, 4, 5, 7, 10, None, None])
+    assert nearduplicates.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def near_facts(rows):
+    out, good = {}, []
+    for v, e, label in rows:
+        usable = label is not None and e and all(x is not None and math.isfinite(x) for x in e) and any(e)
+        good.append((v, np.array(e, float), label) if usable else None)
+        out[v] = [0, v]
+    links = []
+    for i, a in enumerate(good):
+        for b in good[i + 1:]:
+            if a and b and a[2] == b[2] and len(a[1]) == len(b[1]) and a[1] @ b[1] >= 0.98 * math.sqrt((a[1] @ a[1]) * (b[1] @ b[1])):
+                links.append((a[0], b[0]))
+    for a, b in links:
+        out[a][0] += 1
+        out[b][0] += 1
+    label = joined(out, links)
+    return {v: (n, label[v], label[v] == v) for v, (n, _) in out.items()}
+
+
+@pytest.mark.parametrize("tile", [embeddings.TILE, 7])
+def test_near_vectors_against_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    rng = np.random.default_rng(6)
+    rows = []
+    for v in range(0, 240):
+        centre = np.random.default_rng(v % 9).normal(size=40)
+        x = centre + rng.normal(size=40) * rng.choice([0, 0.05, 0.1, 0.14, 0.3])
+        rows.append((v, [float(y) for y in np.float32(x * rng.choice([1, 3]))], v % 3 % 2))
+    rows += [(300, None, 0), (301, [], 0), (302, [0.0] * 40, 0), (303, [1.0, None] * 20, 0), (304, [float("nan")] * 40, 0),
+             (305, [float("inf")] * 40, 0), (306, rows[0][1], None), (307, [1.0, 2.0], 0), (308, [2.0, 4.0], 0), (309, rows[1][1], rows[1][2])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({c: F.lit(1) for c in ("node", "cell", "copies", "family", "lives")})
+    found = embeddings.near_vectors(vectors.repartition(5)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found} == near_facts(rows)
+    assert embeddings.near_vectors(vectors.limit(0)).count() == 0
+
+
+def test_a_vector_without_id_links(spark):
+    rows = [(None, [1.0, 0.0], 1), (None, [1.0, 0.01], 1), (5, [0.0, 1.0], 1), (None, [0.0, 2.0], 1)]
+    found = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in found) == [
+        (0, 1, 0, False), (0, 1, 0, False), (0, 1, 5, False), (5, 1, 5, True)]
+
+
+def against_sql(spark, name, sf_dir):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet{'' if sf_dir.startswith('/root/testdata') else '/*'}')")
+    result = con.sql(oracle_sql()[name])
+    names = [c[0] for c in con.sql(f"DESCRIBE {oracle_sql()[name]}").fetchall()]
+    found = queries()[name](spark, sf_dir)
+    assert sorted(found.columns) == sorted(names)
+    assert Counter(map(tuple, found.select(*names).collect())) == Counter(result.fetchall())
+    return found
+
+
+def resharing(sizes):
+    """Targets by weight, the excess of stopped sources reshared again and again."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    left, target, open_ = 1.5 * sum(sizes.values()), dict.fromkeys(names, 0.0), set(names)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        stopped = {s for s in open_ if level * weight[s] > 2 * sizes[s]}
+        if not stopped:
+            return target | {s: level * weight[s] for s in open_}
+        for s in stopped:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+        open_ -= stopped
+    return target
+
+
+@pytest.mark.parametrize("rows", ["table", "odd"])
+def test_mixing(spark, tmp_path, rows):
+    sf_dir = "/root/testdata/sf0.001" if rows == "table" else folder(spark, tmp_path, documents=documents(spark))
+    found = against_sql(spark, "op7_mix_sources", sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    size_of = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = Counter()
+    for r in docs.collect():
+        sizes[r.source] += size_of(r.text)
+    wanted = resharing(sizes)
+    assert Counter((r.source_size, round(r.target, 6)) for r in found) == Counter((sizes[r.source], round(wanted[r.source], 6)) for r in docs.collect())
+    taken = Counter()
+    for r in found:
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source_size, round(r.target, 6)] += r.taken
+    for (_, target), n in taken.items():
+        same = sum(round(t, 6) == target for t in wanted.values())
+        assert same * math.floor(target) - 1 <= n <= same * target + 1
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert sum(size_of(r.text) for r in mixed.collect()) == sum(r.taken for r in found)
+
+
+def test_mixing_an_empty_table(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert mixing.mix_sources(none).count() == 0 and mixing.mixed_documents(none).count() == 0
+
+
+def plain_best_fit(sizes, capacity):
+    bins, out = [], {}
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        fits = [(room, b) for b, room in enumerate(bins) if room >= sizes[i]]
+        if fits:
+            out[i] = min(fits)[1]
+        else:
+            bins.append(max(capacity, sizes[i]))
+            out[i] = len(bins) - 1
+        bins[out[i]] -= sizes[i]
+    return [out[i] for i in range(len(sizes))]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_best_fit_decreasing(seed):
+    rng = np.random.default_rng(seed)
+    sizes = [int(x) for x in rng.integers(1, 100, 300)]
+    assert sharding.best_fit_decreasing(sizes, 150) == plain_best_fit(sizes, 150)
+    bins = np.bincount(sharding.pack(sizes, 10), sizes, 10)
+    assert bins.max() - bins.min() <= 100 and bins.sum() == sum(sizes)
+
+
+def shard_facts(rows):
+    slots, sizes, of_text = {}, Counter(), {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+        sizes[r.shard] += r.size
+        assert of_text.setdefault((r.size, r.text_crc32), r.shard) == r.shard and r.law == "bytes" and r.grown_shard is None
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return sizes
+
+
+def test_shards(spark):
+    sizes = shard_facts(queries()["op9_shard_documents"](spark, "/root/testdata/sf0.01").collect())
+    assert set(sizes) == set(range(24)) and max(sizes.values()) < 1.01 * min(sizes.values())
+
+
+def test_shards_of_odd_rows(spark):
+    found = sharding.shard_documents(documents(spark)).collect()
+    shard_facts(found)
+    import zlib
+
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in found) == Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t, *_ in ROWS)
+    assert sharding.shard_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_text_of_a_third_of_all_rows(spark):
+    rows = [(i, "copy of one text" if i % 3 == 0 else f"text {i} " * (i % 50)) for i in range(3000)]
+    sizes = shard_facts(sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert max(sizes.values()) <= max(1.05 * sum(sizes.values()) / 24, 24 * 1000)
+
+
+def test_language_models_share_a_vocabulary_and_sum_to_one(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", (F.col("doc_id") % 3 == 0).cast("int").alias("target"))
+    models = scoring.learn(texts, word_share=1e-3, pair_share=1e-3).value
+    size = models.vocabulary.size
+    assert size < 1002
+    for before in (0, 1, size // 2, size - 1):
+        key = before * size + np.arange(size - 1)
+        found = np.minimum(np.searchsorted(models.pairs, key), len(models.pairs) - 1)
+        known = models.pairs[found] == key
+        for losses, word, left in zip(models.losses, models.words, models.left):
+            chance = np.exp(-np.where(known, losses[found], word[np.arange(size - 1)] + left[before]))
+            assert chance.sum() == pytest.approx(1, abs=1e-9)
+
+
+def test_texts_like_the_target_score_lower(spark):
+    rows = [(i, " ".join((["good", "fine"] if i % 2 else ["bad", "poor"]) * 10 + ["same", "words"] * 5)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    found = {r.doc_id: r for r in scoring.score_documents(docs, labels).collect()}
+    assert max(found[i].difference for i in range(1, 200, 2)) < min(found[i].difference for i in range(0, 200, 2))
+    assert all(r.n_tokens == 30 and r.difference == pytest.approx(r.target_loss - r.background_loss) for r in found.values())
+
+
+def test_scores_of_odd_rows(spark):
+    labels = spark.createDataFrame([(4, 1), (7, 1), (5, 0)], "doc_id long, quality int")
+    found = scoring.score_documents(documents(spark), labels).collect()
+    assert len(found) == len(ROWS)
+    assert {r.doc_id: (r.n_tokens, r.difference) for r in found if r.doc_id in (1, 2, 3)} == {d: (0, None) for d in (1, 2, 3)}
+    assert {r.n_tokens for r in found if r.doc_id == 7} == {len(LONG.split())}
+    none = spark.createDataFrame([], SCHEMA)
+    assert scoring.score_documents(none, labels).count() == 0
+    assert scoring.score_documents(documents(spark), labels.limit(0)).count() == len(ROWS)
+
+
+def test_toxicity_on_held_out_labels(spark):
+    found = {r.doc_id: r for r in queries()["op10_toxicity"](spark, "/root/testdata/sf0.1").collect()}
+    import zlib
+
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for d, r in found.items())
+    held = [(found[d].predicted, toxic) for d, _, toxic in table("labels", "sf0.1") if found[d].held_out]
+    both, told, true = sum(p and t for p, t in held), sum(p for p, _ in held), sum(t for _, t in held)
+    assert both / told > 0.98 and both / true > 0.95
+
+
+def test_ratios_are_those_of_the_models():
+    from quarterbell.llm import tokens as T
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["idiot moron", "good day", "idiotic day", "goodness"], "toxic": [1, 0, 1, 0]})
+    (counts,) = toxicity._expressions(iter([batch]))
+    ratios = toxicity.Ratios(counts.column("key").to_numpy().view(np.uint64), np.stack([counts.column("toxic").to_numpy(), counts.column("ordinary").to_numpy()]))
+    words = T.words_of(pa.array(["idiot good unseen"]), T.LETTERS, True)
+    value = ratios.of_words(words, np.arange(3))
+    assert value[0] > 1 and value[1] < -1 and abs(value[2]) < min(value[0], -value[1])
+
+
+def test_toxicity_of_odd_rows(spark):
+    docs = documents(spark)
+    labels = spark.createDataFrame([(d, d % 2) for d in range(20)] + [(None, 1), (4, None), (4, 7)], "doc_id long, toxic int")
+    found = toxicity.score_toxicity(docs, labels).collect()
+    assert len(found) == len(ROWS) and all(0 <= r.score <= 1 for r in found)
+    assert {r.score for r in toxicity.score_toxicity(docs, labels.where("toxic = 0")).collect()} == {0.0}
+    assert toxicity.without_toxic(docs, labels.limit(0)).columns == docs.columns
+    assert toxicity.score_toxicity(spark.createDataFrame([], SCHEMA), labels).count() == 0
