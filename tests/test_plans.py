@@ -180,7 +180,7 @@ def test_a_hot_window_is_split_in_the_joins(spark):
     with settings(spark, small):
         late, kept = late_readings(stamped), on_time_readings(stamped)
         numbers = len(late.collect()), len(kept.collect())
-        assert "SortMergeJoin(skew=true)" in plan(late)
-        assert "SortMergeJoin(skew=true)" in plan(kept)
+        assert "ShuffledHashJoin(skew=true)" in plan(late)
+        assert "ShuffledHashJoin(skew=true)" in plan(kept)
     stamped.unpersist()
     assert min(numbers) > 0 and sum(numbers) == 400000
