@@ -33,16 +33,16 @@ from quarterbell.llm import tokens as T
 from quarterbell.llm.tables import table
 
 #: Bytes of the longest expression; the first ``SHARED`` orders use counts of both classes.
-ORDER, SHARED = 6, 2
+ORDER, SHARED = 7, 2
 #: Labelled texts of each class that are learned from, at most.
 MOST_PER_CLASS = 10_000
 #: Of ten sampled texts so many are counted; the curve is fitted on the others.
 COUNTED_TENTHS = 7
-#: Words of a passage.
-PASSAGE = 8
+#: Ratios from which a word is suspicious; what exceeds them is summed.
+SUSPICIOUS = (2.0, 3.0, 4.0)
 #: A document is toxic from this score on.
 REJECT_FROM = 0.7
-DISCOUNT = 0.75
+DISCOUNT = 0.9
 
 _BEGIN, _END = 1, 2  # bytes that no word has
 SCORE = "_toxicity_score"
@@ -76,22 +76,28 @@ class Spelling:
         return key
 
 
-def _distinct(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
-    """One place of each different word, and for each word which of them it is."""
-    _, which, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    return which, inverse
+def _once(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the different words of each document: the document, which word; and one place of each different word."""
+    hashes, owner = words.hashes(), words.owner
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(new)
+    _, which, word = np.unique(hashes[at], return_index=True, return_inverse=True)
+    return owner[at], word, order[at[which]]
 
 
 def _expressions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each expression in toxic and ordinary texts."""
+    """In how many toxic and ordinary texts words with each expression occur."""
     for batch in T.chunks(batches):
         words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
         if not len(words):
             continue
-        which, inverse = _distinct(words)
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.float64)[words.owner]
+        owner, word, which = _once(words)
+        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.float64)[owner]
         spelling = Spelling(words, which)
-        weight = np.stack([np.bincount(inverse, w, len(which)) for w in (toxic, 1 - toxic)])
+        weight = np.stack([np.bincount(word, w, len(which)) for w in (toxic, 1 - toxic)])
         keys, counts = [], []
         for n in range(1, ORDER + 1):
             at = np.flatnonzero(spelling.place >= max(1, n - 1))
@@ -178,22 +184,26 @@ class Ratios:
         return np.bincount(spelling.word, value, len(which))
 
 
+#: Features of a document.
+N_FEATURES = 3 + len(SUSPICIOUS)
+
+
 def _features(ratios: Ratios, words: T.Words) -> np.ndarray:
-    """For each document: the mean ratio of its words, the largest of a word and of a passage, and its length."""
+    """For each document: the mean and the largest ratio of its words, what exceeds each level, and its length."""
     docs = len(words.first) - 1
-    out = np.zeros((docs, 4))
+    out = np.zeros((docs, N_FEATURES))
     if not len(words):
         return out
-    which, inverse = _distinct(words)
-    ratio = ratios.of_words(words, which)[inverse]
-    some = np.flatnonzero(words.counts)
-    sums = np.concatenate([[0.0], np.cumsum(ratio)])
-    out[:, 0] = (sums[words.first[1:]] - sums[words.first[:-1]]) / np.maximum(words.counts, 1)
-    out[some, 1] = np.maximum.reduceat(ratio, words.first[some])
-    reach = np.minimum(words.room, PASSAGE)
-    at = np.arange(len(words))
-    out[some, 2] = np.maximum.reduceat((sums[at + reach] - sums[at]) / PASSAGE, words.first[some])
-    out[:, 3] = np.log1p(words.counts)
+    owner, word, which = _once(words)
+    ratio = ratios.of_words(words, which)[word]
+    n = np.bincount(owner, minlength=docs)
+    out[:, 0] = np.bincount(owner, ratio, docs) / np.maximum(n, 1)
+    most = np.full(docs, -np.inf)
+    np.maximum.at(most, owner, ratio)
+    out[:, 1] = np.where(n > 0, most, 0)
+    for k, level in enumerate(SUSPICIOUS):
+        out[:, 2 + k] = np.bincount(owner, np.maximum(ratio - level, 0), docs) / np.sqrt(n + 1)
+    out[:, -1] = np.log1p(n)
     return out
 
 
@@ -201,7 +211,7 @@ def _featured(model) -> "callable":
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches):
             found = _features(model.value, T.words_of(batch.column("text"), T.LETTERS, lower=True))
-            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), **{f"x{k}": found[:, k] for k in range(4)}})
+            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), **{f"x{k}": found[:, k] for k in range(N_FEATURES)}})
 
     return featured
 
@@ -256,11 +266,11 @@ def learn(documents: DataFrame, labels: DataFrame, most_per_class: int = MOST_PE
         counts["key"].to_numpy().view(np.uint64), np.stack([counts["toxic"].to_numpy(), counts["ordinary"].to_numpy()]))
     shared = spark.sparkContext.broadcast(ratios)
     fit = texts.where("NOT counted").select("text", "toxic").mapInArrow(
-        _featured(shared), "toxic int, " + ", ".join(f"x{k} double" for k in range(4))).toArrow()
+        _featured(shared), "toxic int, " + ", ".join(f"x{k} double" for k in range(N_FEATURES))).toArrow()
     y = fit["toxic"].to_numpy().astype(float)
     if not 0 < y.sum() < len(y):
         return None
-    x = np.column_stack([fit[f"x{k}"].to_numpy() for k in range(4)])
+    x = np.column_stack([fit[f"x{k}"].to_numpy() for k in range(N_FEATURES)])
     order = np.lexsort((*x.T, y))  # the same sums whatever the order of arrival
     x, y = x[order], y[order]
     weight = np.where(y == 1, shares[1] / y.sum(), shares[0] / (len(y) - y.sum()))
