@@ -135,8 +135,8 @@ def dropped_late(query: StreamingQuery) -> int:
     Beyond that the count would be cut short, so it is refused; ``LateRows`` keeps one.
     """
     kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
-    if len(query.recentProgress) >= kept:
-        raise RuntimeError(f"only the newest {kept} reports are kept; count with LateRows while the query runs")
+    if len(query.recentProgress) >= kept - 1:  # the oldest report goes when the last place is filled
+        raise RuntimeError("only the newest reports are kept; count with LateRows while the query runs")
     return LateRows(query).poll()
 
 
