@@ -41,7 +41,7 @@ DISCOUNT = 0.75
 #: The key under which documents that have words are counted.
 DOCUMENTS = 0
 #: Text counted at once: more finds more repeats before the shuffle.
-COUNT_BYTES = 32 << 20
+COUNT_BYTES = 12 << 20
 
 
 def _uniform(count: np.ndarray, size: int) -> np.ndarray:
