@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text worked on at once. A longer text is worked on alone and whole.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
