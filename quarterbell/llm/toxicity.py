@@ -33,7 +33,7 @@ from quarterbell.llm import tokens as T
 from quarterbell.llm.tables import table
 
 #: Bytes of the longest expression; the first ``SHARED`` orders use counts of both classes.
-ORDER, SHARED = 7, 2
+ORDER, SHARED = 6, 2
 #: Labelled texts of each class that are learned from, at most.
 MOST_PER_CLASS = 10_000
 #: Of ten sampled texts so many are counted; the curve is fitted on the others.
@@ -159,8 +159,8 @@ class Ratios:
                 chance[c] = part + rest[c][of] * lower[c]
             below = chance
             if n > SHARED:
-                self.seen[n], self.ratio[n] = own, np.log(chance[0] / chance[1])
-                self.contexts[n], self.left[n] = context, np.log(rest[0] / rest[1])
+                self.seen[n], self.ratio[n] = own, np.log(chance[0] / chance[1]).astype(np.float32)
+                self.contexts[n], self.left[n] = context, np.log(rest[0] / rest[1]).astype(np.float32)
 
     def of_words(self, words: T.Words, which: np.ndarray) -> np.ndarray:
         """The ratio of each of the given words."""
