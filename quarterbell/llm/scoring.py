@@ -10,7 +10,7 @@ Words and pairs are counted over all documents; what is gathered grows with
 them. A word is in the vocabulary, and a pair in the models, from a share of
 all tokens on, so at most 1 / share of them can be: that bounds what every task
 gets, whatever the size of the corpus. Pairs below it are not lost, they back off to
-their word. Target texts are those labelled good, at most ``most_target`` of them by least hash.
+their word. Target texts are all those labelled good.
 
 Results in the odd cases: a document without words has 0 tokens and null
 losses; unlabelled and null-labelled documents are background only; if an id
@@ -31,8 +31,6 @@ from pyspark.sql import functions as F
 from quarterbell.llm import tokens as T
 from quarterbell.llm.tables import saved, table
 
-#: Labelled texts of the target, at most.
-MOST_TARGET = 20_000
 #: Least share of all tokens of a word of the vocabulary (at most 20,000 words).
 WORD_SHARE = 5e-5
 #: Least share of all tokens of a pair with counts of its own (at most a million pairs).
@@ -169,17 +167,17 @@ def learn(texts: DataFrame, word_share: float = WORD_SHARE, pair_share: float =
         [pairs[c].to_numpy()[order].astype(float) for c in ("n", "target")]))
 
 
-def score_documents(documents: DataFrame, labels: DataFrame, most_target: int = MOST_TARGET, **options) -> DataFrame:
+def score_documents(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss and difference of every document."""
     good = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
-        .orderBy(F.xxhash64("doc_id")).limit(most_target).select("doc_id", F.lit(1).alias("target"))
+        .select("doc_id", F.lit(1).alias("target"))
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # a bounded number of ids
-    flagged = texts.join(F.broadcast(good), "doc_id", "left").select("text", F.coalesce("target", F.lit(0)).alias("target"))
-    models = learn(flagged, **options)
+    # a shuffle at every size: labels grow with the documents, and Spark splits partitions of hot ids
+    flagged = texts.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(0)).alias("target"))
+    models = learn(saved(flagged, "lm-texts"), **options)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches):

@@ -268,6 +268,14 @@ def test_texts_like_the_target_score_lower(spark):
     assert all(r.n_tokens == 30 and r.difference == pytest.approx(r.target_loss - r.background_loss) for r in found.values())
 
 
+def test_every_text_labelled_good_is_counted(spark):
+    n = 21_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    # with all texts in the target both models are one
+    assert scoring.score_documents(docs, labels).where("difference <> 0").count() == 0
+
+
 def test_scores_of_odd_rows(spark):
     labels = spark.createDataFrame([(4, 1), (7, 1), (5, 0)], "doc_id long, quality int")
     found = scoring.score_documents(documents(spark), labels).collect()
