@@ -6,11 +6,12 @@ discounting and add-one unigrams. A document's score is its loss per token
 under the target model less that under the background model; the lower, the
 more it resembles the target.
 
-Words and pairs are counted over all documents; what is gathered grows with
-them. A word is in the vocabulary, and a pair in the models, from a share of
-all tokens on, so at most 1 / share of them can be: that bounds what every task
-gets, whatever the size of the corpus. Pairs below it are not lost, they back off to
-their word. Target texts are all those labelled good.
+Words and pairs are counted over all documents, and all seen ``LEAST`` times or
+more are in the models; a pair seen less often backs off to its word, and words seen
+less often are one number together. The counts are tables, and nothing of
+their size is held by the driver or a task: documents are dealt into pieces of
+bounded text, a piece's distinct words and pairs are joined with the tables,
+and what is found goes back to the piece. Target texts are all those labelled good.
 
 Results in the odd cases: a document without words has 0 tokens and null
 losses; unlabelled and null-labelled documents are background only; if an id
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,14 @@ WORD_SHARE = 5e-5
 #: Least share of all tokens of a pair with counts of its own (at most a million pairs).
 PAIR_SHARE = 1e-6
 DISCOUNT = 0.75
+#: Least count of a word or a pair in the models that score documents.
+LEAST = 2
+#: Text of a piece; a longer text is a piece of its own.
+PIECE_BYTES = 12 << 20
+#: Keys that are no words: documents that have words (the context of their first word), and all tokens.
+START, TOKENS = 1, 2
+#: Spark drops the shuffles of a table once it is written.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: The key under which documents that have words are counted.
 DOCUMENTS = 0
 #: Text counted at once: more finds more repeats before the shuffle.
@@ -140,7 +150,10 @@ def _summed(rows: DataFrame) -> DataFrame:
 
 
 def learn(texts: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE):
-    """Models of texts with a number ``target`` (1: of the target, else 0), in a broadcast."""
+    """Models in memory of the words and pairs of a share of all tokens, in a broadcast.
+
+    texts have a number ``target`` (1: of the target, else 0). Documents are not scored by these.
+    """
     share = texts.sparkSession.sparkContext.broadcast
     schema = "key long, n long, target long"
     words = saved(_summed(texts.mapInArrow(_count_words, schema)), "lm-words")
@@ -167,8 +180,109 @@ def learn(texts: DataFrame, word_share: float = WORD_SHARE, pair_share: float =
         [pairs[c].to_numpy()[order].astype(float) for c in ("n", "target")]))
 
 
-def score_documents(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss and difference of every document."""
+def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    piece = TaskContext.get().partitionId() << 32
+    for batch in T.chunks(batches, most=PIECE_BYTES):
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, piece)), *batch.columns], names=["piece", *batch.schema.names])
+        piece += 1
+
+
+def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a piece; in parts if it comes in several batches."""
+    for batch in batches:
+        piece = batch.column("piece").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]
+        for begin, stop in zip(edges[:-1], edges[1:]):
+            if begin < stop:
+                yield int(piece[begin]), batch.slice(begin, stop - begin)
+
+
+def _keyed(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word: the key of the word before, its own, and that of the pair."""
+    now = words.hashes()
+    before = np.empty_like(now)
+    before[1:] = now[:-1]
+    before[words.first[:-1][words.counts > 0]] = START
+    return before, now, T.mix(T.seeded(before, 3) + now)
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each key begins in sorted keys."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each word and pair of a piece occurs in all its texts and in those of the target."""
+    for _, batch in _by_piece(batches):
+        words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
+        if not len(words):
+            continue
+        target = batch.column("target").to_numpy(zero_copy_only=False)
+        of_word, some = target[words.owner], words.counts > 0
+        yield pa.RecordBatch.from_arrays([
+            pa.array([START, TOKENS], pa.int64()), pa.nulls(2, pa.int64()), pa.array([int(some.sum()), len(words)], pa.int64()),
+            pa.array([int(target[some].sum()), int(of_word.sum())], pa.int64())], names=["key", "before", "n", "target"])
+        before, now, pair = _keyed(words)
+        for keys, context in ((now, None), (pair, before)):
+            order = np.argsort(keys)
+            at = _starts(keys[order])
+            first = order[at]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(T.signed(keys[first])), pa.nulls(len(at), pa.int64()) if context is None else pa.array(T.signed(context[first])),
+                pa.array(np.diff(at, append=len(keys))), pa.array(np.add.reduceat(of_word[order], at, dtype=np.int64))],
+                names=["key", "before", "n", "target"])
+
+
+def _list_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys that a piece looks up."""
+    for piece, batch in _by_piece(batches):
+        words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
+        if len(words):
+            _, now, pair = _keyed(words)
+            now, pair = np.sort(now), np.sort(pair)
+            key = np.concatenate([np.array([START], np.uint64), now[_starts(now)], pair[_starts(pair)]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), piece)), pa.array(T.signed(key))], names=["piece", "key"])
+
+
+def _scorer(words_kept: int, totals: tuple[tuple[int, int], ...]):
+    """totals: all tokens and those of kept words; of all texts and of the target."""
+
+    def score(documents: pa.Table, found: pa.Table) -> pa.Table:
+        words = T.words_of(documents["text"], T.LETTERS, lower=True)
+        n = words.counts
+        keys = found["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        keys = keys[order]
+
+        def look_up(wanted):
+            if not len(keys):
+                return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            return at, keys[at] == wanted
+
+        (context, in_context), (word, is_word), (pair, is_pair) = map(look_up, _keyed(words))
+        means = []
+        for (tokens, kept), count, taken in zip(totals, ("n", "target"), ("taken_n", "taken_target")):
+            # a last entry, so that there is one to take where nothing was found
+            count = np.append(found[count].to_numpy()[order].astype(float), 0)
+            taken = np.append(found[taken].to_numpy()[order], 0)
+            chance = (np.where(is_word, count[word], tokens - kept) + 1) / (tokens + words_kept + 1)
+            before = np.maximum(np.where(in_context, count[context], 1), 1)
+            left = 1 - np.where(in_context, taken[context], 0) / before
+            loss = -np.log(np.where(is_pair, np.maximum(count[pair] - DISCOUNT, 0), 0) / before + left * chance)
+            sums = np.concatenate([[0.0], np.cumsum(loss)])
+            means.append((sums[words.first[1:]] - sums[words.first[:-1]]) / np.maximum(n, 1))
+        background, target = means
+        column = lambda x: pa.array(x, pa.float64(), mask=n == 0)
+        return pa.Table.from_arrays(
+            [documents["doc_id"], pa.array(n, pa.int64()), column(target), column(background), column(target - background)],
+            names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
+
+    return score
+
+
+def _tables(documents: DataFrame, labels: DataFrame):
+    """The pieces, what each of them found in the models, and a row of the models' sums."""
     good = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
@@ -176,24 +290,40 @@ def score_documents(documents: DataFrame, labels: DataFrame, **options) -> DataF
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # a shuffle at every size: labels grow with the documents, and Spark splits partitions of hot ids
-    flagged = texts.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(0)).alias("target"))
-    models = learn(saved(flagged, "lm-texts"), **options)
+    flagged = texts.join(good.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target"))
+    pieces = saved(flagged.mapInArrow(_in_pieces, "piece long, doc_id long, text string, target int"), "lm-pieces")
+
+    counted = pieces.mapInArrow(_count_grams, "key long, before long, n long, target long").groupBy("key").agg(
+        F.max("before").alias("before"), F.sum("n").alias("n"), F.sum("target").alias("target"))
+    special = F.col("key").isin(START, TOKENS)
+    grams = saved(counted.where((F.col("n") >= LEAST) | special), "lm-grams")
+    word = F.col("before").isNull() & ~special
+    number = lambda condition, column: F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+    everything = grams.agg(
+        F.count_if(word).alias("words"),
+        *[number(F.col("key") == TOKENS if of == "all" else word, c).alias(f"{of}_{c}") for of in ("all", "kept") for c in ("n", "target")]
+    ).first()
+    taken = grams.where("before IS NOT NULL").groupBy(F.col("before").alias("key")).agg(
+        F.sum(F.col("n") - DISCOUNT).alias("taken_n"), F.sum(F.greatest(F.col("target") - DISCOUNT, F.lit(0.0))).alias("taken_target"))
+    singles = grams.where("before IS NULL").join(taken, "key", "left").select(
+        "key", "n", "target", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("taken_n", "taken_target")])
+    pairs = grams.where("before IS NOT NULL").select("key", "n", "target", *[F.lit(0.0).alias(c) for c in ("taken_n", "taken_target")])
+    wanted = pieces.mapInArrow(_list_grams, "piece long, key long")
+    return pieces, saved(wanted.join(singles.unionByName(pairs).hint("shuffle_hash"), "key"), "lm-found"), everything
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.chunks(batches):
-            words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
-            n = words.counts
-            means = []
-            for loss in models.value(words):
-                sums = np.concatenate([[0.0], np.cumsum(loss)])
-                means.append((sums[words.first[1:]] - sums[words.first[:-1]]) / np.maximum(n, 1))
-            background, target = means
-            column = lambda x: pa.array(x, pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), column(target), column(background), column(target - background)],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
-
-    return texts.mapInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")
+
+def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss and difference of every document."""
+    conf = documents.sparkSession.conf
+    kept = conf.get(CLEAN_UP)
+    conf.set(CLEAN_UP, "true")
+    try:
+        pieces, found, everything = _tables(documents, labels)
+    finally:
+        conf.set(CLEAN_UP, kept)
+    score = _scorer(everything.words, ((everything.all_n, everything.kept_n), (everything.all_target, everything.kept_target)))
+    return pieces.select("piece", "doc_id", "text").groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
+        score, "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")
 
 
 def op8_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

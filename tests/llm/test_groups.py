@@ -276,6 +276,42 @@ def test_every_text_labelled_good_is_counted(spark):
     assert scoring.score_documents(docs, labels).where("difference <> 0").count() == 0
 
 
+def test_scores_count_every_word_and_pair_seen_twice(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "PIECE_BYTES", 100_000)
+    rng = np.random.default_rng(8)
+    # 13,000 words a side, none of which has a share of 5e-5 of the tokens
+    texts = [" ".join(f"{'bg'[i % 2]}{w}" for w in rng.integers(0, 13_000, 200)) for i in range(500)]
+    texts += [texts[1], texts[0], "once upon"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(500)], "doc_id long, quality int")
+    found = {r.doc_id: r for r in scoring.score_documents(docs, labels).collect()}
+    split = [t.split() for t in texts]
+    facts = []
+    for part in (split, split[1:500:2]):
+        facts.append((Counter(w for t in part for w in t) + Counter({None: len(part)}), Counter(p for t in part for p in zip([None, *t], t))))
+    kept = {w for w, n in facts[0][0].items() if w and n > 1}
+    kept_pairs = {p for p, n in facts[0][1].items() if n > 1}
+
+    def losses(words, pairs):
+        total = sum(words.values()) - words[None]
+        rest = total - sum(words[w] for w in kept)
+        taken = Counter()
+        for p in kept_pairs:
+            taken[p[0]] += max(0, pairs[p] - 0.75)
+        for t in split:
+            loss = 0
+            for p in zip([None, *t], t):
+                context = max(1, words[p[0]])
+                chance = ((words[p[1]] if p[1] in kept else rest) + 1) / (total + len(kept) + 1)
+                loss -= math.log((max(0, pairs[p] - 0.75) if p in kept_pairs else 0) / context + (1 - taken[p[0]] / context) * chance)
+            yield loss / len(t)
+
+    for i, (background, target) in enumerate(zip(*[list(losses(*f)) for f in facts])):
+        assert found[i].background_loss == pytest.approx(background) and found[i].target_loss == pytest.approx(target)
+    # but for the two that have copies
+    assert max(found[i].difference for i in range(3, 500, 2)) < min(found[i].difference for i in range(2, 500, 2))
+
+
 def test_scores_of_odd_rows(spark):
     labels = spark.createDataFrame([(4, 1), (7, 1), (5, 0)], "doc_id long, quality int")
     found = scoring.score_documents(documents(spark), labels).collect()
