@@ -8,9 +8,12 @@ Jaccard similarity of 0.8 or more; a class is what links connect.
    processes, faster for shingles that occur more often (weight 1 + ln n). A
    register keeps the first arrival; a text stops once no arrival can be first
    any more. Registers of two texts agree with their probability Jaccard
-   similarity, which is the Jaccard similarity if the weights are equal.
-3. *Bands.* Texts that agree in 4 registers in a row meet. At 0.8 a pair
-   misses all 32 bands with a probability of 5e-8.
+   similarity, which is the Jaccard similarity if the weights are equal. A
+   text in which a shingle occurs again gets a second sketch with weight 1 for
+   each shingle; in any other text that sketch is the first.
+3. *Bands.* Texts that agree in 4 registers in a row of any of their sketches
+   meet. At a Jaccard similarity of 0.8 a pair misses the 32 bands of the
+   sketches with weight 1 with a probability of 5e-8, whatever the weights do.
 4. *Stars.* Where many meet, each is compared with the one that meets most
    others, so a bucket costs as many comparisons as it has texts.
 5. *The rest, exactly.* Where texts of a bucket are still in different
@@ -82,18 +85,29 @@ def sketches(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int
     return kept.reshape(docs, registers)
 
 
+def _bands(kept: np.ndarray) -> np.ndarray:
+    """The bands of sketches."""
+    kept = kept.reshape(len(kept), BANDS, ROWS)
+    band = T.seeded(np.arange(BANDS, dtype=np.uint64), 7)[None, :] + np.zeros((len(kept), 1), np.uint64)
+    for k in range(ROWS):
+        band = T.mix(band * np.uint64(5) + kept[:, :, k])
+    return band
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.chunks(batches):
         words = T.words_of(batch.column("text"))
         owner, value, times = shingles(words)
         docs = batch.num_rows
-        kept = sketches(owner, value, 1 + np.log(times), docs, BANDS * ROWS).reshape(docs, BANDS, ROWS)
-        band = T.seeded(np.arange(BANDS, dtype=np.uint64), 7)[None, :] + np.zeros((docs, 1), np.uint64)
-        for k in range(ROWS):
-            band = T.mix(band * np.uint64(5) + kept[:, :, k])
-        some = words.counts > 0
-        sizes = np.where(some, BANDS, 0)
-        bands = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), T.signed(band[some].ravel()))
+        some, again = words.counts > 0, np.zeros(docs, bool)
+        again[owner[times > 1]] = True
+        band = np.zeros((docs, 2 * BANDS), np.uint64)
+        band[:, :BANDS] = _bands(sketches(owner, value, 1 + np.log(times), docs, BANDS * ROWS))
+        # equal weights give the same registers, so only texts with repeated shingles need the second
+        of, number = again[owner], np.cumsum(again) - 1
+        band[again, BANDS:] = _bands(sketches(number[owner[of]], value[of], np.ones(int(of.sum())), int(again.sum()), BANDS * ROWS))
+        used = np.repeat(np.stack([some, again], axis=1), BANDS, axis=1)
+        bands = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(used.sum(axis=1))]).astype(np.int32), T.signed(band[used]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("doc"), batch.column("copy"), bands], names=["doc_id", "doc", "copy", "bands"])
 

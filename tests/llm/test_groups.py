@@ -69,6 +69,20 @@ def test_near_duplicates_against_brute_force(spark):
     assert all(r.kept == (r.class_id == d) for d, r in found.items()) and len(set(wanted.values())) > 200
 
 
+def test_near_duplicates_that_repeat_other_shingles(spark):
+    rows = []
+    for d in range(0, 80, 2):  # two refrains, of which each text repeats another: few weights agree, nearly all shingles do
+        one, two = [f"a{d}_{i}" for i in range(50)], [f"b{d}_{i}" for i in range(50)]
+        rows += [(d, " ".join(one * 100 + two)), (d + 1, " ".join(one + two * 100))]
+    for d in range(80, 120, 2):  # a body and a refrain, sung once and a hundred times
+        body, refrain = [f"a{d}_{i}" for i in range(60)], [f"b{d}_{i}" for i in range(40)]
+        rows += [(d, " ".join(body + refrain)), (d + 1, " ".join(body + refrain * 100))]
+    found = nearduplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = classes_of(rows)
+    assert wanted == {d: d // 2 * 2 for d in range(120)}
+    assert {r.doc_id: r.class_id for r in found} == wanted
+
+
 def test_sketches_estimate_the_probability_jaccard_similarity():
     rng = np.random.default_rng(0)
     a, b = np.arange(1, 301, dtype=np.uint64), np.arange(101, 401, dtype=np.uint64)
