@@ -4,9 +4,10 @@ Two models of the characters of a word, one of toxic and one of ordinary
 texts, share their lower orders: a byte after two others and more is predicted
 from the class's own interpolated Kneser-Ney counts, and rare expressions back
 off to counts of both classes together. There both models agree and a word says nothing.
-The log-likelihood ratio of each word, divided by length over the document and
-over short passages, and a logistic curve fitted on labelled texts that the
-counts have not seen, give a score between 0 and 1.
+The log-likelihood ratios of a document's words (their mean, the largest of a
+distinct word, and what suspicious words exceed, by the root of the distinct
+words) and a logistic curve fitted on labelled texts that the counts have not
+seen give a score between 0 and 1. A short passage has no ratio of its own.
 
 Labels are learned from at most ``most_per_class`` texts of each class, those
 with the least hash, so the model has a size bound and can be sent to every
@@ -14,8 +15,8 @@ task. Scoring reads every document once and shuffles nothing.
 
 Results in the odd cases: null and empty texts are scored as texts without
 words (ratios 0); a row of ``labels`` without id or label is not used, and if
-an id is labelled twice, toxic wins; without texts of both classes every score
-is 0; a null id counts as held out = false; repeated rows give repeated
+an id is labelled twice, toxic wins; without two texts of each class (one to
+count and one to fit on) every score is 0; a null id counts as held out = false; repeated rows give repeated
 results; an empty table gives no rows; extra columns are not read.
 """
 
@@ -255,7 +256,12 @@ def learn(documents: DataFrame, labels: DataFrame, most_per_class: int = MOST_PE
         known.where("toxic = 0").orderBy("by").limit(most_per_class))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the sample has a bounded number of ids
-    texts = texts.join(F.broadcast(sample), "doc_id").withColumn("counted", F.pmod("by", F.lit(10)) < COUNTED_TENTHS)
+    texts = texts.join(F.broadcast(sample), "doc_id")
+    tenth = F.pmod("by", F.lit(10))
+    # the first text of a class is always counted, and the last never
+    ends = texts.groupBy("toxic").agg(F.min(F.struct(tenth, "by"))["by"].alias("first"), F.max(F.struct(tenth, "by"))["by"].alias("last")).collect()
+    first, last = [r["first"] for r in ends], [r["last"] for r in ends]
+    texts = texts.withColumn("counted", F.col("by").isin(first) | ((tenth < COUNTED_TENTHS) & ~F.col("by").isin(last)))
     counts = (
         texts.where("counted").select("text", "toxic").mapInArrow(_expressions, "key long, toxic long, ordinary long")
         .groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()

@@ -337,6 +337,17 @@ def test_scores_of_odd_rows(spark):
     assert scoring.score_documents(documents(spark), labels.limit(0)).count() == len(ROWS)
 
 
+def test_a_few_toxic_texts_are_counted_and_fitted(spark):
+    ids = spark.range(400).where(~toxicity.held_out(F.col("id"))).withColumn("counted", F.pmod(F.xxhash64("id"), F.lit(10)) < 7)
+    for counted in (True, False):  # all toxic texts in one part of the sample by their hashes
+        bad = [r.id for r in ids.where(F.col("counted") == counted).orderBy("id").limit(4).collect()]
+        rows = [(i, "vile filth scum " * 5 if i in bad else "a calm and pleasant day " * 5) for i in range(400)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        labels = docs.select("doc_id", F.col("doc_id").isin(bad).cast("int").alias("toxic"))
+        found = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, labels).collect()}
+        assert min(found[i] for i in bad) > max(s for i, s in found.items() if i not in bad)
+
+
 def test_toxicity_on_held_out_labels(spark):
     found = {r.doc_id: r for r in queries()["op10_toxicity"](spark, "/root/testdata/sf0.1").collect()}
     import zlib
