@@ -54,6 +54,8 @@ LENGTH, SEED = 50, 24
 BUCKET_BYTES = 12 << 20
 #: Bytes of the documents whose suffixes give the splitters.
 SAMPLE_BYTES = 16 << 20
+#: Text whose suffixes make one sorted run, and text hashed at once.
+RUN_BYTES, HASHED_BYTES = 12 << 20, 1 << 20
 #: Entries that are no longer split by a pivot.
 SMALL = 1 << 13
 
@@ -218,25 +220,36 @@ def _parts(splitters: np.ndarray, lead, second, row, doc, run) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PARTS)], schema=_PARTS)
 
 
+def _hashed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """Leading tokens, row and run of the stretches of a batch, from little text at once.
+
+    A very long text is cut: a stretch at the cut is another one then, and its windows are compared singly.
+    """
+    rows = 0
+    for piece in T.chunks([batch], most=HASHED_BYTES):
+        data, edges = bytes_of(piece.column("text"))
+        step = HASHED_BYTES if piece.num_rows == 1 else len(data) + 1
+        for begin in range(0, max(len(data), 1), step):
+            part = data[begin:begin + step + LENGTH - 1]
+            first, count, lead, second = _stretches(part, np.clip(edges - begin, 0, len(part)))
+            row = np.searchsorted(edges, first + begin, "right") - 1
+            yield lead, second, row + rows, ((first + begin - edges[row]) << _START) | (count << _COUNT)
+        rows += piece.num_rows
+
+
 def _by_stretch(splitters: np.ndarray):
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.chunks(batches):
-            data, edges = bytes_of(batch.column("text"))
-            first, count, lead, second = _stretches(data, edges)
-            if len(first):
-                row = np.searchsorted(edges, first, "right") - 1
-                run = ((first - edges[row]) << _START) | (count << _COUNT)
-                yield from _parts(splitters, lead, second, row, batch.column("doc").to_numpy(), run)
+        for batch in T.chunks(batches, most=RUN_BYTES):
+            lead, second, row, run = (np.concatenate(c) for c in zip(*_hashed(batch)))
+            yield from _parts(splitters, lead, second, row, batch.column("doc").to_numpy(), run)
 
     return parts
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.chunks(batches):
-        data, edges = bytes_of(batch.column("text"))
-        first, _, lead, second = _stretches(data, edges)
-        row = np.searchsorted(edges, first, "right") - 1
-        lead, second, _, _, settled = _sorted_run(lead, second, row, batch.column("doc").to_numpy(), first)
+        lead, second, row, run = (np.concatenate(c) for c in zip(*_hashed(batch)))
+        lead, second, _, _, settled = _sorted_run(lead, second, row, batch.column("doc").to_numpy(), run)
         keep = np.flatnonzero(~settled)[::64]
         yield pa.RecordBatch.from_pydict({"lead": T.signed(lead[keep]), "second": T.signed(second[keep])})
 
