@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterbell.llm import tokens as T
-from quarterbell.llm.tables import document_key, saved, table
+from quarterbell.llm.tables import document_key, saved, shuffles_dropped, table
 
 #: Bytes of a window, and of an anchor.
 LENGTH, SEED = 50, 24
@@ -372,9 +372,9 @@ def without_repeated_bytes(documents: DataFrame) -> DataFrame:
         lists = marks.groupBy("doc").agg(F.collect_list(F.struct("run", "content")).alias("marks"))
         return texts.join(lists.hint("merge"), "doc", "left").select("doc_id", "doc", "text", "marks")
 
-    marks = saved(
-        texts.select("doc", "text").mapInArrow(_by_stretch(splitters), _PARTS_SQL).groupBy("bucket").applyInArrow(_judge, _MARKS_SQL),
-        "suffix-marks")
+    suffixes = texts.select("doc", "text").mapInArrow(_by_stretch(splitters), _PARTS_SQL)
+    with shuffles_dropped(documents.sparkSession):
+        marks = saved(suffixes.groupBy("bucket").applyInArrow(_judge, _MARKS_SQL), "suffix-marks")
     # an anchor that ends one bucket and begins the next has different stretches there
     shared = marks.where("doc IS NULL").groupBy(F.col("edge").alias("shared")).agg(F.count_distinct("bucket").alias("buckets")).where("buckets > 1")
     inner = marks.where("doc IS NOT NULL AND NOT repeat AND edge IS NULL")
