@@ -129,7 +129,8 @@ def _stretches(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndar
     last = np.flatnonzero(whole & ~np.concatenate([same, [False]]))
     count = last - first + 1
     content = T.mix(_hashes(data, LENGTH, first) * np.uint64(3) + T.mix(_hashes(data, LENGTH, last) + count.astype(np.uint64)))
-    return first, count, grams[at[first]] >> _TOKEN, content >> _TOKEN
+    # least hashes are small: mixed again, anchors are spread as evenly as windows, and the same splitters serve both
+    return first, count, T.mix(grams[at[first]]) >> _TOKEN, content >> _TOKEN
 
 
 def _pack(*columns: np.ndarray) -> bytes:
