@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterbell.llm import decontamination, embeddings, licenses, mixing, nearduplicates, private, scoring, sharding, spelling, substrings, suffixes, toxicity
+from quarterbell.llm import alignment, decontamination, embeddings, licenses, mixing, nearduplicates, private, scoring, sharding, spelling, substrings, suffixes, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_model_scores": scoring.op8_language_model_scores,
         "op9_shard_documents": sharding.op9_shard_documents,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_align_tokenizers": alignment.op11_align_tokenizers,
         "op12_spelling_variants": spelling.op12_spelling_variants,
         "op13_suffix_dedup": suffixes.op13_suffix_dedup,
     }

@@ -1,0 +1,153 @@
+"""Alignment of two tokenizers against brute force, and the laws of its fragments."""
+
+import bisect
+import functools
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quarterbell.llm import alignment as A
+from tests.llm.odd import ROWS, documents
+
+TOK = A.tokenizers()
+
+
+@functools.cache
+def other_a():
+    """A as the library of its file runs it."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(f"{A.TOKENIZERS}/byte_bpe_50k.json")
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def ends(ids, side):
+    return [0, *np.cumsum([side.size[i] for i in ids]).tolist()]
+
+
+def tokens(text):
+    """Tokens of A and B of a text with where they begin; None if they do not give the text back."""
+    whole = (" " + text).encode()
+    a, b = other_a().encode(" " + text, add_special_tokens=False).ids, TOK._b.encode(text)
+    if not text or b"".join(TOK.b.bytes_of(np.array([i])).tobytes() for i in b) != whole or TOK.a.bytes_of(np.array(a)).tobytes() != whole:
+        return None
+    return a, b, ends(a, TOK.a), ends(b, TOK.b)
+
+
+def facts(text):
+    """n_a, n_b, n_groups, n_links, groups text and the links of one text, byte by byte."""
+    found = tokens(text or "")
+    if found is None:
+        return 0, 0, 0, 0, "", Counter()
+    a, b, at_a, at_b = found
+    common = sorted(set(at_a) & set(at_b))
+    join = lambda ids, at, low, high: ",".join(map(str, ids[bisect.bisect_left(at, low):bisect.bisect_left(at, high)]))
+    groups = [f"{join(a, at_a, x, y)}|{join(b, at_b, x, y)}" for x, y in zip(common[:-1], common[1:])]
+    links, i, j = Counter(), 0, 0
+    while i < len(a) and j < len(b):
+        links[a[i], b[j]] += 1
+        end = min(at_a[i + 1], at_b[j + 1])
+        i, j = i + (at_a[i + 1] == end), j + (at_b[j + 1] == end)
+    return len(a), len(b), len(groups), sum(links.values()), ";".join(groups), links
+
+
+def brute_force(rows):
+    every = [(doc, facts(text)) for doc, text in rows]
+    counts = sum((f[5] for _, f in every), Counter())
+    top = Counter()
+    for (_, b), n in counts.items():
+        top[b] = max(top[b], n)
+    return sorted((
+        (doc, *f[:4], sum(n for pair, n in f[5].items() if counts[pair] == top[pair[1]]), sum(n * counts[pair] for pair, n in f[5].items()),
+         hashlib.sha256(f[4].encode()).hexdigest() if f[0] else "") for doc, f in every), key=str)
+
+
+def aligned(frame):
+    return sorted((tuple(r) for r in A.align_tokens(frame).collect()), key=str)
+
+
+TEXTS = st.text(alphabet=st.sampled_from("ab Zé1'.\n\t  \u0085　日本한😀s<>|/_▁\x00\x1c"), max_size=40)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXTS | st.text(max_size=30))
+def test_ranks_give_the_tokens_of_the_file(text):
+    if all(not 0xD800 <= ord(c) < 0xE000 for c in text):
+        assert TOK.encode([text])[0][0] == other_a().encode(" " + text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXTS, min_size=1, max_size=5))
+def test_texts_at_once_against_brute_force(texts):
+    texts = [t for t in texts if t] or ["x"]
+    for text, (n_a, n_b, groups, links, sha, pair, times) in zip(texts, A._results(TOK, texts)):
+        w = facts(text)
+        assert (n_a, n_b, groups, links) == w[:4]
+        assert sha == (hashlib.sha256(w[4].encode()).hexdigest() if w[0] else "")
+        assert {(int(p) % len(TOK.a.size), int(p) // len(TOK.a.size)): int(n) for p, n in zip(pair, times)} == dict(w[5])
+
+
+def fragments_of(text, borders):
+    a, b, at_a, at_b = tokens(text)
+    a, b, at_a, at_b = map(np.array, (a, b, at_a[:-1], at_b[:-1]))
+    edges = [0, *sorted(borders), len((" " + text).encode())]
+    cut = lambda ids, at, low, high: (ids[(at >= low) & (at < high)], at[(at >= low) & (at < high)])
+    out = []
+    for low, high in zip(edges[:-1], edges[1:]):
+        (x, s), (y, t) = cut(a, at_a, low, high), cut(b, at_b, low, high)
+        out.append(A.fragment(TOK, x, y, s, t))
+    return out
+
+
+def tree(rng, fragments):
+    """Composed with brackets anywhere."""
+    fragments = list(fragments)
+    while len(fragments) > 1:
+        at = rng.randrange(len(fragments) - 1)
+        upto = rng.randint(at + 2, min(at + 4, len(fragments)))
+        fragments[at:upto] = [A.compose(TOK, fragments[at:upto])]
+    return fragments[0]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab theing1é日😀.\n", min_size=1, max_size=120).filter(lambda t: tokens(t) is not None), st.data())
+def test_fragments_of_any_ranges_compose_to_the_text(text, data):
+    size = len((" " + text).encode())
+    borders = data.draw(st.lists(st.integers(0, size), max_size=12))
+    rng = random.Random(data.draw(st.integers(0, 99)))
+    n_a, n_b, groups, links, sha, pair, times = A.finished(TOK, tree(rng, fragments_of(text, borders)))
+    w = facts(text)
+    assert (n_a, n_b, groups, links, sha) == (*w[:4], hashlib.sha256(w[4].encode()).hexdigest())
+    assert dict(zip(pair.tolist(), times.tolist())) == {a + b * len(TOK.a.size): n for (a, b), n in w[5].items()}
+
+
+def mixed_texts(seed=5):
+    rng = random.Random(seed)
+    words = ["token", "izer", "the", "über", "naïve", "日本語", "😀", "1999", "don't", "x_y", "a.b", "supercalifragilistic"]
+    return [(i if i % 7 else None, " ".join(rng.choice(words) for _ in range(n)) + rng.choice(["", " ", "\n\n", "  z"])) for i, n in enumerate([3, 40, 400, 900, 5, 700])]
+
+
+@pytest.mark.parametrize("chunk", [A.CHUNK_BYTES, 64])
+def test_against_brute_force(spark, monkeypatch, chunk):
+    long = [(100, "x" * 1000 + " y"), (101, "日" * 300), (101, "ab " * 200 + "▁" + " cd" * 200), (102, "<|endoftext|> <s> <0x41> " * 20)]
+    rows = mixed_texts() + long + [(1, ""), (2, None), (3, "a"), (3, "a"), (3, " "), (4, "x▁y")]
+    if chunk == 64:  # many parts and ranges, levels of the tree, texts without a place to cut
+        monkeypatch.setattr(A, "CHUNK_BYTES", chunk)
+        monkeypatch.setattr(A, "FAN", 3)
+    assert aligned(spark.createDataFrame(rows, "doc_id long, text string")) == brute_force(rows)
+
+
+def test_odd_rows(spark):
+    assert aligned(documents(spark)) == brute_force([r[:2] for r in ROWS])
+    assert aligned(documents(spark).where("false")) == []
+
+
+def test_small_table_against_brute_force(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert aligned(frame) == brute_force([tuple(r) for r in frame.select("doc_id", "text").collect()])
