@@ -84,6 +84,13 @@ def as_messages(table: DataFrame, dirty: bool = False) -> DataFrame:
     return ruled.select(raw.alias("raw"), "source_partition", "seq")
 
 
+def as_wildly_stamped(messages: DataFrame) -> DataFrame:
+    """Messages with record timestamps in reverse order of ``seq``, and every third without one (-1) or in microseconds."""
+    millis = F.lit(1704067200000) - F.col("seq")
+    stamp = F.when(F.col("seq") % 6 == 0, -1).when(F.col("seq") % 6 == 3, millis * 1000).otherwise(millis)
+    return messages.withColumn("arrived", stamp)
+
+
 def as_tied_messages(table: DataFrame) -> DataFrame:
     """Clean messages whose times are cut to the hour and whose ``seq`` starts anew in each source partition."""
     readings = as_readings(table)

@@ -180,6 +180,17 @@ def oracle_sql() -> dict[str, str]:
             ), windowed AS (SELECT *, ms AS w, ms + 900000 AS w_end FROM tied),
             {_NEWEST.format(source='windowed').replace("ms DESC, seq)", "ms DESC, seq, source_partition)")}
             SELECT *, '2024-01-01' AS daytime FROM ({_NEAT})""",
+        "time_neat_wild_stamps": f"""
+            WITH {_READINGS}, tied AS (
+                SELECT measurepointid, measuretag, value, seq // 4 AS seq, seq % 4 AS source_partition,
+                       epoch_ms(CAST(substring(clean_time, 1, 14) || '00:00' AS TIMESTAMP)) AS ms,
+                       CASE WHEN (seq // 4) % 6 = 0 THEN -1 WHEN (seq // 4) % 6 = 3 THEN (1704067200000 - seq // 4) * 1000
+                            ELSE 1704067200000 - seq // 4 END AS arrived
+                FROM named
+            ), windowed AS (
+                SELECT *, ms AS w, ms + 900000 AS w_end, CASE WHEN arrived < 9999999999998 THEN arrived ELSE 9999999999998 END AS stamp FROM tied),
+            {_NEWEST.format(source='windowed').replace("ms DESC, seq)", "ms DESC, stamp, seq, source_partition)")}
+            SELECT *, '2024-01-01' AS daytime FROM ({_NEAT})""",
         "time_neat_bounded": f"SELECT *, '2024-01-01' AS daytime FROM ({_neat(timed)})",
         "time_neat_on_time": _neat(dirty, "on_time", _LATE),
         "time_neat_replay": f"""
@@ -219,6 +230,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_time_neat": f"""
             SELECT *, '2024-01-01' AS daytime FROM (
                 {_neat(clean)} WHERE w_end <= (SELECT max(ms) FROM stamped) - 120000)""",
+        "stream_time_neat_groups": f"""
+            SELECT *, '2024-01-01' AS daytime FROM (
+                {_neat(clean)} WHERE w_end <= (
+                    SELECT least(max(ms) FILTER (seq % 2 = 0), max(ms) FILTER (seq % 2 = 1)) FROM stamped) - 120000)""",
         # a row is dropped if the batches before the previous one had closed its window
         "stream_time_neat_batches": f"""
             SELECT *, '2024-01-01' AS daytime FROM (

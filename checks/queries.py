@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.bindings import as_messages, as_readings, as_tied_messages, events
+from checks.bindings import as_messages, as_readings, as_tied_messages, as_wildly_stamped, events
 from quarterbell import JobOptions
 from quarterbell.functions import event_time, is_present, is_valid_sample_time, time_text
 from quarterbell.operators import (
@@ -36,11 +36,13 @@ from quarterbell.sinks import (
     read_files,
     use_database,
 )
-from quarterbell.sources import read_messages
+from quarterbell.sources import read_groups, read_messages
 from quarterbell.streaming import append_stream, preview_stream, start_job
 
 # The day the daily table is filled, as the start of a run.
 RUN_MILLIS = 1704067200000
+# Files of each part of an archive: as many tasks write and read it.
+FILES = 8
 
 
 def _readings(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
@@ -134,6 +136,11 @@ def time_neat_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarter_hour_rows(as_tied_messages(events(spark, sf_dir)), JobOptions(run_millis=RUN_MILLIS))
 
 
+def time_neat_wild_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with timestamps of the records, many of them outside any real range."""
+    return quarter_hour_rows(as_wildly_stamped(as_tied_messages(events(spark, sf_dir))), JobOptions(run_millis=RUN_MILLIS))
+
+
 def time_neat_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job with the cheaper ranking for positions below 2^53."""
     return quarter_hour_rows(
@@ -326,19 +333,36 @@ def stream_hourly_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_time_neat_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quarter-hour job over an archive of four files, one for each micro-batch, with late data."""
+    """The quarter-hour job over an archive in four parts, one for each micro-batch, with late data."""
     folder = new_folder(spark, "stream-batches")
     messages = _messages(spark, sf_dir, dirty=True)
     part = F.floor(F.col("seq") * 4 / events(spark, sf_dir).count())
     for number in range(4):
-        messages.where(part == number).coalesce(1).write.mode("append").parquet(f"{folder}/archive")
-    options = JobOptions(run_millis=RUN_MILLIS, max_files_per_trigger=1)
+        messages.where(part == number).repartition(FILES).write.mode("append").parquet(f"{folder}/archive")
+    options = JobOptions(run_millis=RUN_MILLIS, max_files_per_trigger=FILES)
     archive = read_messages(spark, "parquet", options, f"{folder}/archive")
     rows = quarter_hour_rows(archive, options)
     append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("daytime",), available_now=True).awaitTermination()
     return read_files(spark, f"{folder}/rows", ("daytime",))
 
 
+def stream_time_neat_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarter-hour job over two groups of sources, one of which is read at once and the other in four parts.
+
+    The watermark is that of the slower group, so that no reading is late.
+    """
+    folder = new_folder(spark, "stream-groups")
+    messages = _messages(spark, sf_dir)
+    part = F.floor(F.col("seq") * 4 / events(spark, sf_dir).count())
+    messages.where("seq % 2 = 0").repartition(FILES).write.parquet(f"{folder}/fast")
+    for number in range(4):
+        messages.where((part == number) & (F.col("seq") % 2 == 1)).repartition(FILES).write.mode("append").parquet(f"{folder}/slow")
+    options = JobOptions(run_millis=RUN_MILLIS, max_files_per_trigger=FILES)
+    groups = read_groups(spark, "parquet", options, [f"{folder}/fast", f"{folder}/slow"])
+    append_stream(quarter_hour_rows(groups, options), f"{folder}/rows", f"{folder}/checkpoint", ("daytime",), available_now=True).awaitTermination()
+    return read_files(spark, f"{folder}/rows", ("daytime",))
+
+
 def _stream_flat(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "stream-flat")
     messages = _messages(spark, sf_dir, dirty=True, streaming=True)
@@ -372,6 +396,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_neat_dirty": time_neat_dirty,
         "time_neat_messages": time_neat_messages,
         "time_neat_ties": time_neat_ties,
+        "time_neat_wild_stamps": time_neat_wild_stamps,
         "time_neat_bounded": time_neat_bounded,
         "time_neat_on_time": time_neat_on_time,
         "time_neat_replay": time_neat_replay,
@@ -392,6 +417,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_archive": source_archive,
         "stream_time_neat": stream_time_neat,
         "stream_time_neat_batches": stream_time_neat_batches,
+        "stream_time_neat_groups": stream_time_neat_groups,
         "stream_append_hourly": stream_append_hourly,
         "stream_hourly_sql": stream_hourly_sql,
         "stream_append_flat": stream_append_flat,

@@ -7,12 +7,12 @@ import time
 
 from pyspark.sql import Column, SparkSession
 
-from quarterbell.plans import JOBS, commit_replay, replay_job
+from quarterbell.plans import JOBS, commit_replay, groups_of, replay_job
 from quarterbell.schema import JobOptions
 from quarterbell.session import configure
 from quarterbell.sinks import commit_pages
-from quarterbell.sources import read_messages
-from quarterbell.streaming import commit_while_running, start_job
+from quarterbell.sources import read_groups, read_messages
+from quarterbell.streaming import LateRows, commit_while_running, start_job
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -20,9 +20,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--folder", required=True, help="rows, quarantine, checkpoints and ledger go below it")
     parser.add_argument("--format", default="kafka", choices=("kafka", "parquet", "text", "json"))
-    parser.add_argument("--path", help="input of the file formats")
+    parser.add_argument("--path", action="append", help="input of the file formats; each one given is a group of its own")
     parser.add_argument("--servers", default="")
     parser.add_argument("--topic", default="readings")
+    parser.add_argument("--partition-groups", help="partitions of the topic that keep pace, as 0,1;2,3: each group has a watermark")
     parser.add_argument("--start", default="earliest", help="earliest, latest, group-offsets, or offsets as JSON")
     parser.add_argument("--group")
     parser.add_argument("--table", help="catalog table over the rows; its partitions are committed")
@@ -53,10 +54,15 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         bad_time=given.bad_time,
         drop_late=given.drop_late,
         gather=not given.no_gather,
+        partition_groups=tuple(tuple(map(int, g.split(","))) for g in given.partition_groups.split(";")) if given.partition_groups else (),
         # one end for all reads of a replay
         until_millis=int(time.time() * 1000) if given.replay else None,
     )
-    messages = read_messages(spark, given.format, options, given.path, streaming=not given.replay)
+    paths = given.path or []
+    if len(paths) > 1 or options.partition_groups:
+        messages = read_groups(spark, given.format, options, paths, streaming=not given.replay)
+    else:
+        messages = read_messages(spark, given.format, options, *paths, streaming=not given.replay)
     if given.replay:
         replay_job(given.job, messages, given.folder, options, given.table)
         if given.table is not None:
@@ -73,8 +79,11 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
             pass
 
     delay = options.delay if job.stateful else options.table_delay
-    commit_while_running(main, commit, delay, given.commit_seconds, side)
+    late = LateRows(main)
+    commit_while_running(main, commit, delay, given.commit_seconds, side, late, groups=len(groups_of(messages)))
     side.awaitTermination()
+    if job.stateful:
+        print(f"late rows dropped: {'' if late.complete else 'at least '}{late.poll()}")
 
 
 if __name__ == "__main__":

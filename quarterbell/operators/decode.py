@@ -27,23 +27,18 @@ def _fields(messages: DataFrame) -> DataFrame:
     return decoded.withColumn("value", F.when(~_has_tail(), F.col("value_text").try_cast("double")))
 
 
-def _one_object(levels: int = 4) -> str:
-    """A pattern of one whole object, with others inside it up to a depth."""
-    quoted = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-    inner = rf"\{{(?:[^\"{{}}]++|{quoted})*+\}}"
-    for _ in range(levels - 1):
-        inner = rf"\{{(?:[^\"{{}}]++|{quoted}|{inner})*+\}}"
-    return rf"(?s)^\s*+{inner}\s*+$"
-
-
 def _has_tail() -> Column:
-    """Text after a complete object, which the parser ignores (or objects nested deeper than four levels).
+    """Text after a complete object, which the parser ignores.
 
-    A text whose only closing brace is its last character has none; only others
-    are searched with a pattern.
+    A text whose only closing brace is its last character has none. Others are
+    put into an array before a number that only they have: if anything follows the object, the second
+    element is not that number, or there are more. The parser itself follows all levels.
     """
     plain = F.expr("locate('}', raw) = length(raw)")
-    return F.coalesce(~plain & (F.regexp_instr("raw", F.lit(_one_object())) == 0) & _is_object(), F.lit(False))
+    mark = F.xxhash64("raw").cast("string")
+    wrapped = F.concat(F.lit("["), F.col("raw"), F.lit(","), mark, F.lit("]"))
+    alone = (F.json_array_length(wrapped) == 2) & (F.get_json_object(wrapped, "$[1]") == mark)
+    return F.coalesce(~plain & ~F.coalesce(alone, F.lit(False)) & _is_object(), F.lit(False))
 
 
 def _columns(messages: DataFrame, names: tuple[str, ...]) -> list[str]:

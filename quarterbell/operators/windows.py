@@ -35,7 +35,8 @@ def in_windows(stamped: DataFrame, length: str = WINDOW) -> DataFrame:
 
 
 # Digits of what orders arrivals, and what is added so that none is negative: any BIGINT is a
-# position and any INT a partition; beside the timestamp of the record there is less room.
+# position and any INT a partition; beside the timestamp of the record there is less room,
+# and what lies outside it counts as the least or the greatest inside.
 _STAMPED = {"arrived": (13, 0), "seq": (13, 0), "source_partition": (5, 0)}
 _PLAIN = {"seq": (20, 1 << 63), "source_partition": (10, 1 << 31)}
 _ALL_DIGITS = 38
@@ -58,17 +59,18 @@ def _packed_rank(parts: list[tuple[Column, int, int]]) -> Column:
     """One number that grows with event time and, for equal times, falls with the parts in their order.
 
     Milliseconds since the window start and all parts stand side by side in
-    DECIMAL(38,0), a fixed-width buffer that hash aggregation can keep. A part
-    that is null counts as last; one that does not fit stops the job.
+    DECIMAL(38,0), a fixed-width buffer that hash aggregation can keep. The least code
+    of a part stands for all that lie below its room, the greatest but one for all above it, and the greatest
+    for null: a wild timestamp is ranked by the parts after it and stops nothing.
     """
     left = digits = sum(size for _, size, _ in parts)
     arrival = _decimal(0)
     for column, size, shift in parts:
         left -= size
-        number = F.coalesce(column.cast(T.DecimalType(38, 0)) + _decimal(shift), _decimal(10**size - 1))
-        outside = (number < 0) | (number >= _decimal(10**size))
-        stop = F.raise_error(F.lit("arrival outside the room of its rank")).cast(T.DecimalType(38, 0))
-        arrival = arrival + F.when(outside, stop).otherwise(number) * _decimal(10**left)
+        # one more for the code below the room
+        number = column.cast(T.DecimalType(38, 0)) + _decimal(shift + 1)
+        code = F.least(F.greatest(number, _decimal(0)), _decimal(10**size - 2))
+        arrival = arrival + F.when(column.isNull(), _decimal(10**size - 1)).otherwise(code) * _decimal(10**left)
     return _millis_in_window().cast(T.DecimalType(38, 0)) * _decimal(10**digits) + (_decimal(10**digits - 1) - arrival)
 
 
@@ -118,7 +120,8 @@ def newest_per_window(
     Of readings with the same time the one that arrived first wins. The order
     of arrival is that of ``arrived`` (the record's timestamp) if there is such
     a column, then ``seq``, then ``source_partition``, which is total: no result
-    depends on the order of rows. ``arrival`` gives another numeric order, null
+    depends on the order of rows. Records stamped before 1970 (-1: without a timestamp) come
+    first and those after 2286 last, each in the order of ``seq``. ``arrival`` gives another numeric order, null
     counting as last; with ``arrival_bound`` the order is ``arrival`` or ``seq``
     alone, which must then be unique over all partitions. ``length`` is that of the windows.
     """

@@ -1,9 +1,11 @@
 from quarterbell.plans.jobs import (
     JOBS,
     Job,
+    Messages,
     commit_replay,
     flat_quarantine,
     flat_rows,
+    groups_of,
     hourly_quarantine,
     hourly_rows,
     hourly_rows_sql,
@@ -16,9 +18,11 @@ from quarterbell.plans.jobs import (
 __all__ = [
     "JOBS",
     "Job",
+    "Messages",
     "commit_replay",
     "flat_quarantine",
     "flat_rows",
+    "groups_of",
     "hourly_quarantine",
     "hourly_rows",
     "hourly_rows_sql",

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,26 +28,41 @@ from quarterbell.sinks import DAILY_COMMIT, HOURLY_COMMIT, CommitRule, append_fi
 from quarterbell.sources.messages import NO_ORDER, NO_STREAM
 
 
+#: Messages of one source, or of several groups of sources.
+Messages = DataFrame | Sequence[DataFrame]
+
+
+def groups_of(messages: Messages) -> list[DataFrame]:
+    return [messages] if isinstance(messages, DataFrame) else list(messages)
+
+
+def _united(messages: Messages, prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All groups as one, each prepared by itself: what gives a watermark gives one to each."""
+    return reduce(DataFrame.unionByName, map(prepare, groups_of(messages)))
+
+
 def _marked(messages: DataFrame, column: str, mark: str) -> bool:
     return column in messages.columns and bool(messages.schema[column].metadata.get(mark))
 
 
 def quarter_hour_rows(
-    messages: DataFrame,
+    messages: Messages,
     options: JobOptions = JobOptions(),
     arrival: Column | None = None,
 ) -> DataFrame:
     """Normalised quarter-hour readings with their ``daytime`` partition.
 
     A stream drops late readings in its state; a batch keeps them unless
-    ``drop_late`` asks for the same rule.
+    ``drop_late`` asks for the same rule. Of several groups (``sources.read_groups``)
+    each has its own watermark, and the least of them decides.
     """
-    if messages.isStreaming and arrival is None and _marked(messages, "seq", NO_ORDER):
+    streaming = any(m.isStreaming for m in groups_of(messages))
+    if streaming and arrival is None and any(_marked(m, "seq", NO_ORDER) for m in groups_of(messages)):
         raise ValueError("a stream of text has no order of arrival; give read_messages a position")
-    if options.drop_late and not messages.isStreaming and _marked(messages, "source_partition", NO_STREAM):
+    if options.drop_late and not streaming and any(_marked(m, "source_partition", NO_STREAM) for m in groups_of(messages)):
         raise ValueError("late readings of files need the stream that each file is part of; give read_messages a stream")
-    stamped = with_watermark(with_event_time(readings(messages, options.bad_time)), options.delay)
-    if options.drop_late and not messages.isStreaming:
+    stamped = _united(messages, lambda m: with_watermark(with_event_time(readings(m, options.bad_time)), options.delay))
+    if options.drop_late and not streaming:
         stamped = on_time_readings(stamped, options.window, options.delay)
     neat = time_neat(stamped, options.window, arrival, options.arrival_bound)
     rows = table_columns(neat)
@@ -55,14 +71,14 @@ def quarter_hour_rows(
     return with_run_date(rows, options.run_millis)
 
 
-def quarter_hour_quarantine(messages: DataFrame, options: JobOptions = JobOptions()) -> DataFrame:
+def quarter_hour_quarantine(messages: Messages, options: JobOptions = JobOptions()) -> DataFrame:
     """What ``quarter_hour_rows`` leaves out."""
-    return quarantine(messages, options.bad_time)
+    return _united(messages, lambda m: quarantine(m, options.bad_time))
 
 
-def hourly_rows(messages: DataFrame, options: JobOptions = JobOptions()) -> DataFrame:
+def hourly_rows(messages: Messages, options: JobOptions = JobOptions()) -> DataFrame:
     """Raw readings with their ``dt`` and ``hr`` partition."""
-    stamped = with_watermark(table_rows(messages), options.table_delay, "ts")
+    stamped = _united(messages, lambda m: with_watermark(table_rows(m), options.table_delay, "ts"))
     return table_columns(with_hour(stamped), "dt", "hr")
 
 
@@ -89,27 +105,27 @@ def hourly_rows_sql(
     """).toDF("measurepointid", "measuretag", "value1", "sampletime", "dt", "hr")
 
 
-def hourly_quarantine(messages: DataFrame, options: JobOptions = JobOptions()) -> DataFrame:
+def hourly_quarantine(messages: Messages, options: JobOptions = JobOptions()) -> DataFrame:
     """What ``hourly_rows`` leaves out."""
-    return table_quarantine(messages)
+    return _united(messages, table_quarantine)
 
 
-def flat_rows(messages: DataFrame, options: JobOptions = JobOptions()) -> DataFrame:
+def flat_rows(messages: Messages, options: JobOptions = JobOptions()) -> DataFrame:
     """Raw readings for the unpartitioned table."""
-    return table_columns(readings(messages))
+    return table_columns(_united(messages, readings))
 
 
-def flat_quarantine(messages: DataFrame, options: JobOptions = JobOptions()) -> DataFrame:
+def flat_quarantine(messages: Messages, options: JobOptions = JobOptions()) -> DataFrame:
     """What ``flat_rows`` leaves out."""
-    return quarantine(messages)
+    return _united(messages, quarantine)
 
 
 @dataclass(frozen=True)
 class Job:
     """Table rows, quarantined records, and how the table is partitioned and committed."""
 
-    rows: Callable[[DataFrame, JobOptions], DataFrame]
-    rejected: Callable[[DataFrame, JobOptions], DataFrame]
+    rows: Callable[[Messages, JobOptions], DataFrame]
+    rejected: Callable[[Messages, JobOptions], DataFrame]
     partitions: tuple[str, ...]
     stateful: bool = False
     commit: CommitRule | None = None
@@ -125,7 +141,7 @@ JOBS = {
 
 def replay_job(
     name: str,
-    messages: DataFrame,
+    messages: Messages,
     folder: str,
     options: JobOptions = JobOptions(),
     table: str | None = None,
@@ -142,7 +158,7 @@ def replay_job(
     aggregation has already spread them evenly over the tasks.
     """
     job = JOBS[name]
-    spark = messages.sparkSession
+    spark = groups_of(messages)[0].sparkSession
     if has_stream_log(spark, f"{folder}/rows"):
         raise ValueError(f"{folder} belongs to a stream; replay into another folder")
     rows = job.rows(messages, options)

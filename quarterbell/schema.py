@@ -64,6 +64,7 @@ class JobOptions:
     at most into each table partition.
     ``gather`` shuffles a batch, or each micro-batch of a stateless stream, into
     few files per table partition; without it input in time order is written as read.
+    ``partition_groups`` are partitions of the topic whose readings keep pace; each group has its own watermark.
     ``max_records_per_task`` cuts a large topic partition into several tasks, so
     that one partition with a third of all messages does not become one task.
     """
@@ -88,6 +89,7 @@ class JobOptions:
     gather: bool = True
     until_millis: int | None = None
     files_per_batch: int = 8
+    partition_groups: tuple[tuple[int, ...], ...] = ()
 
     def __post_init__(self):
         if self.daytime not in ("run_date", "event_date"):

@@ -12,6 +12,8 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # of several groups of sources the slowest decides what is late
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
 
 # The adaptive planner merges and splits shuffle partitions by size. Larger splits and

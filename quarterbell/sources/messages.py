@@ -7,6 +7,8 @@ Kafka also gives ``arrived``, the timestamp of the record in milliseconds.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,7 +45,15 @@ def spark_consumer_options(consumer: Mapping[str, str]) -> dict[str, str]:
     return options
 
 
-def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]:
+def _offsets_of(start: str, topic: str, partitions: Sequence[int]) -> str:
+    """Start offsets as JSON, only those of some partitions; a word such as earliest as it is."""
+    if not start.startswith("{"):
+        return start
+    offsets = json.loads(start).get(topic, {})
+    return json.dumps({topic: {str(p): offsets[str(p)] for p in partitions if str(p) in offsets}})
+
+
+def kafka_options(options: JobOptions, streaming: bool = True, partitions: Sequence[int] | None = None) -> dict[str, str]:
     """The options of ``format("kafka")`` for one job.
 
     ``start="group-offsets"`` resumes from the checkpoint of the query, where
@@ -51,6 +61,7 @@ def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]
     To take over the positions of a consumer group, give them as Spark's JSON
     of offsets. A batch reads to the offsets that are the latest when its plan
     is made, or, with ``until_millis``, to the first record stamped later; it can't start at the latest.
+    With ``partitions`` only those of the topic are read.
     """
     result = spark_consumer_options(options.consumer)
     if options.bootstrap_servers:
@@ -59,7 +70,10 @@ def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]
         raise ValueError("no bootstrap servers given")
     if options.group_id is not None:
         result["kafka.group.id"] = options.group_id
-    result["subscribe"] = options.topic
+    if partitions is None:
+        result["subscribe"] = options.topic
+    else:
+        result["assign"] = json.dumps({options.topic: list(partitions)})
     start = "earliest" if options.start == "group-offsets" else options.start
     if not streaming:
         if start == "latest":
@@ -68,7 +82,7 @@ def kafka_options(options: JobOptions, streaming: bool = True) -> dict[str, str]
             result["endingOffsets"] = "latest"
         else:
             result["endingTimestamp"] = str(options.until_millis)
-    result["startingOffsets"] = start
+    result["startingOffsets"] = start if partitions is None else _offsets_of(start, options.topic, partitions)
     result["maxRecordsPerPartition"] = str(options.max_records_per_task)
     if options.min_partitions is not None:
         result["minPartitions"] = str(options.min_partitions)
@@ -121,6 +135,7 @@ def read_messages(
     streaming: bool = True,
     position: Column | None = None,
     stream: Column | None = None,
+    partitions: Sequence[int] | None = None,
 ) -> DataFrame:
     """Read ``kafka``, ``parquet`` (archived messages), or ``text`` / ``json`` (one record per line).
 
@@ -129,10 +144,11 @@ def read_messages(
     of text without it has no order, and jobs that need one refuse it.
     ``stream`` names the stream that a file of text is part of, computed from
     ``path``; files of one stream are in the order of their paths, and ``seq`` follows it.
+    ``partitions`` are those of the topic to read, all if not given.
     """
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
-        topic = reader.format("kafka").options(**kafka_options(options, streaming)).load()
+        topic = reader.format("kafka").options(**kafka_options(options, streaming, partitions)).load()
         return topic.select(
             F.col("value").cast("string").alias("raw"),
             F.col("partition").alias("source_partition"),
@@ -157,3 +173,28 @@ def read_messages(
         return _in_file_order(lines.select(
             "value", F.col("_metadata.file_path").alias("path"), (_line_position(False) if position is None else position).alias("at")), stream)
     raise ValueError(f"unknown message format {fmt!r}")
+
+
+def read_groups(
+    spark: SparkSession,
+    fmt: str,
+    options: JobOptions,
+    paths: Sequence[str] = (),
+    streaming: bool = True,
+    **given: Column | None,
+) -> list[DataFrame]:
+    """Messages of several groups of sources, each of which a job gives a watermark of its own.
+
+    Groups are folders, or the ``partition_groups`` of a topic. The watermark
+    of the job is the least of its groups, so that none of them makes another's
+    readings late; a group that delivers nothing holds it back. Partitions of the topic in no group are not read.
+    """
+    if fmt != "kafka":
+        if not paths:
+            raise ValueError(f"format {fmt} needs paths")
+        return [read_messages(spark, fmt, options, path, streaming, **given) for path in paths]
+    groups = options.partition_groups
+    listed = [p for group in groups for p in group]
+    if not groups or not all(groups) or len(set(listed)) < len(listed):
+        raise ValueError("partition_groups must be groups of partitions, each in one of them")
+    return [read_messages(spark, fmt, options, streaming=streaming, partitions=group) for group in groups]

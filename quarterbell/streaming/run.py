@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarterbell.plans import JOBS
+from quarterbell.plans import JOBS, Messages, groups_of
 from quarterbell.schema import JobOptions
 from quarterbell.sinks import create_table, spread
 
@@ -44,7 +44,7 @@ def append_stream(
 
 def start_job(
     name: str,
-    messages: DataFrame,
+    messages: Messages,
     folder: str,
     options: JobOptions = JobOptions(),
     available_now: bool = False,
@@ -61,7 +61,7 @@ def start_job(
     if options.gather:
         rows = few_files(rows, options.files_per_batch) if job.stateful else spread(rows, job.partitions)
     if table is not None:
-        create_table(messages.sparkSession, table, job.partitions, f"{folder}/rows")
+        create_table(groups_of(messages)[0].sparkSession, table, job.partitions, f"{folder}/rows")
     main = append_stream(
         rows, f"{folder}/rows", f"{folder}/checkpoints/rows", job.partitions, table, available_now,
     )
@@ -82,18 +82,20 @@ def few_files(rows: DataFrame, files: int) -> DataFrame:
     return rows.repartition(files)
 
 
-def watermark_of(query: StreamingQuery, delay: str) -> Column | None:
+def watermark_of(query: StreamingQuery, delay: str, groups: int = 1) -> Column | None:
     """The watermark after the newest finished micro-batch, as an instant; None before the first.
 
     A progress report names the watermark its batch began with. The one it
-    leaves behind is the newest event time it saw minus ``delay``.
+    leaves behind is the newest event time it saw minus ``delay``. Of several
+    groups a report shows the times of one alone: there the watermark that the
+    newest batch began with is taken, which no group is behind.
     """
     times = [p.eventTime for p in query.recentProgress if "watermark" in p.eventTime]
     if not times:
         return None
     began = F.lit(max(t["watermark"] for t in times)).cast("timestamp")
     seen = [t["max"] for t in times if "max" in t]
-    if not seen:
+    if not seen or groups > 1:
         return began
     return F.greatest(began, F.lit(max(seen)).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
 
@@ -148,13 +150,14 @@ def commit_while_running(
     beside: StreamingQuery | None = None,
     late: LateRows | None = None,
     attempts: int = 5,
+    groups: int = 1,
 ) -> None:
     """Call ``commit`` with the watermark at every interval until the query ends, and once after.
 
     A commit that fails is tried again at the next interval, as it may be
     repeated; after ``attempts`` failures in a row, or a failure of the query or
     of the one that runs beside it, both are stopped and the failure is raised.
-    ``late`` is polled on the way.
+    ``late`` is polled on the way; ``groups`` is the number of groups of sources that the query reads.
     """
     running, failures = True, 0
     try:
@@ -164,7 +167,7 @@ def commit_while_running(
                 raise beside.exception()
             if late is not None:
                 late.poll()
-            watermark = watermark_of(query, delay)
+            watermark = watermark_of(query, delay, groups)
             if watermark is None:
                 continue
             try:

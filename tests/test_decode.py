@@ -97,3 +97,13 @@ def test_any_text_and_number_survives_decoding(spark, records):
     messages = spark.createDataFrame(rows, "raw STRING, source_partition INT, seq BIGINT")
     found = {r.seq: (r.measurepointid, r.measuretag, r.value, r.sampletime) for r in readings(messages).collect()}
     assert found == {at: (p, t, float(n), time) for at, (p, t, n, _, time, _) in enumerate(records)}
+
+
+@pytest.mark.parametrize("levels", [1, 4, 5, 6, 20, 50])
+def test_objects_nested_to_any_depth_decode(spark, levels):
+    inner = '{"x":' * levels + '"}"' + "}" * levels
+    good = f'{{"X":{inner},"MEASUREPOINTID":"a","VALUE":4,"SAMPLETIME":"2024-01-01 00:00:00"}}'
+    bad = [good + tail for tail in (" junk", "} junk", "] junk", ",0] junk", ",1", good, "]", "}", " x}")]
+    messages = spark.createDataFrame([(raw, 0, at) for at, raw in enumerate([good, good + " \n", *bad])], "raw STRING, source_partition INT, seq BIGINT")
+    assert sorted(r.seq for r in readings(messages).collect()) == [0, 1]
+    assert {(r.seq, r.reason) for r in quarantine(messages).collect()} == {(at + 2, "malformed") for at in range(len(bad))}

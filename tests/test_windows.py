@@ -134,8 +134,7 @@ def test_the_timestamp_of_the_record_comes_before_its_position(spark, make_readi
     rows = make_readings([("a", v, DAY + "00:14:00") for v in (1, 2, 3)])
     stamped = rows.withColumn("arrived", F.lit(1704067200000) - F.col("seq"))
     assert neat(stamped) == [("a", 3.0, DAY + "00:15:00")]
-    with pytest.raises(Exception, match="outside the room"):
-        neat(stamped.withColumn("seq", F.lit(10**14)))
+    assert neat(stamped.withColumn("seq", F.lit(10**14))) == [("a", 3.0, DAY + "00:15:00")]
 
 
 def test_parts_of_a_second_pair_value_and_time(spark):
@@ -147,3 +146,31 @@ def test_parts_of_a_second_pair_value_and_time(spark):
     assert (found.value, found.ms) == (2.0, 900)
     with pytest.raises(Exception, match="whole seconds"):
         newest_per_window(in_windows(stamped), arrival_bound=10).collect()
+
+
+def test_wild_timestamps_are_ranked_and_stop_nothing(spark):
+    """Python's order of the same records: clamped timestamp, then position, then partition."""
+    rng = random.Random(7)
+    wild = [-(1 << 63), -5, -1, 0, 1, 1_700_000_000_000, 10**13 - 3, 10**13 - 2, 10**13, 1_700_000_000_000_000, (1 << 63) - 1, None]
+    rows = []
+    for key in range(60):
+        for _ in range(rng.randint(1, 6)):
+            second = rng.choice([10, 10, 20])
+            rows.append((f"k{key}", rng.choice(wild), rng.randrange(10**12), rng.randrange(3), second))
+    frame = spark.createDataFrame(
+        [(k, "t", float(at), f"2024-01-01 00:00:{s}", arrived, seq, part) for at, (k, arrived, seq, part, s) in enumerate(rows)],
+        "measurepointid STRING, measuretag STRING, value DOUBLE, sampletime STRING, arrived BIGINT, seq BIGINT, source_partition INT")
+
+    def order(at):
+        _, arrived, seq, part, second = rows[at]
+        clamped = 10**13 if arrived is None else min(max(arrived, -1), 10**13 - 3)
+        return -second, clamped, seq, part
+
+    best = {}
+    for at, row in enumerate(rows):
+        if row[0] not in best or order(at) < order(best[row[0]]):
+            best[row[0]] = at
+    newest = newest_per_window(in_windows(with_event_time(frame))).repartition(3)
+    assert {r.measurepointid: int(r.value) for r in newest.collect()} == best
+    plan = newest_per_window(in_windows(with_event_time(frame)))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
