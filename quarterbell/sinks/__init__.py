@@ -8,6 +8,7 @@ from quarterbell.sinks.commit import (
     committable_partitions,
     partition_time,
     pending_partitions,
+    seen_partitions,
     written_partitions,
 )
 from quarterbell.sinks.tables import (
@@ -37,6 +38,7 @@ __all__ = [
     "partition_time",
     "pending_partitions",
     "read_files",
+    "seen_partitions",
     "spread",
     "use_database",
     "written_partitions",

@@ -5,6 +5,10 @@ the watermark. The effect (catalog entry, ``_SUCCESS`` file) works on that
 list, which has one row per table partition and never holds readings. A small
 ledger remembers what was committed, so that repeating the step changes nothing
 and a partition that received newer files is committed again.
+
+Beside the ledger lies a list of the partitions seen in the log of the stream and the batch up to which it
+was read. A step reads the log from there, so it costs what is new and not
+what the table holds; only a folder without such a log is listed.
 """
 
 from __future__ import annotations
@@ -19,6 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarterbell.sinks.sinklog import files_since
+from quarterbell.sinks.tables import has_stream_log
+
 _STATEMENT_SIZE = 500
 _MARKERS_AT_ONCE = 16
 _PAGE = 10_000
@@ -74,12 +81,31 @@ def written_partitions(spark: SparkSession, path: str, partitions: tuple[str, ..
         .option("pathGlobFilter", "*.parquet")
         .load(path)
     )
+    return _newest_files(files.select("path", F.unix_millis("modificationTime").alias("written_at")), partitions)
+
+
+def _newest_files(files: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """Partitions of files with the time of the newest of each."""
     names = [F.regexp_extract("path", f"/{name}=([^/]*)/", 1).alias(name) for name in partitions]
-    return (
-        files.select(*names, "modificationTime")
-        .groupBy(*partitions)
-        .agg(F.unix_millis(F.max("modificationTime")).alias("written_at"))
-    )
+    return files.select(*names, "written_at").groupBy(*partitions).agg(F.max("written_at").alias("written_at"))
+
+
+def seen_partitions(spark: SparkSession, path: str, seen: str, partitions: tuple[str, ...]) -> DataFrame:
+    """The same of a folder that a stream writes to, from its log.
+
+    ``seen`` keeps what was found before, and in a row without a partition the newest batch read. A step
+    that dies after writing to it has lost nothing, one that dies before reads the same batches again.
+    """
+    schema = T.StructType([*_ledger_schema(partitions).fields, T.StructField("batch", T.LongType())])
+    known = _read_or_empty(spark, seen, schema)
+    batch = known.agg(F.max("batch")).head()[0]
+    files, newest = files_since(spark, path, -1 if batch is None else batch)
+    if files is not None:
+        marker = spark.createDataFrame([(*[None] * len(partitions), None, newest)], schema)
+        found = _newest_files(files, partitions).withColumn("batch", F.lit(newest).cast("long"))
+        found.unionByName(marker).write.mode("append").parquet(seen)
+        known = _read_or_empty(spark, seen, schema)
+    return known.where(F.col("written_at").isNotNull()).groupBy(*partitions).agg(F.max("written_at").alias("written_at"))
 
 
 def _ledger_schema(partitions: tuple[str, ...]) -> T.StructType:
@@ -88,8 +114,12 @@ def _ledger_schema(partitions: tuple[str, ...]) -> T.StructType:
 
 
 def _ledger(spark: SparkSession, path: str, partitions: tuple[str, ...]) -> DataFrame:
-    """The ledger written so far; a folder that does not exist yet is an empty one."""
-    schema = _ledger_schema(partitions)
+    """The ledger written so far."""
+    return _read_or_empty(spark, path, _ledger_schema(partitions))
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder that does not exist yet is an empty one."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], schema)
@@ -143,7 +173,10 @@ def commit_pages(
     times make. The effects of a page come before its ledger entry, so a step
     that dies half-way is simply done again.
     """
-    written = written_partitions(spark, path, rule.partitions)
+    if has_stream_log(spark, path):
+        written = seen_partitions(spark, path, f"{ledger}-seen", rule.partitions)
+    else:
+        written = written_partitions(spark, path, rule.partitions)
     pending = pending_partitions(written, _ledger(spark, ledger, rule.partitions), rule.partitions)
     due = committable_partitions(pending, watermark, rule).sort(*rule.partitions).toLocalIterator()
     while page := list(itertools.islice(due, _PAGE)):
