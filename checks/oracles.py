@@ -227,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
             FROM named WHERE rule NOT IN (103, 107)""",
         "source_archive": decode,
         "stream_quarantine": rejects,
+        "stream_one_pass_quarantine": rejects,
         "stream_time_neat": f"""
             SELECT *, '2024-01-01' AS daytime FROM (
                 {_neat(clean)} WHERE w_end <= (SELECT max(ms) FROM stamped) - 120000)""",
@@ -250,4 +251,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_hourly_sql": _HOURLY_DIRTY,
         "stream_append_flat": f"""
             WITH {_READINGS} {_FLAT.format(time='dirty_time', where='rule NOT IN (103, 107)')}""",
+        "stream_one_pass_rows": f"""
+            WITH {_READINGS} {_FLAT.format(time='dirty_time', where='rule NOT IN (103, 107)')}""",
     }

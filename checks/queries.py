@@ -37,7 +37,7 @@ from quarterbell.sinks import (
     use_database,
 )
 from quarterbell.sources import read_groups, read_messages
-from quarterbell.streaming import append_stream, preview_stream, start_job
+from quarterbell.streaming import append_stream, both_kinds, preview_stream, start_job, start_one_pass
 
 # The day the daily table is filled, as the start of a run.
 RUN_MILLIS = 1704067200000
@@ -371,6 +371,22 @@ def _stream_flat(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def _stream_one_pass(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    folder = new_folder(spark, "stream-one-pass")
+    start_one_pass("flat", _messages(spark, sf_dir, dirty=True, streaming=True), folder, available_now=True).awaitTermination()
+    return both_kinds(spark, "flat", folder)
+
+
+def stream_one_pass_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a job that writes rows and quarantine as one query."""
+    return _stream_one_pass(spark, sf_dir)[0]
+
+
+def stream_one_pass_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine of the same."""
+    return _stream_one_pass(spark, sf_dir)[1].drop("raw")
+
+
 def stream_append_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, f"{_stream_flat(spark, sf_dir)}/rows")
 
@@ -422,4 +438,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_hourly_sql": stream_hourly_sql,
         "stream_append_flat": stream_append_flat,
         "stream_quarantine": stream_quarantine,
+        "stream_one_pass_rows": stream_one_pass_rows,
+        "stream_one_pass_quarantine": stream_one_pass_quarantine,
     }

@@ -7,12 +7,12 @@ import time
 
 from pyspark.sql import Column, SparkSession
 
-from quarterbell.plans import JOBS, commit_replay, groups_of, replay_job
+from quarterbell.plans import JOBS, KIND, commit_replay, groups_of, replay_job
 from quarterbell.schema import JobOptions
 from quarterbell.session import configure
 from quarterbell.sinks import commit_pages
 from quarterbell.sources import read_groups, read_messages
-from quarterbell.streaming import LateRows, commit_while_running, start_job
+from quarterbell.streaming import LateRows, commit_while_running, start_job, start_one_pass
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -31,6 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--bad-time", default="sentinel", choices=("sentinel", "quarantine"))
     parser.add_argument("--drop-late", action="store_true", help="a replay leaves out late readings as a stream does")
     parser.add_argument("--no-gather", action="store_true", help="write input in time order without a shuffle")
+    parser.add_argument("--one-pass", action="store_true", help="one query for rows and quarantine (hourly, flat)")
     parser.add_argument("--max-files", type=int)
     parser.add_argument("--max-offsets", type=int)
     parser.add_argument("--shuffle-partitions", type=int)
@@ -68,14 +69,15 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
         if given.table is not None:
             commit_replay(spark, given.job, given.folder, given.table)
         return
-    main, side = start_job(given.job, messages, given.folder, options, given.available_now, given.table)
-    job = JOBS[given.job]
+    job, start = JOBS[given.job], start_one_pass if given.one_pass else start_job
+    started = start(given.job, messages, given.folder, options, given.available_now, given.table)
+    main, side = (started, started) if given.one_pass else started
+    log, rows = (f"{given.folder}/all", f"{given.folder}/all/{KIND}=rows") if given.one_pass else (None, f"{given.folder}/rows")
 
     def commit(watermark: Column) -> None:
         if given.table is None or job.commit is None:
             return
-        rows, ledger = f"{given.folder}/rows", f"{given.folder}/ledger"
-        for _ in commit_pages(spark, given.table, rows, ledger, watermark, job.commit):
+        for _ in commit_pages(spark, given.table, rows, f"{given.folder}/ledger", watermark, job.commit, log):
             pass
 
     delay = options.delay if job.stateful else options.table_delay

@@ -1,4 +1,4 @@
-from quarterbell.operators.decode import quarantine, readings, table_quarantine, table_rows
+from quarterbell.operators.decode import all_records, all_table_records, quarantine, readings, table_quarantine, table_rows
 from quarterbell.operators.lateness import late_readings, on_time_readings
 from quarterbell.operators.project import table_columns, with_day, with_hour, with_run_date
 from quarterbell.operators.windows import (
@@ -11,6 +11,8 @@ from quarterbell.operators.windows import (
 )
 
 __all__ = [
+    "all_records",
+    "all_table_records",
     "in_windows",
     "late_readings",
     "newest_per_window",

@@ -63,6 +63,15 @@ def _reason() -> Column:
     )
 
 
+def _judged(messages: DataFrame, bad_time: str) -> DataFrame:
+    """All records decoded, with the reason why one is no reading (null: it is one)."""
+    reason = F.when(~_has_value(), _reason())
+    if bad_time == "quarantine":
+        valid = F.coalesce(is_valid_sample_time(F.col("sampletime")), F.lit(False))
+        reason = reason.when(~valid, "bad_time")
+    return _fields(messages).withColumn("reason", reason)
+
+
 def readings(messages: DataFrame, bad_time: str = "sentinel") -> DataFrame:
     """Strict decode: the records with a numeric value.
 
@@ -77,11 +86,16 @@ def readings(messages: DataFrame, bad_time: str = "sentinel") -> DataFrame:
 
 def quarantine(messages: DataFrame, bad_time: str = "sentinel") -> DataFrame:
     """The records ``readings`` leaves out, each with its text and a reason."""
-    reason = F.when(~_has_value(), _reason())
-    if bad_time == "quarantine":
-        valid = F.coalesce(is_valid_sample_time(F.col("sampletime")), F.lit(False))
-        reason = reason.when(~valid, "bad_time")
-    return _fields(messages).withColumn("reason", reason).where("reason IS NOT NULL").select(*_QUARANTINE)
+    return _judged(messages, bad_time).where("reason IS NOT NULL").select(*_QUARANTINE)
+
+
+def all_records(messages: DataFrame, bad_time: str = "sentinel") -> DataFrame:
+    """Readings and quarantined records in one pass: the columns of both, those of a reading with a null ``reason`` and ``raw``."""
+    return _judged(messages, bad_time).select(*_columns(messages, _READING), _kept_text(), "reason")
+
+
+def _kept_text() -> Column:
+    return F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw")
 
 
 def _empty_value() -> Column:
@@ -102,8 +116,18 @@ def table_rows(messages: DataFrame, keep_null_time: bool = False) -> DataFrame:
 
 def table_quarantine(messages: DataFrame) -> DataFrame:
     """The records ``table_rows`` leaves out: no JSON object, no number, no time."""
+    return _judged_for_table(messages).where("reason IS NOT NULL").select(*_QUARANTINE)
+
+
+def _judged_for_table(messages: DataFrame) -> DataFrame:
     reason = (
         F.when(~_has_value() & ~_empty_value(), _reason())
         .when(table_time(F.col("sampletime")).isNull(), "null_time")
     )
-    return _fields(messages).withColumn("reason", reason).where("reason IS NOT NULL").select(*_QUARANTINE)
+    return _fields(messages).withColumn("reason", reason)
+
+
+def all_table_records(messages: DataFrame) -> DataFrame:
+    """``table_rows`` and ``table_quarantine`` in one pass, as ``all_records``."""
+    ts = F.explode(F.array(table_time(F.col("sampletime")))).alias("ts")
+    return _judged_for_table(messages).select(*_columns(messages, _READING), _kept_text(), "reason", ts)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterbell.functions import day_of, hour_of, run_date
 from quarterbell.schema import VALUE_TYPE
 
 
-def table_columns(readings: DataFrame, *keep: str) -> DataFrame:
+def table_columns(readings: DataFrame, *keep: str | Column) -> DataFrame:
     """Rename and type the four table columns, followed by ``keep``.
 
     A value beyond DECIMAL(30,8) becomes null instead of stopping the job.

@@ -1,11 +1,14 @@
 from quarterbell.plans.jobs import (
     JOBS,
+    KIND,
     Job,
     Messages,
     commit_replay,
+    flat_one_pass,
     flat_quarantine,
     flat_rows,
     groups_of,
+    hourly_one_pass,
     hourly_quarantine,
     hourly_rows,
     hourly_rows_sql,
@@ -17,12 +20,15 @@ from quarterbell.plans.jobs import (
 
 __all__ = [
     "JOBS",
+    "KIND",
     "Job",
     "Messages",
     "commit_replay",
+    "flat_one_pass",
     "flat_quarantine",
     "flat_rows",
     "groups_of",
+    "hourly_one_pass",
     "hourly_quarantine",
     "hourly_rows",
     "hourly_rows_sql",

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterbell.operators import (
+    all_records,
+    all_table_records,
     on_time_readings,
     quarantine,
     readings,
@@ -120,6 +122,30 @@ def flat_quarantine(messages: Messages, options: JobOptions = JobOptions()) -> D
     return _united(messages, quarantine)
 
 
+#: What a one-pass row is, and the columns that only a quarantined record has.
+KIND, _REJECTED = "kind", ("source_partition", "seq", "raw", "reason")
+
+
+def _of_both_kinds(records: DataFrame, *partitions: str) -> DataFrame:
+    """Table rows and quarantined records side by side, told apart by ``kind``."""
+    good = F.col("reason").isNull()
+    kind = F.when(good, "rows").otherwise("quarantine").alias(KIND)
+    where = [F.when(good, F.col(c)).alias(c) for c in partitions]
+    rejected = [c if c in ("raw", "reason") else F.when(~good, F.col(c)).alias(c) for c in _REJECTED]
+    return table_columns(records, *rejected, kind, *where)
+
+
+def hourly_one_pass(messages: Messages, options: JobOptions = JobOptions()) -> DataFrame:
+    """The rows and the quarantine of the hourly job, from one read of the messages."""
+    stamped = _united(messages, lambda m: with_watermark(all_table_records(m), options.table_delay, "ts"))
+    return _of_both_kinds(with_hour(stamped), *HOURLY_PARTITIONS)
+
+
+def flat_one_pass(messages: Messages, options: JobOptions = JobOptions()) -> DataFrame:
+    """The rows and the quarantine of the flat job, from one read of the messages."""
+    return _of_both_kinds(_united(messages, all_records))
+
+
 @dataclass(frozen=True)
 class Job:
     """Table rows, quarantined records, and how the table is partitioned and committed."""
@@ -129,13 +155,14 @@ class Job:
     partitions: tuple[str, ...]
     stateful: bool = False
     commit: CommitRule | None = None
+    one_pass: Callable[[Messages, JobOptions], DataFrame] | None = None
 
 
 JOBS = {
     "quarter_hour": Job(
         quarter_hour_rows, quarter_hour_quarantine, DAILY_PARTITIONS, stateful=True, commit=DAILY_COMMIT),
-    "hourly": Job(hourly_rows, hourly_quarantine, HOURLY_PARTITIONS, commit=HOURLY_COMMIT),
-    "flat": Job(flat_rows, flat_quarantine, ()),
+    "hourly": Job(hourly_rows, hourly_quarantine, HOURLY_PARTITIONS, commit=HOURLY_COMMIT, one_pass=hourly_one_pass),
+    "flat": Job(flat_rows, flat_quarantine, (), one_pass=flat_one_pass),
 }
 
 

@@ -166,15 +166,18 @@ def commit_pages(
     ledger: str,
     watermark: Column,
     rule: CommitRule = HOURLY_COMMIT,
+    log: str | None = None,
 ) -> Iterator[list]:
     """Commit what is due in pages, each given out when it is done: one row per partition, never readings.
 
     Only one page is on the driver at a time, however many partitions wild
     times make. The effects of a page come before its ledger entry, so a step
-    that dies half-way is simply done again.
+    that dies half-way is simply done again. ``log`` is the folder that the stream
+    writes to, if ``path`` lies below it.
     """
-    if has_stream_log(spark, path):
-        written = seen_partitions(spark, path, f"{ledger}-seen", rule.partitions)
+    log = path if log is None else log
+    if has_stream_log(spark, log):
+        written = seen_partitions(spark, log, f"{ledger}-seen", rule.partitions)
     else:
         written = written_partitions(spark, path, rule.partitions)
     pending = pending_partitions(written, _ledger(spark, ledger, rule.partitions), rule.partitions)
@@ -193,6 +196,7 @@ def commit_pending(
     ledger: str,
     watermark: Column,
     rule: CommitRule = HOURLY_COMMIT,
+    log: str | None = None,
 ) -> list:
     """Commit what is due and return it all; see ``commit_pages`` for many partitions."""
-    return [row for page in commit_pages(spark, table, path, ledger, watermark, rule) for row in page]
+    return [row for page in commit_pages(spark, table, path, ledger, watermark, rule, log) for row in page]

@@ -1,19 +1,23 @@
 from quarterbell.streaming.run import (
     LateRows,
     append_stream,
+    both_kinds,
     commit_while_running,
     dropped_late,
     preview_stream,
     start_job,
+    start_one_pass,
     watermark_of,
 )
 
 __all__ = [
     "LateRows",
     "append_stream",
+    "both_kinds",
     "commit_while_running",
     "dropped_late",
     "preview_stream",
     "start_job",
+    "start_one_pass",
     "watermark_of",
 ]

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quarterbell.plans import JOBS, Messages, groups_of
-from quarterbell.schema import JobOptions
+from quarterbell.plans import JOBS, KIND, Messages, groups_of
+from quarterbell.schema import JobOptions, table_schema
 from quarterbell.sinks import create_table, spread
 
 # Fixed value: the interval between two checkpoints of the table jobs.
@@ -72,6 +73,41 @@ def start_job(
     return main, side
 
 
+def start_one_pass(
+    name: str,
+    messages: Messages,
+    folder: str,
+    options: JobOptions = JobOptions(),
+    available_now: bool = False,
+    table: str | None = None,
+) -> StreamingQuery:
+    """Run a stateless job as one query, which reads each message once and writes rows and quarantine below ``folder/all``.
+
+    One checkpoint and one log cover both kinds, so after any crash they agree
+    on what was read. ``both_kinds`` reads them back; ``table`` is a table over the rows.
+    """
+    job = JOBS[name]
+    if job.one_pass is None:
+        raise ValueError(f"the {name} job keeps state; its quarantine is a query of its own")
+    partitions = (KIND, *job.partitions)
+    records = job.one_pass(messages, options)
+    records = spread(records, partitions) if options.gather else records
+    if table is not None:
+        create_table(groups_of(messages)[0].sparkSession, table, job.partitions, f"{folder}/all/{KIND}=rows")
+    return append_stream(records, f"{folder}/all", f"{folder}/checkpoints/all", partitions, available_now=available_now)
+
+
+def both_kinds(spark: SparkSession, name: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The rows and the quarantine of ``start_one_pass``, as far as batches are finished."""
+    job = JOBS[name]
+    # positions have the type of their source; partition values stay texts
+    written = spark.read.parquet(f"{folder}/all").schema
+    schema = T.StructType([f for f in written if f.name not in (KIND, *job.partitions)] + table_schema((KIND, *job.partitions)).fields[4:])
+    written = spark.read.schema(schema).parquet(f"{folder}/all")
+    rows = written.where(F.col(KIND) == "rows").select(*[f.name for f in table_schema(job.partitions)])
+    return rows, written.where(F.col(KIND) == "quarantine").select("source_partition", "seq", "raw", "reason")
+
+
 def few_files(rows: DataFrame, files: int) -> DataFrame:
     """Finished rows of a stateful stream, in so many tasks at most that write files.
 
