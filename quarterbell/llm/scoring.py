@@ -8,15 +8,23 @@ more it resembles the target.
 
 Words and pairs are counted over all documents, and all seen ``LEAST`` times or
 more are in the models; a pair seen less often backs off to its word, and words seen
-less often are one number together. The counts are tables, and nothing of
-their size is held by the driver or a task: documents are dealt into pieces of
-bounded text, a piece's distinct words and pairs are joined with the tables,
-and what is found goes back to the piece. Target texts are all those labelled good.
+less often are one number together. After any context the chances of all words of the vocabulary and
+of that one number sum to one. Target texts are all those labelled good.
+
+1. Documents are dealt into pieces of bounded text, one row each.
+2. A piece sends its distinct words and pairs, sorted, in parts to the buckets of their ranges, as blobs with counts.
+3. A bucket adds the counts up and answers each part in its order: the counts
+   of what the models keep, and for one piece of each key that it stands for it.
+4. For the pairs a piece stands for, it sends what discounting takes from
+   their first words; buckets add that up and answer in the same way.
+5. A piece puts the answers beside its own keys and scores its documents.
+
+Nothing of the models' size is held by the driver or a task, and an answer needs no key.
 
 Results in the odd cases: a document without words has 0 tokens and null
 losses; unlabelled and null-labelled documents are background only; if an id
 is labelled twice, the higher counts; without target texts both
-models are uniform over what the target has not seen; repeated rows give repeated results; an empty table
+models are uniform over what the target has not seen; a very long text is a piece of its own; repeated rows give repeated results; an empty table
 gives no rows; extra columns are not read.
 """
 
@@ -26,263 +34,201 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterbell.llm import tokens as T
-from quarterbell.llm.tables import saved, table
+from quarterbell.llm.suffixes import _pack, _unpack
+from quarterbell.llm.tables import saved, shuffles_dropped, table
 
-#: Least share of all tokens of a word of the vocabulary (at most 20,000 words).
-WORD_SHARE = 5e-5
-#: Least share of all tokens of a pair with counts of its own (at most a million pairs).
-PAIR_SHARE = 1e-6
 DISCOUNT = 0.75
-#: Least count of a word or a pair in the models that score documents.
+#: Least count of a word or a pair in the models.
 LEAST = 2
 #: Text of a piece; a longer text is a piece of its own.
-PIECE_BYTES = 12 << 20
+PIECE_BYTES = 8 << 20
+#: Text for each bucket of keys: some 1.5 million entries.
+BUCKET_BYTES = 12 << 20
 #: Keys that are no words: documents that have words (the context of their first word), and all tokens.
 START, TOKENS = 1, 2
-#: Spark drops the shuffles of a table once it is written.
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: The key under which documents that have words are counted.
-DOCUMENTS = 0
-#: Text counted at once: more finds more repeats before the shuffle.
-COUNT_BYTES = 12 << 20
-
-
-def _uniform(count: np.ndarray, size: int) -> np.ndarray:
-    return (count + 1) / (count.sum() + size)
-
-
-class Vocabulary:
-    """Numbers of the words: 0 is any other word, the last number stands before a document."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-        self.size = len(hashes) + 2
-        self.low = np.zeros(1 << 20, bool)
-        self.low[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes), np.int64)
-        if len(self.hashes):
-            at = np.flatnonzero(self.low[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            found = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
-            out[at] = np.where(self.hashes[found] == hashes[at], found + 1, 0)
-        return out
-
-    def pairs(self, words: T.Words) -> tuple[np.ndarray, np.ndarray]:
-        """(number of the word before, number of the word)."""
-        now = self.numbers(words.hashes())
-        before = np.empty_like(now)
-        before[1:] = now[:-1]
-        before[words.first[:-1][words.counts > 0]] = self.size - 1
-        return before, now
-
-
-def _counted(batch: pa.RecordBatch, words: T.Words, keys: np.ndarray) -> pa.RecordBatch:
-    """How often each key occurs in all texts and in those of the target."""
-    target = batch.column("target").to_numpy(zero_copy_only=False)[words.owner]
-    key, of = np.unique(keys, return_inverse=True)
-    return pa.RecordBatch.from_pydict({
-        "key": T.signed(key), "n": np.bincount(of, minlength=len(key)).astype(np.int64),
-        "target": np.bincount(of, target, len(key)).astype(np.int64)})
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in T.chunks(batches, most=COUNT_BYTES):
-        words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
-        if len(words):
-            yield _counted(batch, words, words.hashes())
-            some = words.counts > 0
-            target = batch.column("target").to_numpy(zero_copy_only=False)[some]
-            yield pa.RecordBatch.from_pydict({"key": [DOCUMENTS], "n": [int(some.sum())], "target": [int(target.sum())]})
-
-
-class Models:
-    """Losses of both models, pair by pair."""
-
-    def __init__(self, vocabulary: Vocabulary, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray):
-        """words and counts: rows of all texts and of the target; by number, and by sorted pair."""
-        self.vocabulary, self.pairs = vocabulary, pairs
-        size = vocabulary.size
-        before = pairs // size
-        self.losses, self.words, self.left = [], [], []
-        for of_word, of_pair in zip(words, counts):
-            chance = _uniform(of_word[:size - 1], size - 1)
-            taken = np.maximum(of_pair - DISCOUNT, 0)
-            context = np.maximum(of_word, 1)
-            left = 1 - np.bincount(before, taken, size) / context
-            full = taken / context[before] + left[before] * chance[pairs % size]
-            self.losses.append(-np.log(full))
-            self.words.append(-np.log(chance))
-            self.left.append(-np.log(np.maximum(left, 1e-12)))
-
-    def __call__(self, words: T.Words) -> list[np.ndarray]:
-        """The loss of each word under the background and the target model."""
-        before, now = self.vocabulary.pairs(words)
-        key = before * self.vocabulary.size + now
-        found = np.minimum(np.searchsorted(self.pairs, key), max(0, len(self.pairs) - 1))
-        known = self.pairs[found] == key if len(self.pairs) else np.zeros(len(key), bool)
-        out = []
-        for losses, word, left in zip(self.losses, self.words, self.left):
-            loss = word[now] + left[before]
-            loss[known] = losses[found[known]]
-            out.append(loss)
-        return out
-
-
-def _count_pairs(vocabulary):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.chunks(batches, most=COUNT_BYTES):
-            words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
-            if len(words):
-                before, now = vocabulary.value.pairs(words)
-                yield _counted(batch, words, (before * vocabulary.value.size + now).view(np.uint64))
-
-    return count
-
-
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
-
-
-def learn(texts: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE):
-    """Models in memory of the words and pairs of a share of all tokens, in a broadcast.
-
-    texts have a number ``target`` (1: of the target, else 0). Documents are not scored by these.
-    """
-    share = texts.sparkSession.sparkContext.broadcast
-    schema = "key long, n long, target long"
-    words = saved(_summed(texts.mapInArrow(_count_words, schema)), "lm-words")
-    one = F.col("key") == DOCUMENTS
-    everything = words.agg(
-        *[F.coalesce(F.sum(F.when(one if of == "docs" else ~one, F.col(c))), F.lit(0)).alias(f"{of}_{c}") for of in ("docs", "words") for c in ("n", "target")]
-    ).first()
-    # no more than 1 / word_share words have that share
-    kept = words.where(~one & (F.col("n") >= max(2.0, word_share * everything.words_n))).toArrow()
-    order = np.argsort(kept["key"].to_numpy().view(np.uint64))
-    vocabulary = Vocabulary(kept["key"].to_numpy().view(np.uint64))
-    by_number = [
-        np.concatenate([[total - of.sum()], of, [docs]]).astype(float)
-        for of, total, docs in (
-            (kept["n"].to_numpy()[order], everything.words_n, everything.docs_n),
-            (kept["target"].to_numpy()[order], everything.words_target, everything.docs_target))
-    ]
-    pairs = _summed(texts.mapInArrow(_count_pairs(share(vocabulary)), schema))
-    # and no more than 1 / pair_share pairs that one
-    pairs = pairs.where(F.col("n") >= max(2.0, pair_share * everything.words_n)).toArrow()
-    order = np.argsort(pairs["key"].to_numpy())
-    return share(Models(
-        vocabulary, by_number, pairs["key"].to_numpy()[order],
-        [pairs[c].to_numpy()[order].astype(float) for c in ("n", "target")]))
+
+_PIECES_SQL = "piece long, doc_id array<long>, text array<string>, target array<int>"
+_PARTS = pa.schema([("bucket", pa.int64()), ("piece", pa.int64()), ("n", pa.int64()), ("part", pa.binary())])
+_PARTS_SQL = "bucket long, piece long, n long, part binary"
+_TOTALS = ("words", "kept_n", "kept_target", "all_n", "all_target")
+_ANSWERS = pa.schema([*_PARTS, *[(c, pa.int64()) for c in _TOTALS]])
+_ANSWERS_SQL = _PARTS_SQL + "".join(f", {c} long" for c in _TOTALS)
+_SCORES_SQL = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
 
 
 def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     piece = TaskContext.get().partitionId() << 32
     for batch in T.chunks(batches, most=PIECE_BYTES):
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, piece)), *batch.columns], names=["piece", *batch.schema.names])
+        edges = pa.array([0, batch.num_rows], pa.int32())
+        lists = [pa.ListArray.from_arrays(edges, batch.column(c)) for c in ("doc_id", "text", "target")]
+        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), *lists], names=["piece", "doc_id", "text", "target"])
         piece += 1
 
 
-def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """The rows of a piece; in parts if it comes in several batches."""
-    for batch in batches:
-        piece = batch.column("piece").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]
-        for begin, stop in zip(edges[:-1], edges[1:]):
-            if begin < stop:
-                yield int(piece[begin]), batch.slice(begin, stop - begin)
-
-
-def _keyed(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each word: the key of the word before, its own, and that of the pair."""
-    now = words.hashes()
-    before = np.empty_like(now)
-    before[1:] = now[:-1]
-    before[words.first[:-1][words.counts > 0]] = START
-    return before, now, T.mix(T.seeded(before, 3) + now)
-
-
-def _starts(keys: np.ndarray) -> np.ndarray:
-    """Where each key begins in sorted keys."""
-    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-
+class _Keys:
+    """The distinct keys of a piece in order, and for each of its words the place of its own, its pair's and its context's."""
 
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, texts: pa.Array):
+        self.words = T.words_of(texts, T.LETTERS, lower=True)
+        now = self.words.hashes()
+        before = np.empty_like(now)
+        before[1:] = now[:-1]
+        firsts = self.words.first[:-1][self.words.counts > 0]
+        before[firsts] = START
+        pair = T.mix(T.seeded(before, 3) + now)
+        self.keys, places = np.unique(np.concatenate([now, pair, np.array([START, TOKENS], np.uint64)]), return_inverse=True)
+        n = len(now)
+        self.word, self.pair, (self.start, self.tokens) = places[:n], places[n:2 * n], places[2 * n:]
+        self.context = np.empty_like(self.word)
+        self.context[1:] = self.word[:-1]
+        self.context[firsts] = self.start
+
+    def contexts(self, n: np.ndarray) -> np.ndarray:
+        """Places of the contexts that the models keep (n: the counts), in order."""
+        some = np.zeros(len(self.keys), bool)
+        some[self.context] = True
+        return np.flatnonzero(some & (n > 0))
+
+
+def _parts(buckets: int, piece: int, keys: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """Sorted keys and what belongs to them, a row for each bucket."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
+    rows = [(int(bucket[a]), piece, int(b - a), _pack(keys[a:b], *[c[a:b] for c in columns])) for a, b in zip(edges[:-1], edges[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PARTS)], schema=_PARTS)
+
+
+def _count(buckets: int):
     """How often each word and pair of a piece occurs in all its texts and in those of the target."""
-    for _, batch in _by_piece(batches):
-        words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
-        if not len(words):
-            continue
-        target = batch.column("target").to_numpy(zero_copy_only=False)
-        of_word, some = target[words.owner], words.counts > 0
-        yield pa.RecordBatch.from_arrays([
-            pa.array([START, TOKENS], pa.int64()), pa.nulls(2, pa.int64()), pa.array([int(some.sum()), len(words)], pa.int64()),
-            pa.array([int(target[some].sum()), int(of_word.sum())], pa.int64())], names=["key", "before", "n", "target"])
-        before, now, pair = _keyed(words)
-        for keys, context in ((now, None), (pair, before)):
-            order = np.argsort(keys)
-            at = _starts(keys[order])
-            first = order[at]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(T.signed(keys[first])), pa.nulls(len(at), pa.int64()) if context is None else pa.array(T.signed(context[first])),
-                pa.array(np.diff(at, append=len(keys))), pa.array(np.add.reduceat(of_word[order], at, dtype=np.int64))],
-                names=["key", "before", "n", "target"])
-
-
-def _list_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The keys that a piece looks up."""
-    for piece, batch in _by_piece(batches):
-        words = T.words_of(batch.column("text"), T.LETTERS, lower=True)
-        if len(words):
-            _, now, pair = _keyed(words)
-            now, pair = np.sort(now), np.sort(pair)
-            key = np.concatenate([np.array([START], np.uint64), now[_starts(now)], pair[_starts(pair)]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), piece)), pa.array(T.signed(key))], names=["piece", "key"])
-
-
-def _scorer(words_kept: int, totals: tuple[tuple[int, int], ...]):
-    """totals: all tokens and those of kept words; of all texts and of the target."""
-
-    def score(documents: pa.Table, found: pa.Table) -> pa.Table:
-        words = T.words_of(documents["text"], T.LETTERS, lower=True)
-        n = words.counts
-        keys = found["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        keys = keys[order]
-
-        def look_up(wanted):
-            if not len(keys):
-                return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            return at, keys[at] == wanted
-
-        (context, in_context), (word, is_word), (pair, is_pair) = map(look_up, _keyed(words))
-        means = []
-        for (tokens, kept), count, taken in zip(totals, ("n", "target"), ("taken_n", "taken_target")):
-            # a last entry, so that there is one to take where nothing was found
-            count = np.append(found[count].to_numpy()[order].astype(float), 0)
-            taken = np.append(found[taken].to_numpy()[order], 0)
-            chance = (np.where(is_word, count[word], tokens - kept) + 1) / (tokens + words_kept + 1)
-            before = np.maximum(np.where(in_context, count[context], 1), 1)
-            left = 1 - np.where(in_context, taken[context], 0) / before
-            loss = -np.log(np.where(is_pair, np.maximum(count[pair] - DISCOUNT, 0), 0) / before + left * chance)
-            sums = np.concatenate([[0.0], np.cumsum(loss)])
-            means.append((sums[words.first[1:]] - sums[words.first[:-1]]) / np.maximum(n, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                of = _Keys(row.column("text").flatten())
+                if not len(of.words):
+                    continue
+                target = row.column("target").flatten().to_numpy(zero_copy_only=False)
+                of_word, some, size = target[of.words.owner], of.words.counts > 0, len(of.keys)
+                n, t = np.zeros(size, np.int64), np.zeros(size, np.int64)
+                for places in (of.word, of.pair):
+                    n += np.bincount(places, minlength=size)
+                    t += np.bincount(places, of_word, size).astype(np.int64)
+                n[of.start], t[of.start] = some.sum(), target[some].sum()
+                n[of.tokens], t[of.tokens] = len(of_word), of_word.sum()
+                is_word = np.zeros(size, np.int64)
+                is_word[of.word] = 1
+                yield _parts(buckets, row.column("piece")[0].as_py(), of.keys, 2 * n + is_word, t)
+
+    return run
+
+
+def _runs(parts: pa.Table, columns: int):
+    """Parts of a bucket together: (columns, order of the keys, where each key begins, which key each entry has)."""
+    found = _unpack(parts["part"].to_pylist(), parts["n"].to_numpy(), columns)
+    keys = found[0].view(np.uint64)
+    order = np.argsort(keys, kind="stable")
+    sorted_keys = keys[order]
+    first = np.ones(len(order), bool)
+    first[1:] = sorted_keys[1:] != sorted_keys[:-1]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return found, order, np.flatnonzero(first), which
+
+
+def _answers(parts: pa.Table, totals: list[int], *columns: np.ndarray) -> pa.Table:
+    """To each part what belongs to its keys, in its order."""
+    edges = np.concatenate([[0], np.cumsum(parts["n"].to_numpy())])
+    blobs = [_pack(*[c[a:b] for c in columns]) for a, b in zip(edges[:-1], edges[1:])]
+    sums = [pa.array([x] + [0] * (len(blobs) - 1), pa.int64()) for x in totals]
+    return pa.table([parts["bucket"], parts["piece"], parts["n"], pa.array(blobs, pa.binary()), *sums], schema=_ANSWERS)
+
+
+def _add_counts(parts: pa.Table) -> pa.Table:
+    """Counts in all pieces of what the models keep (else 0), and whether the piece stands for the key; and the models' sums."""
+    (key, marked, target), order, first, which = _runs(parts, 3)
+    n, is_word = marked >> 1, (marked & 1)[order[first]] == 1
+    n, target = (np.add.reduceat(c[order], first) for c in (n, target))
+    key = key[order[first]]
+    special = (key == START) | (key == TOKENS)
+    kept = (n >= LEAST) | special
+    words, tokens = kept & is_word & ~special, key == TOKENS
+    totals = [int(words.sum()), int(n[words].sum()), int(target[words].sum()), int(n[tokens].sum()), int(target[tokens].sum())]
+    stands = np.zeros(len(order), np.int64)
+    stands[order[first]] = kept & ~special
+    n, target = np.where(kept, n, 0), np.where(kept, target, 0)
+    return _answers(parts, totals, n[which], target[which], stands)
+
+
+def _add_taken(parts: pa.Table) -> pa.Table:
+    """What discounting takes from each context, summed over the pieces that stand for its pairs."""
+    (_, *taken), order, first, which = _runs(parts, 3)
+    sums = [np.add.reduceat(c.view(np.float64)[order], first)[which].view(np.int64) for c in taken]
+    return _answers(parts, [0] * len(_TOTALS), *sums)
+
+
+def _answered(answers: pa.Table, columns: int) -> list[np.ndarray]:
+    """The answers to all parts of a piece, in the order of its keys."""
+    answers = answers.sort_by("bucket")
+    return _unpack(answers["part"].to_pylist(), answers["n"].to_numpy(), columns)
+
+
+def _texts(pieces: pa.Table) -> pa.Array:
+    return pieces["text"].combine_chunks().flatten()
+
+
+def _take(buckets: int):
+    def run(pieces: pa.Table, answers: pa.Table) -> pa.Table:
+        if not pieces.num_rows or not answers.num_rows:
+            return _PARTS.empty_table()
+        of = _Keys(_texts(pieces))
+        n, target, stands = _answered(answers, 3)
+        context = np.full(len(of.keys), -1)
+        context[of.pair] = of.context
+        mine = np.flatnonzero((context >= 0) & (stands == 1))
+        sums = [np.bincount(context[mine], np.maximum(c[mine] - DISCOUNT, 0), len(of.keys)) for c in (n, target)]
+        wanted = of.contexts(n)
+        return pa.Table.from_batches([_parts(buckets, pieces["piece"][0].as_py(), of.keys[wanted], *[s[wanted] for s in sums])])
+
+    return run
+
+
+def _score(totals: dict[str, int]):
+    def run(pieces: pa.Table, answers: pa.Table) -> pa.Table:
+        of = _Keys(_texts(pieces))
+        tokens, ids = of.words.counts, pieces["doc_id"].combine_chunks().flatten()
+        means = [np.zeros(len(tokens))] * 2
+        if len(of.words):
+            counts = _answered(answers.filter(pc.invert(answers["taken"])), 3)[:2]
+            wanted = of.contexts(counts[0])
+            means = []
+            for count, taken, all_, kept in zip(
+                    counts, _answered(answers.filter(answers["taken"]), 2), (totals["all_n"], totals["all_target"]), (totals["kept_n"], totals["kept_target"])):
+                left = np.zeros(len(of.keys))
+                left[wanted] = taken.view(np.float64)
+                is_word = counts[0][of.word] > 0
+                chance = (np.where(is_word, count[of.word], all_ - kept) + 1) / (all_ + totals["words"] + 1)
+                context = np.maximum(np.where(counts[0][of.context] > 0, count[of.context], 1), 1)
+                loss = -np.log(np.maximum(count[of.pair] - DISCOUNT, 0) / context + (1 - left[of.context] / context) * chance)
+                sums = np.concatenate([[0.0], np.cumsum(loss)])
+                means.append((sums[of.words.first[1:]] - sums[of.words.first[:-1]]) / np.maximum(tokens, 1))
         background, target = means
-        column = lambda x: pa.array(x, pa.float64(), mask=n == 0)
+        column = lambda x: pa.array(x, pa.float64(), mask=tokens == 0)
         return pa.Table.from_arrays(
-            [documents["doc_id"], pa.array(n, pa.int64()), column(target), column(background), column(target - background)],
+            [ids, pa.array(tokens, pa.int64()), column(target), column(background), column(target - background)],
             names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
-    return score
+    return run
 
 
-def _tables(documents: DataFrame, labels: DataFrame):
-    """The pieces, what each of them found in the models, and a row of the models' sums."""
+def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss and difference of every document."""
     good = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
@@ -291,39 +237,19 @@ def _tables(documents: DataFrame, labels: DataFrame):
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # a shuffle at every size: labels grow with the documents, and Spark splits partitions of hot ids
     flagged = texts.join(good.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target"))
-    pieces = saved(flagged.mapInArrow(_in_pieces, "piece long, doc_id long, text string, target int"), "lm-pieces")
-
-    counted = pieces.mapInArrow(_count_grams, "key long, before long, n long, target long").groupBy("key").agg(
-        F.max("before").alias("before"), F.sum("n").alias("n"), F.sum("target").alias("target"))
-    special = F.col("key").isin(START, TOKENS)
-    grams = saved(counted.where((F.col("n") >= LEAST) | special), "lm-grams")
-    word = F.col("before").isNull() & ~special
-    number = lambda condition, column: F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
-    everything = grams.agg(
-        F.count_if(word).alias("words"),
-        *[number(F.col("key") == TOKENS if of == "all" else word, c).alias(f"{of}_{c}") for of in ("all", "kept") for c in ("n", "target")]
-    ).first()
-    taken = grams.where("before IS NOT NULL").groupBy(F.col("before").alias("key")).agg(
-        F.sum(F.col("n") - DISCOUNT).alias("taken_n"), F.sum(F.greatest(F.col("target") - DISCOUNT, F.lit(0.0))).alias("taken_target"))
-    singles = grams.where("before IS NULL").join(taken, "key", "left").select(
-        "key", "n", "target", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("taken_n", "taken_target")])
-    pairs = grams.where("before IS NOT NULL").select("key", "n", "target", *[F.lit(0.0).alias(c) for c in ("taken_n", "taken_target")])
-    wanted = pieces.mapInArrow(_list_grams, "piece long, key long")
-    return pieces, saved(wanted.join(singles.unionByName(pairs).hint("shuffle_hash"), "key"), "lm-found"), everything
-
-
-def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss and difference of every document."""
-    conf = documents.sparkSession.conf
-    kept = conf.get(CLEAN_UP)
-    conf.set(CLEAN_UP, "true")
-    try:
-        pieces, found, everything = _tables(documents, labels)
-    finally:
-        conf.set(CLEAN_UP, kept)
-    score = _scorer(everything.words, ((everything.all_n, everything.kept_n), (everything.all_target, everything.kept_target)))
-    return pieces.select("piece", "doc_id", "text").groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
-        score, "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")
+    with shuffles_dropped(documents.sparkSession):
+        pieces = saved(flagged.mapInArrow(_in_pieces, _PIECES_SQL), "lm-pieces")
+        size = pieces.agg(F.coalesce(F.sum(F.aggregate("text", F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.octet_length(t), F.lit(0)))), F.lit(0))).first()[0]
+        buckets = max(1, -(-size // BUCKET_BYTES))
+        answers = saved(
+            pieces.mapInArrow(_count(buckets), _PARTS_SQL).groupBy("bucket").applyInArrow(_add_counts, _ANSWERS_SQL), "lm-counts")
+        totals = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TOTALS]).first().asDict()
+        by_piece = pieces.groupBy("piece")
+        taken = saved(
+            by_piece.cogroup(answers.groupBy("piece")).applyInArrow(_take(buckets), _PARTS_SQL).groupBy("bucket").applyInArrow(_add_taken, _ANSWERS_SQL),
+            "lm-taken")
+    both = [a.select("piece", "bucket", "n", "part", F.lit(is_taken).alias("taken")) for a, is_taken in ((answers, False), (taken, True))]
+    return by_piece.cogroup(both[0].unionByName(both[1]).groupBy("piece")).applyInArrow(_score(totals), _SCORES_SQL)
 
 
 def op8_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
