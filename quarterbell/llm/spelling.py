@@ -47,7 +47,7 @@ FORM_FACTOR = 2
 #: Distinct words a task holds before it sends them.
 HELD = 400_000
 #: Words of a cell, by the sample; residents and visitors of a tile, on average at most; words that a tile compares one by one.
-CELL, TILE, FEW = 1 << 14, 1 << 15, 16
+CELL, TILE, FEW = 1 << 15, 1 << 16, 16
 #: Words of the vocabulary from which splits are made, at most on average.
 SAMPLE = 200_000
 #: Letters compared at once.
@@ -109,7 +109,8 @@ def _counts(codes: np.ndarray) -> np.ndarray:
 
 def _split(x: np.ndarray) -> tuple[int, int] | None:
     """Letter and count at which words part best: those with at most the count go left."""
-    letter = int(x.var(axis=0).argmax())
+    sums, squares = x.sum(axis=0, dtype=np.int64), np.einsum("ij,ij->j", x, x, dtype=np.int64)
+    letter = int((len(x) * squares - sums * sums).argmax())
     values = np.sort(x[:, letter])
     if values[0] == values[-1]:
         return None
@@ -130,23 +131,25 @@ def tree(x: np.ndarray, cells: float, first: int = 0):
 
 
 class _Boxes:
-    """Visitors on their way down a k-d tree, with the distance of each to the present box."""
+    """Visitors on their way down a k-d tree, with the distance of each to the present box (``apart`` at its root)."""
 
-    def __init__(self, x: np.ndarray, radius: int, at=None, apart=None, low=None, high=None):
-        self.x, self.radius = x, radius
-        self.at = np.arange(len(x)) if at is None else at
-        self.apart = np.zeros(len(x), np.int64) if apart is None else apart
-        self.low = np.zeros(_LETTERS, np.int64) if low is None else low
-        self.high = np.full(_LETTERS, np.iinfo(np.int64).max) if high is None else high
+    def __init__(self, x: np.ndarray, radius: int, apart: np.ndarray | None = None):
+        self.columns, self.radius = np.ascontiguousarray(x.T), radius
+        self.apart = np.zeros(len(x), np.int32) if apart is None else apart
+        self.at = np.flatnonzero(self.apart <= radius)
+        self.apart = self.apart[self.at]
+        self.low, self.high = np.zeros(x.shape[1], np.int32), np.full(x.shape[1], np.iinfo(np.int32).max)
 
     def _half(self, letter: int, low: int, high: int) -> "_Boxes":
-        x = self.x[self.at, letter]
+        x = self.columns[letter][self.at]
         before = np.maximum(self.low[letter] - x, 0) + np.maximum(x - self.high[letter], 0)
         apart = self.apart - before + np.maximum(low - x, 0) + np.maximum(x - high, 0)
         near = apart <= self.radius
-        lows, highs = self.low.copy(), self.high.copy()
-        lows[letter], highs[letter] = low, high
-        return _Boxes(self.x, self.radius, self.at[near], apart[near], lows, highs)
+        half = object.__new__(_Boxes)
+        half.columns, half.radius, half.at, half.apart = self.columns, self.radius, self.at[near], apart[near]
+        half.low, half.high = self.low.copy(), self.high.copy()
+        half.low[letter], half.high[letter] = low, high
+        return half
 
     def halves(self, letter: int, count: int) -> tuple["_Boxes", "_Boxes"]:
         return self._half(letter, self.low[letter], count), self._half(letter, count + 1, self.high[letter])
@@ -212,7 +215,7 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether each word of a becomes each of b by one edit; b's are as long or one longer."""
     n = a.shape[1]
     if b.shape[1] == n:
-        return (a[:, None, :] != b[None, :, :]).sum(axis=2) == 1
+        return np.count_nonzero(a[:, None, :] != b[None, :, :], axis=2) == 1
     ahead, behind = a[:, None, :] != b[None, :, :-1], a[:, None, :] != b[None, :, 1:]
     first = np.where(ahead.any(axis=2), ahead.argmax(axis=2), n)
     last = np.where(behind.any(axis=2), n - 1 - behind[:, :, ::-1].argmax(axis=2), -1)
@@ -242,10 +245,14 @@ def _search(tile: pa.Table) -> pa.Table:
     if len(home) and len(other):
         codes = _codes(list(words[home]))
         x = _counts(codes)
+        used = x.any(axis=0)  # of other letters the box of all residents has none
+        x = x[:, used]
         for length, rows in _by_length(list(words[other])):
             visitors = _codes(list(words[other[rows]]))
             count, best = np.zeros(len(rows), np.int64), np.full(len(rows), len(home))
-            todo = [(np.arange(len(home)), _Boxes(_counts(visitors), 2 if length == codes.shape[1] else 1))]
+            theirs = _counts(visitors)
+            root = _Boxes(theirs[:, used], 2 if length == codes.shape[1] else 1, theirs[:, ~used].sum(axis=1, dtype=np.int32))
+            todo = [(np.arange(len(home)), root)]
             while todo:
                 there, boxes = todo.pop()
                 if not len(boxes.at):
