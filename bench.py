@@ -98,7 +98,8 @@ def large(spark: SparkSession, sf_dir: str) -> dict[str, float]:
         "ts": F.col("ts") + F.make_dt_interval((F.col("copy") * 365).cast("int")),
     })
     path = new_folder(spark, "bench-messages")
-    as_messages(shifted, dirty=True).write.parquet(path)
+    # as many files as cores, so that all of them read
+    as_messages(shifted, dirty=True).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
     messages = spark.read.parquet(path)
     options = JobOptions(daytime="event_date")
     jobs = {
@@ -107,7 +108,8 @@ def large(spark: SparkSession, sf_dir: str) -> dict[str, float]:
         "hourly": lambda: hourly_rows(messages),
         "late_audit": lambda: late_readings(with_event_time(readings(messages))),
     }
-    return {"rows": rows * COPIES} | {name: median_of_runs(lambda: drain(job())) for name, job in jobs.items()}
+    tasks = messages.select(F.spark_partition_id()).distinct().count()
+    return {"rows": rows * COPIES, "reading_tasks": tasks} | {name: median_of_runs(lambda: drain(job())) for name, job in jobs.items()}
 
 
 def main() -> None:
