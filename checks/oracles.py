@@ -251,6 +251,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_hourly_sql": _HOURLY_DIRTY,
         "stream_append_flat": f"""
             WITH {_READINGS} {_FLAT.format(time='dirty_time', where='rule NOT IN (103, 107)')}""",
+        "published_hours": _HOURLY_DIRTY,
+        "replay_runs_hourly": _HOURLY_DIRTY,
+        "replay_runs_quarantine": rejects,
+        "replay_runs_flat": f"""
+            WITH {_READINGS} {_FLAT.format(time='dirty_time', where='rule NOT IN (103, 107)')}""",
         "stream_one_pass_rows": f"""
             WITH {_READINGS} {_FLAT.format(time='dirty_time', where='rule NOT IN (103, 107)')}""",
     }

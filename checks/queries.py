@@ -33,7 +33,9 @@ from quarterbell.sinks import (
     committable_partitions,
     create_table,
     list_tables,
+    publish_pending,
     read_files,
+    read_runs,
     use_database,
 )
 from quarterbell.sources import read_groups, read_messages
@@ -395,6 +397,44 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{_stream_flat(spark, sf_dir)}/quarantine").drop("raw")
 
 
+def published_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly job in four micro-batches of many files, published after each, read from the table."""
+    folder = new_folder(spark, "published-hours")
+    table = folder.rsplit("/", 1)[1].replace("-", "_")
+    messages = _messages(spark, sf_dir, dirty=True)
+    part = F.floor(F.col("seq") * 4 / events(spark, sf_dir).count())
+    ended = F.lit("9999-12-31T00:00:00Z").cast("timestamp")
+    for number in range(4):
+        messages.where(part == number).repartition(FILES).write.mode("append").parquet(f"{folder}/archive")
+        rows = hourly_rows(read_messages(spark, "parquet", JobOptions(), f"{folder}/archive"))
+        append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("dt", "hr"), available_now=True).awaitTermination()
+        publish_pending(spark, table, f"{folder}/rows", f"{folder}/published", ended)
+    return spark.table(table)
+
+
+def _replayed_runs(spark: SparkSession, sf_dir: str, job: str) -> str:
+    """Two ranges replayed as runs of their own, the first of them again; the folder and name of their table."""
+    folder = new_folder(spark, "replayed-runs")
+    messages = _messages(spark, sf_dir, dirty=True)
+    even = F.col("seq") % 2 == 0
+    for run, some in (("first", even), ("second", ~even), ("first", even)):
+        replay_job(job, messages.where(some), folder, table=folder.rsplit("/", 1)[1].replace("-", "_"), run=run)
+    return folder
+
+
+def replay_runs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_runs(spark, _replayed_runs(spark, sf_dir, "flat"))
+
+
+def replay_runs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the table, whose partitions are also those of the runs."""
+    return spark.table(_replayed_runs(spark, sf_dir, "hourly").rsplit("/", 1)[1].replace("-", "_")).drop("run")
+
+
+def replay_runs_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_runs(spark, _replayed_runs(spark, sf_dir, "flat"), kind="quarantine").drop("raw")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "decode_messages": decode_messages,
@@ -440,4 +480,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_quarantine": stream_quarantine,
         "stream_one_pass_rows": stream_one_pass_rows,
         "stream_one_pass_quarantine": stream_one_pass_quarantine,
+        "published_hours": published_hours,
+        "replay_runs_flat": replay_runs_flat,
+        "replay_runs_hourly": replay_runs_hourly,
+        "replay_runs_quarantine": replay_runs_quarantine,
     }

@@ -10,7 +10,7 @@ from pyspark.sql import Column, SparkSession
 from quarterbell.plans import JOBS, KIND, commit_replay, groups_of, replay_job
 from quarterbell.schema import JobOptions
 from quarterbell.session import configure
-from quarterbell.sinks import commit_pages
+from quarterbell.sinks import commit_pages, drop_superseded, publish_pages
 from quarterbell.sources import read_groups, read_messages
 from quarterbell.streaming import LateRows, commit_while_running, start_job, start_one_pass
 
@@ -35,11 +35,20 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-files", type=int)
     parser.add_argument("--max-offsets", type=int)
     parser.add_argument("--shuffle-partitions", type=int)
+    parser.add_argument("--publish", action="store_true",
+                        help="commit by rewriting each due partition as few files, from which the table is read")
+    parser.add_argument("--keep-published-seconds", type=int, default=86_400, help="how long replaced files of --publish stay")
+    parser.add_argument("--run", help="with --replay: add the rows under this name; repeated, it replaces only its own")
     parser.add_argument("--commit-seconds", type=int, default=90)
     mode = parser.add_mutually_exclusive_group()
     mode.add_argument("--available-now", action="store_true", help="stop when the present input is done")
     mode.add_argument("--replay", action="store_true", help="one batch over the present input")
-    return parser.parse_args(argv)
+    given = parser.parse_args(argv)
+    if given.run is not None and not given.replay:
+        parser.error("--run names a --replay")
+    if given.publish and (given.replay or given.table is None):
+        parser.error("--publish needs a stream and a --table")
+    return given
 
 
 def run(spark: SparkSession, given: argparse.Namespace) -> None:
@@ -65,18 +74,23 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
     else:
         messages = read_messages(spark, given.format, options, *paths, streaming=not given.replay)
     if given.replay:
-        replay_job(given.job, messages, given.folder, options, given.table)
-        if given.table is not None:
+        replay_job(given.job, messages, given.folder, options, given.table, given.run)
+        if given.table is not None and given.run is None:
             commit_replay(spark, given.job, given.folder, given.table)
         return
     job, start = JOBS[given.job], start_one_pass if given.one_pass else start_job
-    started = start(given.job, messages, given.folder, options, given.available_now, given.table)
+    started = start(given.job, messages, given.folder, options, given.available_now, None if given.publish else given.table)
     main, side = (started, started) if given.one_pass else started
     log, rows = (f"{given.folder}/all", f"{given.folder}/all/{KIND}=rows") if given.one_pass else (None, f"{given.folder}/rows")
 
     def commit(watermark: Column) -> None:
         if given.table is None or job.commit is None:
             return
+        if given.publish:
+            folder = f"{given.folder}/published"
+            for _ in publish_pages(spark, given.table, rows, folder, watermark, job.commit, log):
+                drop_superseded(spark, folder, job.commit.partitions, given.keep_published_seconds)
+            return
         for _ in commit_pages(spark, given.table, rows, f"{given.folder}/ledger", watermark, job.commit, log):
             pass
 

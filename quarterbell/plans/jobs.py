@@ -26,7 +26,19 @@ from quarterbell.operators import (
     with_watermark,
 )
 from quarterbell.schema import DAILY_PARTITIONS, HOURLY_PARTITIONS, JobOptions
-from quarterbell.sinks import DAILY_COMMIT, HOURLY_COMMIT, CommitRule, append_files, commit_pending, create_table, has_stream_log
+from quarterbell.sinks import (
+    DAILY_COMMIT,
+    HOURLY_COMMIT,
+    CommitRule,
+    append_files,
+    attempt_folder,
+    commit_pending,
+    create_table,
+    has_stream_log,
+    new_attempt,
+    point_run,
+    register_attempt,
+)
 from quarterbell.sources.messages import NO_ORDER, NO_STREAM
 
 
@@ -172,6 +184,7 @@ def replay_job(
     folder: str,
     options: JobOptions = JobOptions(),
     table: str | None = None,
+    run: str | None = None,
 ) -> None:
     """Run a job once over a bounded source, into the partitions of ``folder`` that its rows belong to.
 
@@ -183,15 +196,24 @@ def replay_job(
     With ``table`` the rows are also a table of the catalog, which learns their
     partitions. Rows of one run date need no shuffle of their own: the
     aggregation has already spread them evenly over the tasks.
+
+    With ``run`` nothing of other runs is replaced: the rows are added under that name, and a repeated
+    run takes the place of its own earlier rows and quarantine (``sinks.read_runs`` reads them all). The
+    table then has a leading partition ``run``.
     """
     job = JOBS[name]
     spark = groups_of(messages)[0].sparkSession
+    if run is not None:
+        attempt = new_attempt(run)
+        _write_rows(name, messages, attempt_folder(folder, run, attempt), options)
+        append_files(job.rejected(messages, options), attempt_folder(folder, run, attempt, "quarantine"))
+        register_attempt(spark, folder, run, attempt)
+        if table is not None:
+            point_run(spark, table, folder, run, job.partitions)
+        return
     if has_stream_log(spark, f"{folder}/rows"):
         raise ValueError(f"{folder} belongs to a stream; replay into another folder")
-    rows = job.rows(messages, options)
-    one_partition = name == "quarter_hour" and options.daytime == "run_date"
-    rebalance = options.gather and not one_partition
-    append_files(rows, f"{folder}/rows", job.partitions, rebalance, mode="overwrite")
+    _write_rows(name, messages, f"{folder}/rows", options)
     if table is not None:
         create_table(spark, table, job.partitions, f"{folder}/rows")
         if job.partitions:
@@ -200,6 +222,14 @@ def replay_job(
     append_files(job.rejected(messages, options), f"{folder}/quarantine", mode="overwrite")
 
 
+def _write_rows(name: str, messages: Messages, path: str, options: JobOptions) -> None:
+    """Write the rows of a replay in place of the partitions that they belong to."""
+    job = JOBS[name]
+    one_partition = name == "quarter_hour" and options.daytime == "run_date"
+    rebalance = options.gather and not one_partition
+    append_files(job.rows(messages, options), path, job.partitions, rebalance, mode="overwrite")
+
+
 def commit_replay(spark: SparkSession, name: str, folder: str, table: str) -> list:
     """Commit all partitions that a replay wrote: its input has ended, so all are due."""
     job = JOBS[name]

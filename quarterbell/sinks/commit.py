@@ -86,8 +86,12 @@ def written_partitions(spark: SparkSession, path: str, partitions: tuple[str, ..
 
 def _newest_files(files: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
     """Partitions of files with the time of the newest of each."""
-    names = [F.regexp_extract("path", f"/{name}=([^/]*)/", 1).alias(name) for name in partitions]
-    return files.select(*names, "written_at").groupBy(*partitions).agg(F.max("written_at").alias("written_at"))
+    return with_partitions(files, partitions).groupBy(*partitions).agg(F.max("written_at").alias("written_at"))
+
+
+def with_partitions(files: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """Files with the partition that each one lies in."""
+    return files.withColumns({name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1) for name in partitions})
 
 
 def seen_partitions(spark: SparkSession, path: str, seen: str, partitions: tuple[str, ...]) -> DataFrame:
@@ -96,29 +100,29 @@ def seen_partitions(spark: SparkSession, path: str, seen: str, partitions: tuple
     ``seen`` keeps what was found before, and in a row without a partition the newest batch read. A step
     that dies after writing to it has lost nothing, one that dies before reads the same batches again.
     """
-    schema = T.StructType([*_ledger_schema(partitions).fields, T.StructField("batch", T.LongType())])
-    known = _read_or_empty(spark, seen, schema)
+    schema = T.StructType([*ledger_schema(partitions).fields, T.StructField("batch", T.LongType())])
+    known = read_or_empty(spark, seen, schema)
     batch = known.agg(F.max("batch")).head()[0]
     files, newest = files_since(spark, path, -1 if batch is None else batch)
     if files is not None:
         marker = spark.createDataFrame([(*[None] * len(partitions), None, newest)], schema)
         found = _newest_files(files, partitions).withColumn("batch", F.lit(newest).cast("long"))
         found.unionByName(marker).write.mode("append").parquet(seen)
-        known = _read_or_empty(spark, seen, schema)
+        known = read_or_empty(spark, seen, schema)
     return known.where(F.col("written_at").isNotNull()).groupBy(*partitions).agg(F.max("written_at").alias("written_at"))
 
 
-def _ledger_schema(partitions: tuple[str, ...]) -> T.StructType:
+def ledger_schema(partitions: tuple[str, ...]) -> T.StructType:
     fields = [T.StructField(name, T.StringType()) for name in partitions]
     return T.StructType(fields + [T.StructField("written_at", T.LongType())])
 
 
 def _ledger(spark: SparkSession, path: str, partitions: tuple[str, ...]) -> DataFrame:
     """The ledger written so far."""
-    return _read_or_empty(spark, path, _ledger_schema(partitions))
+    return read_or_empty(spark, path, ledger_schema(partitions))
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A folder that does not exist yet is an empty one."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
@@ -184,7 +188,7 @@ def commit_pages(
     due = committable_partitions(pending, watermark, rule).sort(*rule.partitions).toLocalIterator()
     while page := list(itertools.islice(due, _PAGE)):
         carry_out(spark, table, path, page, rule)
-        entries = spark.createDataFrame(page, _ledger_schema(rule.partitions))
+        entries = spark.createDataFrame(page, ledger_schema(rule.partitions))
         entries.coalesce(1).write.mode("append").parquet(ledger)
         yield page
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from quarterbell.schema import table_schema
@@ -77,6 +78,35 @@ def read_files(spark: SparkSession, path: str, partitions: tuple[str, ...] = ())
     return spark.read.schema(table_schema(partitions)).parquet(path)
 
 
+def point_partitions(
+    spark: SparkSession,
+    table: str,
+    root: str,
+    specs: list[dict[str, str]],
+    below: tuple[str, ...] | None = None,
+) -> None:
+    """Let partitions of a table be read from their folders below ``root``; doing so again changes nothing.
+
+    ``below`` are the partition columns that make the folders (default: all of a spec).
+    """
+    if not specs:
+        return
+    texts = []
+    for spec in specs:
+        folder = "/".join([root] + [f"{name}={spec[name]}" for name in (spec if below is None else below)])
+        texts.append(("PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in spec.items()) + ")", f"LOCATION '{folder}'"))
+    every = " ".join(f"{spec} {place}" for spec, place in texts)
+    try:
+        spark.sql(f"ALTER TABLE {table} ADD {every}")
+    except AnalysisException as error:
+        if error.getCondition() != "PARTITIONS_ALREADY_EXIST":
+            raise
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {every}")
+        for spec, place in texts:  # those that were there have kept their place
+            spark.sql(f"ALTER TABLE {table} {spec} SET {place}")
+    spark.catalog.refreshTable(table)
+
+
 def has_stream_log(spark: SparkSession, path: str) -> bool:
     """Whether a stream writes to the folder."""
     log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
