@@ -1,32 +1,39 @@
 """License scans: an exact set-similarity join of text blocks and license templates.
 
 A template is a phrase with a label and the part of its distinct words that a
-block must hold. For a template of n words a document is cut into blocks of 2n
-words, one every n words, so that any n words in a row lie in one block.
+block must hold. For a template of n words every 2n words in a row are a block,
+wherever they start.
 
 1. Count in how many documents each word of the templates occurs, over all
    documents, and order the words by that, rarest first.
 2. *Prefix filter*: a block that holds ``need`` of a template's words holds one
-   of its first ``size - need + 1``. Only blocks with such a word are looked at.
-3. *Length filter*: a block with fewer than ``need`` words of the vocabulary
-   can't match. *Positional filter*: from the first shared word on, the
-   rarer side of the order is used up, which bounds what can still be shared.
-4. What is left is counted exactly. For base phrases the places where the
-   words stand in a row are then read off the matching blocks.
+   of its first ``size - need + 1``, and lies within 2n words around it. Only
+   these surroundings are looked at.
+3. *Length filter*: surroundings with fewer than ``need`` words of the vocabulary
+   can't hold such a block. *Positional filter*: for the block whose first shared
+   word in the order is the one met, all shared words come from there on, so as
+   many different words that do must stand around it.
+4. What is left is counted exactly: a block slides over the surroundings, one
+   template word at a time, and counts of the words inside run along. Blocks that
+   start at a template word are enough, as any other holds no more than the
+   next of these. For base phrases the places where the words stand in a row
+   are then read off the matching blocks.
 
 The templates are the small side: their number and length are fixed by the
 caller and checked, and every task gets them. Documents are never shuffled;
 what is gathered is one number for each word of the templates.
 
 Results in the odd cases: a null or empty text has no words, no places, empty
-labels and score 0; repeated rows give repeated results; an empty table gives
+labels and score 0; very long texts are read whole, a slide costs what the
+surroundings of the words met hold; several templates may match the same words, all of their
+labels are given, and of equal containments the score is the one; repeated rows give repeated results; an empty table gives
 no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -118,37 +125,48 @@ class Join:
         self.is_prefix = np.zeros(len(words), bool)
         self.is_prefix[list(self.prefix_of)] = True
 
-    def shared(self, t: int, block: list[int]) -> int:
-        """How many words a template and a block's ordered words share; 0 if it can't be enough."""
-        own, need = self.sets[t], self.need[t]
-        if len(block) < need:
-            return 0
-        members = set(own)
-        q = next((q for q, w in enumerate(block) if w in members), None)
-        if q is None or 1 + min(len(own) - own.index(block[q]) - 1, len(block) - q - 1) < need:
-            return 0
-        n = sum(w in members for w in block)
-        return n if n >= need else 0
-
-    def scan(self, at: np.ndarray, ranks: np.ndarray):
-        """(template, first word of the block, shared words, places in a row) of the matching blocks of one document."""
-        hit = self.is_prefix[ranks]
-        candidates = {
-            (t, max(0, b))
-            for place, w in zip(at[hit].tolist(), ranks[hit].tolist())
-            for t in self.prefix_of[w]
-            for b in (place // len(self.sequences[t]) - 1, place // len(self.sequences[t]))
-        }
-        for t, b in sorted(candidates):
-            n = len(self.sequences[t])
-            low, high = np.searchsorted(at, (b * n, b * n + 2 * n))
-            if shared := self.shared(t, sorted(set(ranks[low:high].tolist()))):
-                places = []
-                if self.templates[t].exact:
-                    inside = dict(zip(at[low:high].tolist(), ranks[low:high].tolist()))
-                    wanted = [self.rank[w] for w in self.sequences[t]]
-                    places = [p for p in range(b * n, b * n + n) if all(inside.get(p + k) == w for k, w in enumerate(wanted))]
-                yield t, b * n, shared, places
+    def surroundings(self, t: int, hits: list[tuple[int, int]], at: np.ndarray, ranks: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of the known words in which a block of a template can match, around the prefix words met (place, word)."""
+        reach, need, own = 2 * len(self.sequences[t]), self.need[t], self.sets[t]
+        places = np.array([p for p, _ in hits])
+        lows, highs = np.searchsorted(at, places - reach + 1), np.searchsorted(at, places + reach)
+        low = high = 0
+        for (_, word), begin, end in zip(hits, lows.tolist(), highs.tolist()):
+            if end - begin < need:
+                continue
+            around = set(ranks[begin:end].tolist())
+            if sum(w >= word and w in around for w in own) < need:
+                continue
+            if begin > high or low == high:
+                if high > low:
+                    yield low, high
+                low = begin
+            high = end
+        if high > low:
+            yield low, high
+
+    def scan(self, at: np.ndarray, ranks: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
+        """(template, first word, shared words, whether all its words follow in a row) of the matching blocks of one document."""
+        met = np.flatnonzero(self.is_prefix[ranks])
+        hits = defaultdict(list)
+        for place, w in zip(at[met].tolist(), ranks[met].tolist()):
+            for t in self.prefix_of[w]:
+                hits[t].append((place, w))
+        for t in sorted(hits):
+            members, n = set(self.sets[t]), len(self.sequences[t])
+            wanted = [self.rank[w] for w in self.sequences[t]]
+            for low, high in self.surroundings(t, hits[t], at, ranks):
+                inside = [(p, w) for p, w in zip(at[low:high].tolist(), ranks[low:high].tolist()) if w in members]
+                held, end = Counter(), 0
+                for start, (place, word) in enumerate(inside):
+                    while end < len(inside) and inside[end][0] < place + 2 * n:
+                        held[inside[end][1]] += 1
+                        end += 1
+                    if len(held) >= self.need[t]:
+                        yield t, place, len(held), inside[start:start + n] == [(place + k, w) for k, w in enumerate(wanted)]
+                    held[word] -= 1
+                    if not held[word]:
+                        del held[word]
 
 
 def _count(join: Join):
@@ -176,15 +194,15 @@ def _scan(join: Join):
             for d, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
                 places, base, labels, score, blocks = set(), set(), set(), 0.0, 0
                 if hits[high] > hits[low]:
-                    for t, _, shared, found in join.scan(at[low:high] - words.first[d], ranks[low:high]):
+                    for t, place, shared, in_a_row in join.scan(at[low:high] - words.first[d], ranks[low:high]):
                         template = join.templates[t]
-                        if template.exact and not found:
+                        if template.exact and not in_a_row:
                             continue
                         blocks += 1
                         score = max(score, shared / len(join.sets[t]))
                         labels.add(template.label)
                         if template.exact:
-                            places.update((p, t) for p in found)
+                            places.add((place, t))
                             base.add(template.label)
                 starts = [p for p, _ in places]
                 rows.append((len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, blocks))

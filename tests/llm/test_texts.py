@@ -69,9 +69,29 @@ def test_every_block_over_the_threshold_is_found(spark):
     wanted = set(template.phrase.split())
     for r in found:
         words = texts[r.doc_id].split()
-        blocks = [len(wanted & set(words[b:b + 20])) for b in range(0, 60, 10)]
-        assert r.n_blocks == sum(b >= 8 for b in blocks)
-        assert r.score == pytest.approx(max([b / 10 for b in blocks if b >= 8], default=0))
+        every = [len(wanted & set(words[b:b + 20])) for b in range(60)]
+        assert r.n_blocks == sum(every[b] >= 8 for b in range(60) if words[b] in wanted)
+        assert r.score == pytest.approx(max([b / 10 for b in every if b >= 8], default=0))
+
+
+def test_a_template_is_found_wherever_it_starts(spark):
+    template = next(t for t in licenses.TEXTS if t.phrase.startswith("licensed under the apache"))
+    spread = " between ".join(template.phrase.split())
+    rows = [(d, " ".join([f"x{i}" for i in range(d)] + [spread, "after"])) for d in range(40)]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), [template]).collect()
+    assert {(r.labels, r.score) for r in found} == {("apache", 1.0)} and len(found) == 40
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("a b c d e f x y".split()), max_size=40), st.sampled_from([0.4, 0.6, 0.8, 1.0]), st.permutations(list("abcdef")))
+def test_filters_lose_no_block(words, threshold, order):
+    template = licenses.Template("t", "a b c d e f", threshold)
+    join = licenses.Join([template, licenses.Template("u", "x y", 1.0)], {w: n for n, w in enumerate(order)})
+    known = [(i, join.rank[w]) for i, w in enumerate(words)]
+    at, ranks = (np.array([k[j] for k in known], np.int64) for j in (0, 1))
+    found = {(place, shared) for t, place, shared, _ in join.scan(at, ranks) if t == 0}
+    every = {i: len(set("abcdef") & set(words[i:i + 12])) for i, w in enumerate(words) if w in "abcdef"}
+    assert found == {(i, n) for i, n in every.items() if n >= join.need[0]}
 
 
 def kept_words(rows, length=substrings.LENGTH):
