@@ -22,9 +22,13 @@ Jaccard similarity of 0.8 or more; a class is what links connect.
    filters) and compared. Nothing is capped or sampled.
 
 Results in the odd cases: a text of one to four words is one shingle; null and
-empty texts have none and are their own classes; rows that share an id are one
-document; a document without id gets a number of its text's hash, above 2^62;
-an empty table gives no rows; other columns are not read.
+empty texts have none and are their own classes; very long texts are compared
+whole; of equal rows of an id one stays. Rows of one id with different texts
+are different documents: the text of least checksum has the id as its number,
+each other one a number of its own above 2^62, which is also its class_id if it
+comes first in its class. A document without id gets a number of its text's hash,
+above 2^62. Where several documents could stay, the one of least number does. An
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterbell.llm import tokens as T
@@ -168,20 +172,48 @@ def has_repeats(rows: DataFrame) -> bool:
     return not rows.groupBy("doc").count().where("count > 1").isEmpty()
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def _several_texts(rows: DataFrame) -> DataFrame:
+    """_near_id, _near_own: the ids that stand for different texts, and the text that keeps the id."""
+    least = rows.groupBy(F.col("doc").alias("_near_id")).agg(F.min("copy").alias("_near_own"), F.max("copy").alias("most"))
+    return saved(least.where("_near_own <> most").drop("most"), "near-several")
+
+
+def _apart(rows: DataFrame, several: DataFrame, doc: str, copy: str) -> DataFrame:
+    """The rows with a number of its own for each text of an id; but for one text of an id it lies after all ids below 2^62."""
+    own = F.lit(2**62) + F.shiftrightunsigned(F.xxhash64(doc, copy), 2)
+    rows = rows.join(several, F.col(doc) == F.col("_near_id"), "left")
+    number = F.when(F.col("_near_own") != F.col(copy), own).otherwise(F.col(doc))
+    return rows.withColumn(doc, number).drop("_near_id", "_near_own")
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, doc (the number of the document), class_id and kept: a row for each row of the documents."""
+    return _classes(documents)[0]
+
+
+def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """What ``near_duplicates`` gives, and the ids that stand for several texts if there are any."""
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         document_key(F.col("doc_id"), F.col("text")).alias("doc"))
     rows = saved(
-        texts.withColumn("copy", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
+        texts.withColumn("copy", _digest(F.col("text")))
         .mapInArrow(_sketch, "doc_id long, doc long, copy binary, bands array<long>"),
         "near-sketches",
     )
+    several: DataFrame | None = _several_texts(rows)
+    if several.isEmpty():
+        several = None
+    else:
+        rows = saved(_apart(rows, several, "doc", "copy"), "near-sketches-apart")
+        texts = _apart(texts.withColumn("copy", _digest(F.col("text"))), several, "doc", "copy")
     with_words = rows.where(F.size("bands") > 0)
     firsts = with_words.groupBy("copy").agg(F.min("doc").alias("first"))
     copies = saved(with_words.select("doc", "copy").join(firsts, "copy").select("doc", "first").distinct(), "near-copies")
-    # a document's text is in one class of copies, but for ids with several texts
     nodes = with_words.join(copies.where("doc = first").select("doc").distinct(), "doc", "left_semi")
     bands = nodes.select("doc", F.explode("bands").alias("band")).distinct()
     full = bands.groupBy("band").agg(F.count("*").alias("texts")).where("texts > 1")
@@ -207,14 +239,18 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     known = classes.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     same = copies.where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
     classes = components(known.unionByName(more).unionByName(same))
-    return rows.select("doc_id", "doc").join(classes, F.col("doc") == F.col("node"), "left").select(
+    found = rows.select("doc_id", "doc").join(classes, F.col("doc") == F.col("node"), "left").select(
         "doc_id", "doc", F.coalesce("component", "doc").alias("class_id"), (F.coalesce("component", "doc") == F.col("doc")).alias("kept"))
+    return found, several
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each class, that of the least id, as it is."""
-    found = saved(near_duplicates(documents), "near-classes")
+    """One document of each class, that of the least number, as it is."""
+    found, several = _classes(documents)
+    found = saved(found, "near-classes")
     out = documents.withColumn("_near_doc", document_key(F.col("doc_id"), F.col("text").cast("string")))
+    if several is not None:
+        out = _apart(out.withColumn("_near_copy", _digest(F.col("text").cast("string"))), several, "_near_doc", "_near_copy")
     gone = found.where("NOT kept").select(F.col("doc").alias("_near_doc")).distinct()
     out = out.join(gone, "_near_doc", "left_anti")
     if has_repeats(found):

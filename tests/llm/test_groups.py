@@ -109,6 +109,21 @@ def test_near_duplicates_of_odd_rows(spark):
     assert nearduplicates.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_different_texts_of_one_id_are_different_documents(spark):
+    text = lambda name, changed=0: " ".join(f"{name}{i}" if i >= changed else f"c{i}" for i in range(60))
+    rows = [(1, text("a")), (1, text("b")), (1, text("c")), (1, text("c")), (2, text("b", 1)), (3, text("d")), (3, text("d", 2)), (4, None), (4, "")]
+    docs = documents(spark, [(d, t, "en", "a", 1) for d, t in rows])
+    found = nearduplicates.near_duplicates(docs).collect()
+    assert len(found) == len(rows) and len({r.doc for r in found if r.doc_id == 1}) == 3 and 1 in {r.doc for r in found}
+    assert len({r.class_id for r in found}) == 5  # a, b, c, d and the empty text
+    left = nearduplicates.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    kept = sorted((r.doc_id, r.text or "") for r in left.collect())
+    name = {text("a"): "a", text("b"): "b", text("b", 1): "b", text("c"): "c", text("d"): "d", text("d", 2): "d", "": ""}
+    assert sorted(name[t] for _, t in kept) == ["", "a", "b", "c", "d"]
+    assert {d for d, t in kept if name[t] in "ac" and t} == {1}
+
+
 def near_facts(rows):
     out, good = {}, []
     for v, e, label in rows:
@@ -356,6 +371,57 @@ def test_ratios_are_those_of_the_models():
     assert value[0] > 1 and value[1] < -1 and abs(value[2]) < min(value[0], -value[1])
 
 
+def plain_kneser_ney(texts, order, shared, discount, begin, end):
+    """log P(word | toxic) / P(word | ordinary) over the bytes that follow contexts longer than the shared ones, by the textbook."""
+    counts = [Counter(), Counter()]  # in how many texts of a class words with an expression occur
+    for text, toxic in texts:
+        for word in set(re.findall("[a-z]+", text)):
+            spelled = (begin, *word.encode(), end)
+            for n in range(1, order + 1):
+                for at in range(max(1, n - 1), len(spelled)):
+                    counts[toxic][spelled[at - n + 1:at + 1]] += 1
+    kinds = set(counts[0]) | set(counts[1])
+
+    def used(e, c):
+        if len(e) == order or e[0] == begin:
+            return counts[c][e]
+        return sum(counts[c][longer] > 0 for longer in kinds if len(longer) == len(e) + 1 and longer[1:] == e)
+
+    def number(e, c):
+        return used(e, 0) + used(e, 1) if len(e) <= shared else used(e, c)
+
+    def chance(e, c):
+        if not e:
+            return 1 / 256
+        following = [number(k, c) for k in kinds if len(k) == len(e) and k[:-1] == e[:-1]]
+        lower = chance(e[1:], c)
+        if not sum(following):
+            return lower
+        return (max(number(e, c) - discount, 0) + discount * sum(f > 0 for f in following) * lower) / sum(following)
+
+    def ratio(word):
+        spelled = (begin, *word.encode(), end)
+        return sum(
+            math.log(chance(e, 1) / chance(e, 0))
+            for at in range(1, len(spelled)) for e in [spelled[max(0, at - order + 1):at + 1]])
+
+    return ratio
+
+
+def test_ratios_against_plain_kneser_ney():
+    from quarterbell.llm import tokens as T
+    import pyarrow as pa
+
+    texts = [("idiot moron idiot", 1), ("good day moon", 0), ("idiotic day", 1), ("goodness moody", 0), ("more idiots", 1), ("an idol", 0), ("good morons", 1)]
+    batch = pa.RecordBatch.from_pydict({"text": [t for t, _ in texts], "toxic": [y for _, y in texts]})
+    (counts,) = toxicity._expressions(iter([batch]))
+    ratios = toxicity.Ratios(counts.column("key").to_numpy().view(np.uint64), np.stack([counts.column("toxic").to_numpy(), counts.column("ordinary").to_numpy()]))
+    asked = "idiot moron good day goodness idol unseen zzz idiom a moo".split()
+    found = ratios.of_words(T.words_of(pa.array([" ".join(asked)]), T.LETTERS, True), np.arange(len(asked)))
+    plain = plain_kneser_ney(texts, toxicity.ORDER, toxicity.SHARED, toxicity.DISCOUNT, int(toxicity._BEGIN), int(toxicity._END))
+    assert found == pytest.approx([plain(w) for w in asked], abs=1e-4)
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([(d, d % 2) for d in range(20)] + [(None, 1), (4, None), (4, 7)], "doc_id long, toxic int")

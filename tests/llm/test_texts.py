@@ -191,6 +191,40 @@ def test_what_is_found_once_is_found_where_it_is_repeated(spark):
     assert added("page 12 of 20 in 1984") == [] and alone
 
 
+class Graph:
+    """Marked words without a text: features, ties of neighbours and of distant words."""
+
+    def __init__(self, features, chain, skip):
+        self.spans, self.features, self.labels, self.chain, self.skip = [(0, 1)] * len(features), features, [0] * len(features), chain, skip
+
+
+def test_marginals_against_enumeration():
+    """Loopy message passing is exact on a tree; round a loop it is close for ties of moderate weight."""
+    import itertools
+
+    rng = np.random.default_rng(3)
+    kinds = len(private.KINDS) + 1
+    field = private.Field.__new__(private.Field)
+    field.word = rng.normal(0, 0.4, (private.FEATURES, kinds))
+    field.chain, skip = rng.normal(0, 0.5, (kinds, kinds)), rng.normal(0, 0.4, (kinds, kinds))
+    field.skip = (skip + skip.T) / 2
+    for chain, skip, within in (
+        ([(0, 1), (1, 2)], [(2, 4)], 2e-3), ([], [(0, 1), (0, 2), (0, 3), (0, 4)], 2e-3), ([], [], 1e-9),
+        ([(0, 1), (1, 2), (3, 4)], [(0, 2), (2, 3)], 0.06),
+    ):
+        features = rng.integers(0, private.FEATURES, (5, 8)).tolist()
+        found = field.marginals([Graph(features, chain, skip), Graph(features[:2], [(0, 1)], [])])[:5]
+        own = field.word[np.array(features)].sum(axis=1)
+        exact = np.zeros((5, kinds))
+        for labels in itertools.product(range(kinds), repeat=5):
+            score = sum(own[i, y] for i, y in enumerate(labels))
+            score += sum(field.chain[labels[a], labels[b]] for a, b in chain) + sum(field.skip[labels[a], labels[b]] for a, b in skip)
+            for i, y in enumerate(labels):
+                exact[i, y] += np.exp(score)
+        exact /= exact.sum(axis=1, keepdims=True)
+        assert np.abs(found - exact).max() < within, (chain, skip, np.abs(found - exact).max())
+
+
 def edits(pattern, text):
     """The least word edits of the pattern to any run of the text, and where the first such run ends."""
     before = list(range(len(pattern) + 1))
