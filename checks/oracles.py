@@ -80,6 +80,17 @@ audited AS (
 ),
 on_time AS (SELECT * FROM audited WHERE NOT late)"""
 
+# Four micro-batches; a row is dropped if the batches before the previous one had closed its window.
+_IN_BATCHES = """,
+placed AS (
+    SELECT *, seq * 4 // (SELECT count(*) FROM events) AS batch FROM windowed
+),
+batches AS (
+    SELECT batch, max(max(ms)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 120000 AS closed
+    FROM placed GROUP BY batch
+),
+judged AS (SELECT placed.*, closed FROM placed JOIN batches USING (batch))"""
+
 _HOURLY = """
     SELECT measurepointid, measuretag, CAST(value AS DECIMAL(30, 8)) AS value1, {time} AS sampletime,
            strftime(CAST({time} AS TIMESTAMP), '%Y-%m-%d') AS dt,
@@ -235,18 +246,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, '2024-01-01' AS daytime FROM (
                 {_neat(clean)} WHERE w_end <= (
                     SELECT least(max(ms) FILTER (seq % 2 = 0), max(ms) FILTER (seq % 2 = 1)) FROM stamped) - 120000)""",
-        # a row is dropped if the batches before the previous one had closed its window
         "stream_time_neat_batches": f"""
             SELECT *, '2024-01-01' AS daytime FROM (
-                WITH {decoded}, placed AS (
-                    SELECT *, seq * 4 // (SELECT count(*) FROM events) AS batch FROM windowed
-                ), batches AS (
-                    SELECT batch, max(max(ms)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 120000 AS closed
-                    FROM placed GROUP BY batch
-                ), accepted AS (
-                    SELECT placed.* FROM placed JOIN batches USING (batch) WHERE closed IS NULL OR w_end > closed
+                WITH {decoded}{_IN_BATCHES}, accepted AS (
+                    SELECT * FROM judged WHERE closed IS NULL OR w_end > closed
                 ), {_NEWEST.format(source='accepted')} {_NEAT}
                 WHERE w_end <= (SELECT max(ms) FROM stamped) - 120000)""",
+        "stream_late_rows": f"""
+            WITH {decoded}{_IN_BATCHES}
+            SELECT measurepointid, measuretag, value, sampletime, CAST(source_partition AS VARCHAR) AS source_partition, seq, batch
+            FROM judged WHERE w_end <= closed""",
         "stream_append_hourly": _HOURLY_DIRTY,
         "stream_hourly_sql": _HOURLY_DIRTY,
         "stream_append_flat": f"""

@@ -39,7 +39,7 @@ from quarterbell.sinks import (
     use_database,
 )
 from quarterbell.sources import read_groups, read_messages
-from quarterbell.streaming import append_stream, both_kinds, preview_stream, start_job, start_one_pass
+from quarterbell.streaming import append_stream, both_kinds, collect_late, late_rows, preview_stream, start_job, start_one_pass
 
 # The day the daily table is filled, as the start of a run.
 RUN_MILLIS = 1704067200000
@@ -348,6 +348,21 @@ def stream_time_neat_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, f"{folder}/rows", ("daytime",))
 
 
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings that the quarter-hour job drops over an archive in four parts, and the micro-batch that dropped each."""
+    folder = new_folder(spark, "stream-late")
+    messages = _messages(spark, sf_dir, dirty=True)
+    part = F.floor(F.col("seq") * 4 / events(spark, sf_dir).count())
+    for number in range(4):
+        messages.where(part == number).repartition(FILES).write.mode("append").parquet(f"{folder}/archive")
+    options = JobOptions(run_millis=RUN_MILLIS, max_files_per_trigger=FILES)
+    archive = read_messages(spark, "parquet", options, f"{folder}/archive")
+    for query in start_job("quarter_hour", archive, folder, options, available_now=True):
+        query.awaitTermination()
+    collect_late(spark, "parquet", folder, options)
+    return late_rows(spark, folder).withColumn("seq", F.col("seq").cast("long"))
+
+
 def stream_time_neat_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarter-hour job over two groups of sources, one of which is read at once and the other in four parts.
 
@@ -473,6 +488,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_archive": source_archive,
         "stream_time_neat": stream_time_neat,
         "stream_time_neat_batches": stream_time_neat_batches,
+        "stream_late_rows": stream_late_rows,
         "stream_time_neat_groups": stream_time_neat_groups,
         "stream_append_hourly": stream_append_hourly,
         "stream_hourly_sql": stream_hourly_sql,

@@ -12,7 +12,7 @@ from quarterbell.schema import JobOptions
 from quarterbell.session import configure
 from quarterbell.sinks import commit_pages, drop_superseded, publish_pages
 from quarterbell.sources import read_groups, read_messages
-from quarterbell.streaming import LateRows, commit_while_running, start_job, start_one_pass
+from quarterbell.streaming import LateRows, collect_late, commit_while_running, start_job, start_one_pass
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -39,6 +39,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
                         help="commit by rewriting each due partition as few files, from which the table is read")
     parser.add_argument("--keep-published-seconds", type=int, default=86_400, help="how long replaced files of --publish stay")
     parser.add_argument("--run", help="with --replay: add the rows under this name; repeated, it replaces only its own")
+    parser.add_argument("--keep-late", action="store_true",
+                        help="quarter_hour: write the readings that the state dropped below folder/late")
     parser.add_argument("--commit-seconds", type=int, default=90)
     mode = parser.add_mutually_exclusive_group()
     mode.add_argument("--available-now", action="store_true", help="stop when the present input is done")
@@ -46,6 +48,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     given = parser.parse_args(argv)
     if given.run is not None and not given.replay:
         parser.error("--run names a --replay")
+    if given.keep_late and (given.replay or not JOBS[given.job].stateful):
+        parser.error("--keep-late needs a stream with state; other jobs drop nothing")
     if given.publish and (given.replay or given.table is None):
         parser.error("--publish needs a stream and a --table")
     return given
@@ -83,6 +87,14 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
     main, side = (started, started) if given.one_pass else started
     log, rows = (f"{given.folder}/all", f"{given.folder}/all/{KIND}=rows") if given.one_pass else (None, f"{given.folder}/rows")
 
+    def step(watermark: Column) -> None:
+        commit(watermark)
+        if given.keep_late:
+            batches, lost = collect_late(spark, given.format, given.folder, options, late.by_batch)
+            if lost:
+                print(f"late rows of {lost} batches are lost: the log of the checkpoint no longer has them")
+            late.forget(max(batches, default=0))
+
     def commit(watermark: Column) -> None:
         if given.table is None or job.commit is None:
             return
@@ -96,7 +108,7 @@ def run(spark: SparkSession, given: argparse.Namespace) -> None:
 
     delay = options.delay if job.stateful else options.table_delay
     late = LateRows(main)
-    commit_while_running(main, commit, delay, given.commit_seconds, side, late, groups=len(groups_of(messages)))
+    commit_while_running(main, step, delay, given.commit_seconds, side, late, groups=len(groups_of(messages)))
     side.awaitTermination()
     if job.stateful:
         print(f"late rows dropped: {'' if late.complete else 'at least '}{late.poll()}")

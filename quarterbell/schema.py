@@ -61,7 +61,7 @@ class JobOptions:
     knows that ``seq`` is unique over all source partitions.
     ``until_millis`` ends a batch over a topic at that record timestamp, for all its reads alike.
     ``files_per_batch`` is the number of files that a micro-batch of a stateful stream writes
-    at most into each table partition.
+    at most into each table partition (default: an eighth of the shuffle partitions, 8 at least).
     ``gather`` shuffles a batch, or each micro-batch of a stateless stream, into
     few files per table partition; without it input in time order is written as read.
     ``partition_groups`` are partitions of the topic whose readings keep pace; each group has its own watermark.
@@ -88,7 +88,7 @@ class JobOptions:
     arrival_bound: int | None = None
     gather: bool = True
     until_millis: int | None = None
-    files_per_batch: int = 8
+    files_per_batch: int | None = None
     partition_groups: tuple[tuple[int, ...], ...] = ()
 
     def __post_init__(self):

@@ -17,7 +17,12 @@ _COMPACT = ".compact"
 
 def log_files(spark: SparkSession, path: str) -> dict[int, tuple[bool, str]]:
     """For each batch with a file in the log: whether it is compact, and its path."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{_LOG}")
+    return numbered_files(spark, f"{path}/{_LOG}")
+
+
+def numbered_files(spark: SparkSession, log: str) -> dict[int, tuple[bool, str]]:
+    """The same of any folder whose files are named by numbers, as all logs of a stream are."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(folder):
         return {}

@@ -91,6 +91,13 @@ def kafka_options(options: JobOptions, streaming: bool = True, partitions: Seque
     return result
 
 
+def exact_range(given: Mapping[str, str], ending: str) -> dict[str, str]:
+    """Options of a batch that reads just the partitions and records between its starting and the ending offsets."""
+    rest = {k: v for k, v in given.items() if k not in ("endingTimestamp", "subscribe")}
+    assigned = {topic: sorted(map(int, places)) for topic, places in json.loads(ending).items()}
+    return {**rest, "assign": json.dumps(assigned), "endingOffsets": ending}
+
+
 def kafka_arrival() -> Column:
     """Order of arrival over all partitions of a topic: offset, then partition."""
     wide = T.DecimalType(30, 0)
@@ -131,11 +138,12 @@ def read_messages(
     spark: SparkSession,
     fmt: str,
     options: JobOptions,
-    path: str | None = None,
+    path: str | list[str] | None = None,
     streaming: bool = True,
     position: Column | None = None,
     stream: Column | None = None,
     partitions: Sequence[int] | None = None,
+    ending: str | None = None,
 ) -> DataFrame:
     """Read ``kafka``, ``parquet`` (archived messages), or ``text`` / ``json`` (one record per line).
 
@@ -144,11 +152,15 @@ def read_messages(
     of text without it has no order, and jobs that need one refuse it.
     ``stream`` names the stream that a file of text is part of, computed from
     ``path``; files of one stream are in the order of their paths, and ``seq`` follows it.
-    ``partitions`` are those of the topic to read, all if not given.
+    ``partitions`` are those of the topic to read, all if not given. ``ending`` are the offsets that
+    a batch ends at, as Spark's JSON; it then reads what these and the starting offsets name.
     """
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
-        topic = reader.format("kafka").options(**kafka_options(options, streaming, partitions)).load()
+        given = kafka_options(options, streaming, partitions)
+        if ending is not None:
+            given = exact_range(given, ending)
+        topic = reader.format("kafka").options(**given).load()
         return topic.select(
             F.col("value").cast("string").alias("raw"),
             F.col("partition").alias("source_partition"),
@@ -160,7 +172,7 @@ def read_messages(
     if streaming and options.max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", options.max_files_per_trigger)
     if fmt == "parquet":
-        return reader.schema(_ARCHIVE_SCHEMA).parquet(path)
+        return reader.schema(_ARCHIVE_SCHEMA).parquet(*([path] if isinstance(path, str) else path))
     if fmt in ("text", "json"):
         lines = reader.text(path)
         if stream is None:

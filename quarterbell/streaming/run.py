@@ -60,7 +60,7 @@ def start_job(
     job = JOBS[name]
     rows = job.rows(messages, options)
     if options.gather:
-        rows = few_files(rows, options.files_per_batch) if job.stateful else spread(rows, job.partitions)
+        rows = few_files(rows, files_of(rows.sparkSession, options)) if job.stateful else spread(rows, job.partitions)
     if table is not None:
         create_table(groups_of(messages)[0].sparkSession, table, job.partitions, f"{folder}/rows")
     main = append_stream(
@@ -118,6 +118,14 @@ def few_files(rows: DataFrame, files: int) -> DataFrame:
     return rows.repartition(files)
 
 
+def files_of(spark: SparkSession, options: JobOptions) -> int:
+    """Tasks that write a micro-batch of the stateful job: as given, else an eighth of the shuffle partitions, 8 at least.
+
+    Shuffle partitions are sized by the cores of the cluster, so that writing keeps up with the state.
+    """
+    return options.files_per_batch or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
 def watermark_of(query: StreamingQuery, delay: str, groups: int = 1) -> Column | None:
     """The watermark after the newest finished micro-batch, as an instant; None before the first.
 
@@ -148,14 +156,15 @@ class LateRows:
 
     def __init__(self, query: StreamingQuery):
         self.query, self.total, self.complete = query, 0, True
+        self.by_batch: dict[int, int] = {}  # of batches that ``forget`` has not named
         self._seen: tuple[int, int] | None = None  # the newest batch counted, and what was counted of it
 
     def poll(self) -> int:
-        dropped: dict[int, int] = {}
+        dropped = self.by_batch
         for report in self.query.recentProgress:
             rows = sum(op.numRowsDroppedByWatermark for op in report.stateOperators)
             dropped[report.batchId] = max(dropped.get(report.batchId, 0), rows)
-        for batch in sorted(dropped):
+        for batch in sorted(b for b in dropped if self._seen is None or b >= self._seen[0]):
             if self._seen is None or batch > self._seen[0]:
                 if self._seen is not None and batch > self._seen[0] + 1:
                     self.complete = False
@@ -167,6 +176,11 @@ class LateRows:
         return self.total
 
 
+    def forget(self, before: int) -> None:
+        """Keep no counts of single batches before one."""
+        self.by_batch = {b: n for b, n in self.by_batch.items() if b >= before}
+
+
 def dropped_late(query: StreamingQuery) -> int:
     """Late rows dropped by the state of a query that has reported seldom enough to keep all its reports.
 
