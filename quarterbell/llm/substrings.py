@@ -12,13 +12,18 @@
 4. The union of repeated windows is removed from each document, so what goes
    are the maximal repeats of 20 words or more.
 
-A third of all documents may share an anchor. Each piece of text (8 MB) sends
-one row for equal stretches and settles the rest itself, so no task gets more
-rows of an anchor than there are such pieces, and those are sorted with spill,
-never collected. Comparisons use 128 bits (anchor and content).
+A third of all documents may share an anchor. Each piece of text (4 MB) sends
+one row for equal stretches and settles the rest itself. An anchor that stands in
+many different contexts is found beforehand, by a pass that counts: if some piece
+has 64 contexts of it, and such pieces a 65,536th of all stretches, its stretches
+are known to differ and are dealt by anchor and content. So no task orders more
+rows of one key than a row for each piece (dealt by content), or 64 of each piece and
+a 65,536th of all (dealt by anchor); they are sorted with spill, never
+collected. Comparisons use 128 bits (anchor and content).
 
 Results in the odd cases: a null or empty text has no words and the checksum
-of the empty text; repeated rows of one id and text are one document and each
+of the empty text; a text longer than a piece is a piece by itself, worked on whole; of equal
+passages at one place in the order (ties) each row of the document gets the same result; repeated rows of one id and text are one document and each
 get its result; rows of one id with different texts are told apart by the text's hash;
 rows without an id come after all others; an empty table gives no
 rows; other columns are not read.
@@ -36,12 +41,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterbell.llm import tokens as T
-from quarterbell.llm.tables import document_key, table
+from quarterbell.llm.tables import document_key, saved, table
 
 #: Words of a window.
 LENGTH = 20
 #: Words of an anchor.
 SEED = 5
+#: Contexts of an anchor in one piece of text that make it crowded, and the share of all stretches above which it is dealt by content.
+CROWD, SHARE = 64, 65536
 
 # A run of windows in one number: hash of the text, first word, number of windows.
 _COUNT_BITS, _TAG_BITS = 5, 27
@@ -102,6 +109,16 @@ def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _settle(seeds[at[first]], content, batch.column("doc").to_numpy()[owner], run)
 
 
+def crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """place, n: anchors with many different contexts in one piece of text, and without a place the number of all stretches."""
+    for rows in stretches(batches):
+        place = rows.column("place").filter(pc.invert(rows.column("settled"))).to_numpy()
+        each, n = np.unique(place, return_counts=True)
+        crowded = n >= CROWD
+        yield pa.RecordBatch.from_pydict({
+            "place": pa.array([None, *each[crowded].tolist()], pa.int64()), "n": pa.array([len(place), *n[crowded].tolist()], pa.int64())})
+
+
 def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each window of the given runs of a document."""
     for batch in T.chunks(b.filter(b.column("runs").is_valid()) for b in batches):
@@ -155,13 +172,27 @@ def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SCHEMA = "place long, content long, doc long, run long, settled boolean"
 
 
+def _crowded(texts: DataFrame) -> DataFrame:
+    """Anchors that are dealt by content: as each has its share of all stretches, there are no more than ``SHARE``."""
+    counts = saved(texts.mapInArrow(crowds, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")), "crowded-anchors")
+    every = counts.where("place IS NULL").agg(F.sum("n")).first()[0] or 0
+    return counts.where(F.col("place").isNotNull() & (F.col("n") * F.lit(SHARE) >= F.lit(every))).select("place")
+
+
+def dealt(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """The rows with ``crowded``: those of crowded anchors get a place of their own for each content."""
+    marked = rows.join(F.broadcast(crowded.withColumn("crowded", F.lit(True))), "place", "left")
+    of_content = F.when(F.col("crowded") & ~F.col("settled"), F.xxhash64("place", "content"))
+    return marked.withColumn("place", F.coalesce(of_content, "place")).withColumn("crowded", of_content.isNotNull())
+
+
 def _judged(rows: DataFrame) -> DataFrame:
-    """Which runs are repeats, and which need a look at their windows."""
+    """Which runs are repeats, and which need a look at their windows: those whose anchor has another content too."""
     of_place = Window.partitionBy("place")
     before = F.lag(F.struct("content", "doc", "run")).over(of_place.orderBy("content", "doc", "run"))
     return (
         rows.withColumn("before", before)
-        .withColumn("other", F.max("content").over(of_place) != F.min("content").over(of_place))
+        .withColumn("other", F.col("crowded") | (F.max("content").over(of_place) != F.min("content").over(of_place)))
         .withColumn("repeat", F.col("settled") | F.coalesce(
             F.expr("before.content = content AND (before.doc <> doc OR before.run <> run)"), F.lit(False)))
         .where("repeat OR other")
@@ -182,7 +213,8 @@ def without_repeats(documents: DataFrame) -> DataFrame:
         lists = runs.groupBy("doc").agg(F.collect_list("run").alias("runs"))
         return texts.join(lists, "doc", "left").select("doc_id", "doc", "tag", "text", "runs")
 
-    judged = _judged(texts.select("doc", "tag", "text").mapInArrow(stretches, _SCHEMA))
+    pieces = texts.select("doc", "tag", "text")
+    judged = _judged(dealt(pieces.mapInArrow(stretches, _SCHEMA), _crowded(pieces)))
     windows = with_runs(judged.where("NOT repeat")).mapInArrow(windows_of, _SCHEMA)
     in_order = Window.partitionBy("place").orderBy("doc", "run")
     windows = (

@@ -144,6 +144,25 @@ def test_anchors_met_by_all_documents(spark):
     assert {(r.doc_id > 0, r.n_removed) for r in found.collect()} == {(False, 0), (True, 60)}
 
 
+def test_an_anchor_in_many_contexts_is_dealt_by_content(spark):
+    """One phrase with the least hash of many stands in 4,000 contexts, some of which repeat; no task orders them all."""
+    phrases = [" ".join(f"p{i}q{k}" for k in range(substrings.SEED)) for i in range(20_000)]
+    phrase = phrases[int(np.argmin(T.grams(T.words_of(pa.array([" ".join(phrases)])).hashes(), substrings.SEED)[::substrings.SEED]))]
+    around = lambda i, side: " ".join(f"{side}{i}w{k}" for k in range(22))
+    rows = [(i, f"{around(i, 'a')} {phrase} {around(i, 'b')}") for i in range(4_000)]
+    rows += [(10_000 + i, f"x{i} {around(i * 7, 'a')} {phrase} {around(i * 7 + i % 2, 'b')} y{i}") for i in range(200)]
+    rows += [(20_000 + i, f"{around(i, 'c')} {phrase} z") for i in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: tuple(r)[1:] for r in substrings.without_repeats(frame).collect()}
+    assert found == kept_words(rows) and sum(v[1] > 0 for v in found.values()) == 200
+    texts = frame.selectExpr("doc_id AS doc", "CAST(0 AS long) AS tag", "text")
+    stretches = texts.mapInArrow(substrings.stretches, substrings._SCHEMA)
+    most = lambda f: f.groupBy("place").count().agg({"count": "max"}).first()[0]
+    crowded = substrings._crowded(texts)
+    assert most(stretches) > 4_000 and crowded.count() >= 1
+    assert most(substrings.dealt(stretches, crowded)) <= substrings.CROWD
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
