@@ -179,11 +179,19 @@ def _crowded(texts: DataFrame) -> DataFrame:
     return counts.where(F.col("place").isNotNull() & (F.col("n") * F.lit(SHARE) >= F.lit(every))).select("place")
 
 
+#: What is known of a stretch before it meets others: nothing, that it is a repeat, that its anchor has other contents.
+OPEN, SETTLED, CROWDED = 0, 1, 2
+
+
 def dealt(rows: DataFrame, crowded: DataFrame) -> DataFrame:
-    """The rows with ``crowded``: those of crowded anchors get a place of their own for each content."""
+    """The rows with ``known``; those of crowded anchors get a place of their own for each content.
+
+    Both passes over the result read the same columns of it, so that one exchange serves them.
+    """
     marked = rows.join(F.broadcast(crowded.withColumn("crowded", F.lit(True))), "place", "left")
-    of_content = F.when(F.col("crowded") & ~F.col("settled"), F.xxhash64("place", "content"))
-    return marked.withColumn("place", F.coalesce(of_content, "place")).withColumn("crowded", of_content.isNotNull())
+    known = F.when(F.col("settled"), SETTLED).when(F.col("crowded"), CROWDED).otherwise(OPEN)
+    return marked.withColumn("known", known).select(
+        F.when(F.col("known") == CROWDED, F.xxhash64("place", "content")).otherwise(F.col("place")).alias("place"), "content", "doc", "run", "known")
 
 
 def _judged(rows: DataFrame) -> DataFrame:
@@ -192,8 +200,8 @@ def _judged(rows: DataFrame) -> DataFrame:
     before = F.lag(F.struct("content", "doc", "run")).over(of_place.orderBy("content", "doc", "run"))
     return (
         rows.withColumn("before", before)
-        .withColumn("other", F.col("crowded") | (F.max("content").over(of_place) != F.min("content").over(of_place)))
-        .withColumn("repeat", F.col("settled") | F.coalesce(
+        .withColumn("other", (F.col("known") == CROWDED) | (F.max("content").over(of_place) != F.min("content").over(of_place)))
+        .withColumn("repeat", (F.col("known") == SETTLED) | F.coalesce(
             F.expr("before.content = content AND (before.doc <> doc OR before.run <> run)"), F.lit(False)))
         .where("repeat OR other")
         .select("doc", "run", "repeat")
