@@ -36,6 +36,7 @@ from quarterbell.sinks import (
     publish_pending,
     read_files,
     read_runs,
+    spread,
     use_database,
 )
 from quarterbell.sources import read_groups, read_messages
@@ -59,6 +60,13 @@ def _messages(spark: SparkSession, sf_dir: str, dirty: bool = False, streaming:
     return as_messages(events(spark, sf_dir, streaming), dirty)
 
 
+def _write_archive(table: DataFrame, path: str) -> None:
+    """Damaged messages of some events kept as an archive. The events are dealt evenly first, however few parts of
+    the table's file hold them, so that as many tasks as there are cores make, write and later read the messages."""
+    tasks = max(FILES, table.sparkSession.sparkContext.defaultParallelism)
+    as_messages(table.repartition(tasks), dirty=True).write.mode("append").parquet(path)
+
+
 def decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(_messages(spark, sf_dir, dirty=True))
 
@@ -320,7 +328,7 @@ def stream_time_neat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_append_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-hourly")
-    rows = hourly_rows(_messages(spark, sf_dir, dirty=True, streaming=True))
+    rows = spread(hourly_rows(_messages(spark, sf_dir, dirty=True, streaming=True)), ("dt", "hr"))
     append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("dt", "hr"), available_now=True).awaitTermination()
     return read_files(spark, f"{folder}/rows", ("dt", "hr"))
 
@@ -329,7 +337,7 @@ def stream_hourly_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly job written in SQL over a stream."""
     folder = new_folder(spark, "stream-sql")
     name = folder.rsplit("/", 1)[1].replace("-", "_")
-    rows = hourly_rows_sql(_messages(spark, sf_dir, dirty=True, streaming=True), name)
+    rows = spread(hourly_rows_sql(_messages(spark, sf_dir, dirty=True, streaming=True), name), ("dt", "hr"))
     append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("dt", "hr"), available_now=True).awaitTermination()
     return read_files(spark, f"{folder}/rows", ("dt", "hr"))
 
@@ -413,15 +421,19 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hourly job in four micro-batches of many files, published after each, read from the table."""
+    """The hourly job in four micro-batches of many files, published after each, read from the table.
+
+    As in ``start_job`` a micro-batch writes few files into each hour; a file for each task and hour would make
+    the number of files, all of which are listed and opened to be published, grow with the tasks.
+    """
     folder = new_folder(spark, "published-hours")
     table = folder.rsplit("/", 1)[1].replace("-", "_")
-    messages = _messages(spark, sf_dir, dirty=True)
-    part = F.floor(F.col("seq") * 4 / events(spark, sf_dir).count())
+    whole = events(spark, sf_dir)
+    part = F.floor(F.col("event_id") * 4 / whole.count())
     ended = F.lit("9999-12-31T00:00:00Z").cast("timestamp")
     for number in range(4):
-        messages.where(part == number).repartition(FILES).write.mode("append").parquet(f"{folder}/archive")
-        rows = hourly_rows(read_messages(spark, "parquet", JobOptions(), f"{folder}/archive"))
+        _write_archive(whole.where(part == number), f"{folder}/archive")
+        rows = spread(hourly_rows(read_messages(spark, "parquet", JobOptions(), f"{folder}/archive")), ("dt", "hr"))
         append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint", ("dt", "hr"), available_now=True).awaitTermination()
         publish_pending(spark, table, f"{folder}/rows", f"{folder}/published", ended)
     return spark.table(table)
