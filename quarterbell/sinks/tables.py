@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from quarterbell.schema import table_schema
 
+_STATEMENTS_AT_ONCE = 16
+
 
 def use_database(spark: SparkSession, name: str) -> None:
     """Create the database if it is missing and make it current."""
@@ -102,8 +106,9 @@ def point_partitions(
         if error.getCondition() != "PARTITIONS_ALREADY_EXIST":
             raise
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {every}")
-        for spec, place in texts:  # those that were there have kept their place
-            spark.sql(f"ALTER TABLE {table} {spec} SET {place}")
+        # those that were there have kept their place; a statement takes one, so many run at a time
+        with ThreadPoolExecutor(_STATEMENTS_AT_ONCE) as pool:
+            list(pool.map(lambda text: spark.sql(f"ALTER TABLE {table} {text[0]} SET {text[1]}"), texts))
     spark.catalog.refreshTable(table)
 
 

@@ -36,3 +36,13 @@ def test_a_micro_batch_writes_one_file_for_each_hour(spark, tables, monkeypatch)
     written = glob.glob(f"{made[0].removeprefix('file:')}/rows/dt=*/hr=*/*.parquet")
     assert HOURS <= len({f.rsplit("/", 2)[1] for f in written}) <= HOURS + 1
     assert 4 * HOURS == len(written)
+
+
+def test_replays_read_messages_in_many_tasks_and_make_them_once(spark, tables, monkeypatch):
+    seen = []
+    monkeypatch.setattr(queries, "replay_job", lambda job, messages, *rest, **given: seen.append(messages))
+    queries._replayed_runs(spark, tables, "hourly")
+    tasks = [m.select(F.spark_partition_id().alias("task")).distinct().count() for m in seen]
+    assert len(tasks) == 3 and min(tasks) > 1, "the file of the table has one part"
+    assert not any("to_json" in m._jdf.queryExecution().executedPlan().toString() for m in seen)
+    assert sum(m.count() for m in seen[:2]) == 900
